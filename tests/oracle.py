@@ -1,0 +1,51 @@
+"""Compare a query with its SQL: same column names, types of value and rows in any order."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+
+def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def cell(value):
+    if isinstance(value, decimal.Decimal):
+        return ("decimal", value)
+    if isinstance(value, bool) or value is None or isinstance(value, (str, bytes, dt.datetime)):
+        return value
+    if isinstance(value, dt.date):
+        return ("date", value)
+    return value
+
+
+def rows_of(names, rows) -> Counter:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(cell(r[i]) for i in order) for r in rows)
+
+
+def differences(df, con, sql: str) -> str | None:
+    """None if equal, else what differs first."""
+    expected = con.execute(sql)
+    names = [c[0] for c in expected.description]
+    if sorted(names) != sorted(df.columns):
+        return f"columns {sorted(df.columns)} against {sorted(names)}"
+    want, got = rows_of(names, expected.fetchall()), rows_of(df.columns, df.collect())
+    if want == got:
+        return None
+    return (
+        f"{sum(got.values())} rows against {sum(want.values())}; "
+        f"only here {list((got - want).items())[:2]}; only in SQL {list((want - got).items())[:2]}"
+    )
