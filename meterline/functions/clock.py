@@ -1,4 +1,4 @@
-"""Wall-clock time functions. Results never depend on the session time zone."""
+"""Wall-clock time functions. On zone-less timestamps they do not depend on the session time zone."""
 
 from __future__ import annotations
 

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from meterline.operators.nested import LOAD_ID, normalise, schema_version
 from meterline.operators.ordering import dedup
 from meterline.sinks.files import write_parquet
+from meterline.sources.files import read_if_there
 
 LOADS, STATE = "_loads", "_state"
 LOADED = 0
 
 
-def _append(spark: SparkSession, root: str, table: str, rows: DataFrame) -> None:
-    write_parquet(rows.coalesce(1), f"{root}/{table}", "append")
+def _append(root: str, table: str, rows: DataFrame) -> None:
+    """Add the few rows of one load to a bookkeeping table."""
+    write_parquet(rows, f"{root}/{table}", "append", files=1)
 
 
 def replace_load(
@@ -46,46 +48,43 @@ def record_load(
 ) -> None:
     at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     columns = f"{LOAD_ID} string, table_name string, status int, schema_version string, loaded_at timestamp_ntz"
-    _append(spark, root, LOADS, spark.createDataFrame([(load_id, table, LOADED, version, at)], columns))
+    _append(root, LOADS, spark.createDataFrame([(load_id, table, LOADED, version, at)], columns))
 
 
 def load_history(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{LOADS}")
 
 
-def last_cursor(spark: SparkSession, root: str, table: str):
-    """Highest cursor value loaded into a table so far, or None before the first load."""
-    try:
-        state = spark.read.parquet(f"{root}/{STATE}/{table}")
-    except Exception as problem:
-        if "PATH_NOT_FOUND" not in str(problem):
-            raise
-        return None
-    return state.agg(F.max("cursor").alias("cursor")).first()["cursor"]
+def _state(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    return read_if_there(spark, f"{root}/{STATE}/{table}")
 
 
 def load_increment(source: DataFrame, root: str, table: str, cursor: str, load_id: str) -> DataFrame:
     """Append the source rows beyond the last cursor value to a table and keep the new value.
 
-    One value of state comes to the driver and goes into the filter, so it is pushed to the scan.
-    A run repeated after a lost write finds its rows by the load id and does not add them twice.
+    One row of state comes to the driver; its cursor goes into the filter and so reaches the
+    scan. Every load has a folder of its own: a load run again before its state was kept
+    replaces that folder, and one run again afterwards does nothing.
     """
     spark = source.sparkSession
-    last = last_cursor(spark, root, table)
+    state = _state(spark, root, table)
     kind = source.schema[cursor].dataType
-    fresh = source if last is None else source.where(F.col(cursor) > F.lit(str(last)).cast(kind))
-    stored = f"{root}/{table}/{LOAD_ID}={load_id}"
-    write_parquet(fresh, stored, "overwrite")
-    newest = spark.read.parquet(stored).agg(F.max(cursor).alias("cursor"))
-    advanced = newest.where(F.col("cursor").isNotNull()).select(
-        F.lit(load_id).alias(LOAD_ID), F.col("cursor").cast(kind).alias("cursor")
-    )
-    write_parquet(advanced, f"{root}/{STATE}/{table}", "append")
+    fresh = source
+    if state is not None:
+        done = state.agg(F.max("cursor").alias("cursor"), F.count_if(F.col(LOAD_ID) == load_id).alias("n")).first()
+        if done["n"]:
+            return spark.read.parquet(f"{root}/{table}")
+        if done["cursor"] is not None:
+            fresh = source.where(F.col(cursor) > F.lit(str(done["cursor"])).cast(kind))
+    folder = f"{root}/{table}/{LOAD_ID}={load_id}"
+    write_parquet(fresh, folder, "overwrite")
+    newest = spark.read.schema(fresh.schema).parquet(folder).agg(F.max(cursor).alias("cursor"))
+    _append(root, f"{STATE}/{table}", newest.select(F.lit(load_id).alias(LOAD_ID), "cursor"))
     return spark.read.parquet(f"{root}/{table}")
 
 
 def load_state(spark: SparkSession, root: str, table: str) -> DataFrame:
     """One row for the table: its last load and cursor value."""
-    state = spark.read.parquet(f"{root}/{STATE}/{table}")
+    state = _state(spark, root, table)
     latest = state.agg(F.max_by(LOAD_ID, "cursor").alias(LOAD_ID), F.max("cursor").alias("cursor"))
     return latest.select(F.lit(table).alias("table_name"), LOAD_ID, "cursor")

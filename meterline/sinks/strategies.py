@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from meterline.functions.clock import day_of
 from meterline.operators.filters import as_moment, half_open, in_half_open, last_day_below
 from meterline.operators.sets import unite
-from meterline.sinks.files import balanced
-from meterline.sinks.tables import append_rows, drop_table, replace_table
+from meterline.sinks.files import balanced, stored
+from meterline.sinks.tables import append_rows, drop_table, partition_columns, replace_table
 from meterline.sources.tables import quoted
 from meterline.spec import TableSpec
 
@@ -33,10 +33,9 @@ def _swap_in(spark: SparkSession, new: DataFrame, name: str) -> DataFrame:
     The version is complete before the old one moves aside, and the old one is dropped last,
     so after a lost job one of `name`, `name__next` and `name__previous` holds the rows.
     """
-    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     following, previous = f"{name}__next", f"{name}__previous"
     drop_table(spark, previous)
-    replace_table(new, following, partitions)
+    replace_table(new, following, partition_columns(spark, name))
     spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {quoted(previous)}")
     try:
         spark.sql(f"ALTER TABLE {quoted(following)} RENAME TO {quoted(name)}")
@@ -47,12 +46,31 @@ def _swap_in(spark: SparkSession, new: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def _replaced(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the table whose key is not in the source, and all source rows."""
+def _replace_keys(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the table whose key is not in the source, and all source rows.
+
+    `source` is stored, as it is used twice. Its keys are stored too: a small set is broadcast,
+    and against a large one both join sides are plain shuffles, so that adaptive execution can
+    split the table's rows of one frequent key; an aggregate below the join would prevent that.
+
+    If the table is partitioned by one of the keys, only the partitions of the source's keys
+    are read and written.
+    """
     target = spark.table(name)
-    kept = target.join(source.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
-    new = unite([kept, source.select(*target.columns)])
-    return _swap_in(spark, new, name)
+    columns = target.columns
+    partitions = partition_columns(spark, name)
+    scoped = len(partitions) == 1 and partitions[0] in keys
+    if scoped:
+        touched = [row[0] for row in source.select(*partitions).distinct().collect()]
+        part = F.col(partitions[0])
+        target = target.where(part.isin([v for v in touched if v is not None]) | part.isNull())
+    known = stored(source.select(*keys).distinct(), "keys")
+    kept = target.join(known, list(keys), "left_anti").select(*columns)
+    new = unite([kept, source.select(*columns)])
+    if not scoped:
+        return _swap_in(spark, new, name)
+    overwrite_partitions(new, name)
+    return spark.table(name)
 
 
 def merge(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,14 +78,19 @@ def merge(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]
 
     NULL matches nothing: such source rows are inserted.
     """
+    source = stored(source, "merge")
+    refuse_repeats(source, name, keys)
+    return _replace_keys(spark, name, source, keys)
+
+
+def refuse_repeats(source: DataFrame, name: str, keys: Sequence[str]) -> None:
     if not source.dropna(subset=list(keys)).groupBy(*keys).count().where("count > 1").isEmpty():
         raise ValueError(f"merge into {name}: source has several rows for one key")
-    return _replaced(spark, name, source, keys)
 
 
 def delete_insert(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete rows with a key that the source has, then insert every source row."""
-    return _replaced(spark, name, source, keys)
+    return _replace_keys(spark, name, stored(source, "delete_insert"), keys)
 
 
 @contextmanager
@@ -85,6 +108,14 @@ def dynamic_overwrite(spark: SparkSession):
         spark.conf.set(OVERWRITE_MODE, before)
 
 
+def overwrite_partitions(df: DataFrame, name: str) -> None:
+    """Replace the partitions that the frame has rows for; it may read the same table."""
+    spark = df.sparkSession
+    with dynamic_overwrite(spark):
+        balanced(df, *partition_columns(spark, name)).write.insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(name)
+
+
 def _only_in_window(source: DataFrame, key: str, lo, hi) -> DataFrame:
     """Fail the write if a source row lies outside the window; costs no extra pass."""
     inside = F.coalesce(in_half_open(source, key, lo, hi), F.lit(False))
@@ -135,10 +166,8 @@ def time_interval(
     if granularity == "timestamp" and edge_days:
         survivors = table.where(F.col(day).isin(edge_days) & ~in_half_open(table, key, lo, hi))
         content = unite([survivors, content])
-    with dynamic_overwrite(spark):
-        balanced(content, day).write.insertInto(name, overwrite=True)
+    overwrite_partitions(content, name)
 
-    spark.catalog.refreshTable(name)
     after = _stale_days(spark.table(name), day, first, last)
     for emptied in sorted(d for d, file in before.items() if after.get(d) == file):
         spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS PARTITION (`{day}` = DATE '{emptied}')")
@@ -162,6 +191,8 @@ def materialise(spark: SparkSession, spec: TableSpec, df: DataFrame, window=None
             raise ValueError("time_interval needs a window")
         return time_interval(spark, spec.name, df, spec.incremental_key, *window, spec.granularity)
     if spec.strategy == "table" or not spark.catalog.tableExists(spec.name):
+        if spec.strategy == "merge":
+            refuse_repeats(df, spec.name, spec.primary_key)
         return replace_table(df, spec.name)
     if spec.strategy == "append":
         return append_rows(df, spec.name)

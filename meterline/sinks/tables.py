@@ -13,6 +13,10 @@ from meterline.sources.files import read_parquet
 from meterline.sources.tables import quoted
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Drop and rebuild a table from the frame, which must not read that table."""
     if partition_by:

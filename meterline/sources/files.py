@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,8 @@ from meterline.operators.sets import unite
 from meterline.operators.shape import ensure_columns
 
 FOOTER_READERS = 16
+NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+BROKEN = ("CANNOT_READ_FILE_FOOTER",)
 
 
 def read_csv_raw(spark: SparkSession, *paths: str) -> DataFrame:
@@ -51,16 +54,33 @@ def group_by_schema(schemas: dict[str, T.StructType]) -> list[list[str]]:
     return list(groups.values())
 
 
-def read_parquet_groups(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
-    """One multi-path read for each distinct schema among the paths.
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet folder, or None if there is no such path or nothing in it."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() not in NOTHING_THERE:
+            raise
+        return None
 
-    Months of one feed differ in physical types and one read would fail on them. Only
-    footers are looked at to group the paths, one for each path, several at a time.
+
+def file_schemas(spark: SparkSession, paths: list[str], format: str = "parquet") -> dict[str, T.StructType]:
+    """Schema of each path, from one footer or header; paths that are missing or unreadable are left out.
+
+    Only that is read here, on the driver, several paths at a time.
     """
+
+    def look(path: str) -> T.StructType | None:
+        try:
+            return spark.read.format(format).option("header", True).load(path).schema
+        except Exception as problem:
+            if not any(name in str(problem) for name in (*NOTHING_THERE, *BROKEN)):
+                raise
+            return None
+
     with ThreadPoolExecutor(FOOTER_READERS) as readers:
-        found = readers.map(lambda path: spark.read.parquet(path).schema, paths)
-        schemas = dict(zip(paths, found))
-    return [spark.read.parquet(*group) for group in group_by_schema(schemas)]
+        found = dict(zip(paths, readers.map(look, paths)))
+    return {path: schema for path, schema in found.items() if schema is not None}
 
 
 def read_parquet_as(spark: SparkSession, schema: T.StructType, *paths: str) -> DataFrame:
@@ -69,9 +89,13 @@ def read_parquet_as(spark: SparkSession, schema: T.StructType, *paths: str) -> D
     Files are read with their own types and cast afterwards: asking the reader for another
     type fails, or loses the whole file when corrupt files are skipped.
     """
+    found = file_schemas(spark, list(paths))
+    missing = [path for path in paths if path not in found]
+    if missing:
+        raise FileNotFoundError(f"no readable Parquet at {missing}")
     frames = []
-    for frame in read_parquet_groups(spark, list(paths)):
-        complete = ensure_columns(frame, schema)
+    for group in group_by_schema(found):
+        complete = ensure_columns(spark.read.parquet(*group), schema)
         frames.append(complete.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields)))
     return unite(frames)
 

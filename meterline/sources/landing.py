@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-import posixpath
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meterline.operators.sets import unite
 from meterline.operators.shape import conform, rename_first_present, with_tag
-from meterline.sources.files import group_by_schema, list_files, read_csv_raw, read_parquet_groups
+from meterline.sources.files import file_schemas, group_by_schema, read_csv_raw
 from meterline.types import struct_of
 
 logger = logging.getLogger(__name__)
@@ -53,26 +52,6 @@ def _months(start: dt.date, end: dt.date) -> list[tuple[int, int]]:
     return [(index // 12, index % 12 + 1) for index in span]
 
 
-def _landed(spark: SparkSession, root: str, wanted: dict[str, tuple]) -> dict[tuple, str]:
-    """Which of the wanted paths (relative to the root) exist as a file or a directory.
-
-    The root is listed once, by Spark, and what comes back is bounded by the paths asked for.
-    """
-    try:
-        files = list_files(spark, root)
-    except Exception as problem:
-        if "PATH_NOT_FOUND" not in str(problem):
-            raise
-        return {}
-    names = spark.createDataFrame([(name,) for name in wanted], "name string")
-    marker = f"/{posixpath.basename(root.rstrip('/'))}/"
-    relative = F.substring_index(F.col("path"), marker, -1)
-    steps = F.split(relative, "/")
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/"))
-    present = files.select(F.explode(prefixes).alias("name")).join(names, "name", "left_semi").distinct()
-    return {wanted[row["name"]]: f"{root.rstrip('/')}/{row['name']}" for row in present.collect()}
-
-
 def ingest_months(
     spark: SparkSession,
     root: str,
@@ -87,25 +66,21 @@ def ingest_months(
     `layout` gives the path below the root, without the `.parquet` or `.csv` ending; each may be
     a file or a directory. All trips get the common columns, `taxi_type` and one `extracted_at`
     for the whole run. With nothing landed the frame is empty, with the same columns.
+
+    Months of one feed that have the same columns are read together; the footer or header of
+    each month is looked at to tell.
     """
     stamp = extracted_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    slots = [(kind, year, month) for kind in types for year, month in _months(start, end)]
-    name_of = {slot: layout.format(type=slot[0], year=slot[1], month=slot[2]) for slot in slots}
-    wanted = {f"{name}.{ending}": (slot, ending) for slot, name in name_of.items() for ending in ("parquet", "csv")}
-    landed = _landed(spark, root, wanted)
-
     frames = []
     for kind in types:
-        parquet, csv = [], []
-        for slot in (s for s in slots if s[0] == kind):
-            if (slot, "parquet") in landed:
-                parquet.append(landed[slot, "parquet"])
-            elif (slot, "csv") in landed:
-                csv.append(landed[slot, "csv"])
-            else:
-                logger.warning("no file landed for %s", name_of[slot])
-        headers = {path: read_csv_raw(spark, path).schema for path in csv}
-        feeds = read_parquet_groups(spark, parquet) + [read_csv_raw(spark, *g) for g in group_by_schema(headers)]
+        paths = [f"{root.rstrip('/')}/{layout.format(type=kind, year=y, month=m)}" for y, m in _months(start, end)]
+        parquet = file_schemas(spark, [f"{path}.parquet" for path in paths])
+        csv = file_schemas(spark, [f"{path}.csv" for path in paths if f"{path}.parquet" not in parquet], "csv")
+        for path in paths:
+            if f"{path}.parquet" not in parquet and f"{path}.csv" not in csv:
+                logger.warning("no readable file landed for %s", path)
+        feeds = [spark.read.parquet(*group) for group in group_by_schema(parquet)]
+        feeds += [read_csv_raw(spark, *group) for group in group_by_schema(csv)]
         for feed in feeds:
             renamed, chosen = rename_first_present(feed, TRIP_SPELLINGS)
             if chosen.get("fare_amount", "fare_amount") not in ("fare_amount", "fare"):
