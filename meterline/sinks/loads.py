@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterline.operators.nested import LOAD_ID, normalise, schema_version
 from meterline.operators.ordering import dedup
-from meterline.sinks.files import write_parquet
+from meterline.sinks.files import stored, write_parquet
 from meterline.sources.files import read_if_there
 
 LOADS, STATE = "_loads", "_state"
@@ -33,10 +33,11 @@ def replace_load(
 ) -> dict[str, DataFrame]:
     """Normalise records, one per key, and replace the tables below the root with them.
 
-    The history row is written last, so a load without one did not finish.
+    The records are stored once and every table is made from that copy, reading only its own
+    columns. The history row is written last, so a load without one did not finish.
     """
     spark = records.sparkSession
-    tables = normalise(dedup(records, keys, order), table, keys, load_id)
+    tables = normalise(stored(dedup(records, keys, order), "records"), table, keys, load_id)
     for name, frame in tables.items():
         write_parquet(frame, f"{root}/{name}", "overwrite")
     record_load(spark, root, load_id, table, schema_version(records), loaded_at)

@@ -13,7 +13,7 @@ from meterline.operators.sets import unite
 from meterline.plans.revenue import GREEN_NAMES, YELLOW_NAMES, union_services
 from meterline.sources.landing import TRIP_SPELLINGS
 from meterline.types import struct_of
-from querybook.feeds import green, green_feed, supplier_zones, yellow, yellow_feed
+from querybook.feeds import green, green_feed, yellow, yellow_feed
 from querybook.registry import query
 
 
@@ -171,7 +171,10 @@ def count_on_date(t):
 )
 def join_zone(t):
     lines = t("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-    return lookup(lines, supplier_zones(t), {"l_suppkey": "LocationID"})
+    suppliers = t("supplier").select(F.col("s_suppkey").alias("LocationID"), "s_nationkey")
+    nations = t("nation").select("n_nationkey", F.col("n_name").alias("Zone"))
+    zoned = lookup(lookup(lines, suppliers, {"l_suppkey": "LocationID"}), nations, {"s_nationkey": "n_nationkey"})
+    return zoned.drop("s_nationkey", "n_nationkey")
 
 
 @query(
