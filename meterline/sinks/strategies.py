@@ -46,6 +46,10 @@ def _swap_in(spark: SparkSession, new: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def without_keys(target: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return target.join(known, list(keys), "left_anti")
+
+
 def _replace_keys(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the table whose key is not in the source, and all source rows.
 
@@ -65,7 +69,7 @@ def _replace_keys(spark: SparkSession, name: str, source: DataFrame, keys: Seque
         part = F.col(partitions[0])
         target = target.where(part.isin([v for v in touched if v is not None]) | part.isNull())
     known = stored(source.select(*keys).distinct(), "keys")
-    kept = target.join(known, list(keys), "left_anti").select(*columns)
+    kept = without_keys(target, known, keys).select(*columns)
     new = unite([kept, source.select(*columns)])
     if not scoped:
         return _swap_in(spark, new, name)

@@ -17,11 +17,14 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Drop and rebuild a table from the frame, which must not read that table."""
+def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), **options) -> DataFrame:
+    """Drop and rebuild a table from the frame, which must not read that table.
+
+    Write options are kept with the table and hold for later inserts too.
+    """
     if partition_by:
         df = balanced(df, *partition_by)
-    df.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(name)
+    df.write.mode("overwrite").format("parquet").options(**options).partitionBy(*partition_by).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -52,15 +55,16 @@ def append_rows(df: DataFrame, name: str) -> DataFrame:
 
 
 def load_table(df: DataFrame, name: str, mode: str = "replace", batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """Create the table empty from the frame's schema if replacing, then append in bounded files."""
-    spark = df.sparkSession
+    """Create the table empty from the frame's schema if replacing, then append.
+
+    The table's files hold at most `batch_rows` rows. That is set when it is created: inserts
+    take write options from the table, not from the writer.
+    """
     if mode == "replace":
-        replace_table(df.limit(0), name)
+        replace_table(df.limit(0), name, maxRecordsPerFile=batch_rows)
     elif mode != "append":
         raise ValueError(f"unknown mode {mode!r}")
-    table = spark.table(name)
-    df.select(*table.columns).write.option("maxRecordsPerFile", batch_rows).insertInto(name, overwrite=False)
-    return spark.table(name)
+    return append_rows(df, name)
 
 
 def multi_source_replace(spark: SparkSession, paths: Sequence[str], name: str) -> DataFrame:

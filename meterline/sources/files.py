@@ -113,21 +113,20 @@ def read_tolerant(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of the readable Parquet files, and a report on every listed file.
 
-    Report columns: path, length, rows_read, content_hash. A file with `rows_read = 0` was
-    skipped (or holds no rows). The hash makes the report decode every column, so that a
-    file whose pages or types cannot be read shows up too; it costs a full scan and runs
-    only if the report is used.
+    Report columns: path, length, rows_read. A file with `rows_read = 0` was skipped (or holds
+    no rows). Counting depends on a hash of all columns, so that the report decodes them and a
+    file whose pages or types cannot be read shows up too; it costs a full scan and runs only
+    if the report is used.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     reader = reader.option("ignoreCorruptFiles", True)
     if schema is not None:
         reader = reader.schema(schema)
     rows = reader.parquet(root)
-    read = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-        F.count("*").alias("rows_read"), F.bit_xor(F.xxhash64(*rows.columns)).alias("content_hash")
-    )
+    decoded = F.bit_xor(F.xxhash64(*rows.columns)).isNotNull()
+    read = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.when(decoded, F.count("*")).alias("rows_read"))
     report = list_files(spark, root, glob).join(read, "path", "left")
-    return rows, report.select("path", "length", F.coalesce("rows_read", F.lit(0)).alias("rows_read"), "content_hash")
+    return rows, report.select("path", "length", F.coalesce("rows_read", F.lit(0)).alias("rows_read"))
 
 
 def generated_rows(spark: SparkSession, count: int, **constants) -> DataFrame:
