@@ -72,6 +72,8 @@ def normalise(df: DataFrame, table: str, keys: Sequence[str], load_id: str) -> d
     tables: dict[str, DataFrame] = {}
 
     def split(frame: DataFrame, name: str, own: list[str], fields: list[_Field]) -> None:
+        if name in tables:
+            raise ValueError(f"two fields would give the table {name}")
         flat = [f for f in fields if not isinstance(f.type, T.ArrayType)]
         tables[name] = frame.select(
             *own, F.lit(load_id).alias(LOAD_ID), *(f.column.alias(f.name) for f in flat)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.operators.checks import check_table, enforce
-from meterline.operators.filters import as_moment, half_open
+from meterline.operators.filters import as_moment
 from meterline.operators.joins import lookup
 from meterline.operators.ordering import dedup, top_k
 from meterline.sinks.strategies import DAY, materialise, window_rows
@@ -34,6 +34,7 @@ STAGED_COLUMNS = (*TRIP_KEY, "payment_type_name")
 INGESTED_TRIPS = TableSpec(
     name="ingestion.trips",
     strategy="append",
+    incremental_key="pickup_datetime",
     columns=(
         Column("pickup_datetime", "timestamp_ntz", "Start of the trip"),
         Column("dropoff_datetime", "timestamp_ntz", "End of the trip"),
@@ -101,7 +102,7 @@ def staging_trips(
     trips: DataFrame, payments: DataFrame, window: tuple, order: Sequence[str] | None = None
 ) -> DataFrame:
     """Trips picked up in the window, one per key, with the payment's name where it is known."""
-    inside = half_open(trips, "pickup_datetime", *window)
+    inside = window_rows(trips, "pickup_datetime", *window)
     named = lookup(inside, payments, {"payment_type": "payment_type_id"}, "left")
     return dedup(named, TRIP_KEY, order).select(*STAGED_COLUMNS)
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.operators.nested import LOAD_ID, normalise, schema_version
 from meterline.operators.ordering import dedup
@@ -60,6 +61,12 @@ def _state(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     return read_if_there(spark, f"{root}/{STATE}/{table}")
 
 
+def _increments(source: DataFrame, root: str, table: str) -> DataFrame:
+    """All loads of a table. Load ids are text even where they look like numbers."""
+    loads = T.StructType([*source.schema.fields, T.StructField(LOAD_ID, T.StringType())])
+    return source.sparkSession.read.schema(loads).parquet(f"{root}/{table}")
+
+
 def load_increment(source: DataFrame, root: str, table: str, cursor: str, load_id: str) -> DataFrame:
     """Append the source rows beyond the last cursor value to a table and keep the new value.
 
@@ -74,14 +81,14 @@ def load_increment(source: DataFrame, root: str, table: str, cursor: str, load_i
     if state is not None:
         done = state.agg(F.max("cursor").alias("cursor"), F.count_if(F.col(LOAD_ID) == load_id).alias("n")).first()
         if done["n"]:
-            return spark.read.parquet(f"{root}/{table}")
+            return _increments(source, root, table)
         if done["cursor"] is not None:
             fresh = source.where(F.col(cursor) > F.lit(str(done["cursor"])).cast(kind))
     folder = f"{root}/{table}/{LOAD_ID}={load_id}"
     write_parquet(fresh, folder, "overwrite")
     newest = spark.read.schema(fresh.schema).parquet(folder).agg(F.max(cursor).alias("cursor"))
     _append(root, f"{STATE}/{table}", newest.select(F.lit(load_id).alias(LOAD_ID), "cursor"))
-    return spark.read.parquet(f"{root}/{table}")
+    return _increments(source, root, table)
 
 
 def load_state(spark: SparkSession, root: str, table: str) -> DataFrame:

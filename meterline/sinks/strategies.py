@@ -162,6 +162,8 @@ def time_interval(
     if not spark.catalog.tableExists(name):
         return replace_table(new, name, [day])
 
+    if partition_columns(spark, name) != [day]:
+        raise ValueError(f"{name} is not partitioned by {day}")
     table = spark.table(name)
     first, last = lo.date(), last_day_below(hi)
     before = _stale_days(table, day, first, last)
@@ -184,7 +186,11 @@ def window_rows(table: DataFrame, key: str, lo, hi) -> DataFrame:
 
 
 def materialise(spark: SparkSession, spec: TableSpec, df: DataFrame, window=None, full_refresh: bool = False) -> DataFrame:
-    """Build a declared table by its strategy. `full_refresh` drops what is stored first."""
+    """Build a declared table by its strategy. `full_refresh` drops what is stored first.
+
+    A table with an incremental key is stored in day partitions of it, whatever the strategy,
+    so that the next step reads only the days of its window.
+    """
     df = df.select(*(F.col(c.name).cast(c.type).alias(c.name) for c in spec.columns))
     if spec.strategy == "view":
         return as_view(df, spec.name)
@@ -194,10 +200,14 @@ def materialise(spark: SparkSession, spec: TableSpec, df: DataFrame, window=None
         if window is None:
             raise ValueError("time_interval needs a window")
         return time_interval(spark, spec.name, df, spec.incremental_key, *window, spec.granularity)
+    days = []
+    if spec.incremental_key:
+        days = [spec.incremental_key] if spec.granularity == "date" else [DAY]
+        df = df if spec.granularity == "date" else df.withColumn(DAY, day_of(F.col(spec.incremental_key)))
     if spec.strategy == "table" or not spark.catalog.tableExists(spec.name):
         if spec.strategy == "merge":
             refuse_repeats(df, spec.name, spec.primary_key)
-        return replace_table(df, spec.name)
+        return replace_table(df, spec.name, days)
     if spec.strategy == "append":
         return append_rows(df, spec.name)
     act = merge if spec.strategy == "merge" else delete_insert

@@ -49,9 +49,12 @@ def ctas_partitioned(
 
 def append_rows(df: DataFrame, name: str) -> DataFrame:
     """Insert rows, matching columns by name, and touch nothing that is there."""
-    table = df.sparkSession.table(name)
-    df.select(*table.columns).write.insertInto(name, overwrite=False)
-    return df.sparkSession.table(name)
+    spark = df.sparkSession
+    rows, partitions = df.select(*spark.table(name).columns), partition_columns(spark, name)
+    if partitions:
+        rows = balanced(rows, *partitions)
+    rows.write.insertInto(name, overwrite=False)
+    return spark.table(name)
 
 
 def load_table(df: DataFrame, name: str, mode: str = "replace", batch_rows: int = BATCH_ROWS) -> DataFrame:

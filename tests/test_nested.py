@@ -72,6 +72,9 @@ def test_clashing_flat_names_are_refused(spark):
     df = spark.sql("SELECT 1 AS a__b, struct(2 AS b) AS a")
     with pytest.raises(ValueError, match="a__b"):
         nested.flatten_struct(df)
+    deep = spark.sql("SELECT 1 AS k, array(1) AS a__b, array(named_struct('b', array(2))) AS a")
+    with pytest.raises(ValueError, match="t__a__b"):
+        nested.normalise(deep, "t", ["k"], "l1")
 
 
 def test_nesting_lines_and_taking_them_apart_gives_the_lines(small):
@@ -117,5 +120,6 @@ def test_increment_lost_before_its_state_is_taken_over(spark, folder):
     source = spark.createDataFrame([(1, 10), (2, 20)], "id int, seq int")
     from meterline.sinks.files import write_parquet
 
-    write_parquet(source.where("id = 1"), f"{folder}/t/_load_id=l1")
-    assert loads.load_increment(source, folder, "t", "seq", "l1").count() == 2
+    write_parquet(source.where("id = 1"), f"{folder}/t/_load_id=007")
+    got = loads.load_increment(source, folder, "t", "seq", "007")
+    assert rows(got) == [(1, 10, "007"), (2, 20, "007")]

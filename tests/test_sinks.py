@@ -192,6 +192,13 @@ def test_source_may_read_the_table(spark, base):
     assert values(spark, name) == ["D", "E", "a", "b", "c", "null", "z"]
 
 
+def test_table_without_day_partitions_is_refused(spark, base):
+    name = table(spark, base, [(at(1), "a")], NTZ)
+    with pytest.raises(ValueError, match="not partitioned"):
+        act.time_interval(spark, name, frame(spark, [], NTZ), "ts", "2024-01-01", "2024-01-02")
+    assert spark.table(name).count() == 1
+
+
 def test_date_windows(spark, base):
     name, columns = f"{base}.t", "day date, n int"
     days = frame(spark, [(dt.date(2024, 1, d), d) for d in (1, 2, 3)], columns)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterline.operators.checks import ChecksFailed
 from meterline.plans import staging
 from meterline.sinks.files import write_parquet
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 
 JAN, FEB, MAR = dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)
 
@@ -38,6 +38,13 @@ def build(spark, landed, window, **more):
     return staging.build_trip_tables(spark, landed, f"{landed}/seed", ["yellow"], window, **more)
 
 
+def test_staging_reads_only_the_days_of_its_window(spark, landed):
+    build(spark, landed, (JAN, FEB))
+    payments = spark.table("ingestion.payment_lookup")
+    text = plan_of(staging.staging_trips(spark.table("ingestion.trips"), payments, (JAN, FEB)))
+    assert "PartitionFilters: [isnotnull(_day" in text
+
+
 def test_windows_build_up_and_repeat(spark, landed):
     build(spark, landed, (JAN, FEB))
     assert spark.table("staging.trips").count() == 40
