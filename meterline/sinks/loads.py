@@ -71,7 +71,7 @@ def load_increment(source: DataFrame, root: str, table: str, cursor: str, load_i
     """Append the source rows beyond the last cursor value to a table and keep the new value.
 
     One row of state comes to the driver; its cursor goes into the filter and so reaches the
-    scan. Every load has a folder of its own: a load run again before its state was kept
+    scan. A row without a cursor value would be in no load, so it fails the load. Every load has a folder of its own: a load run again before its state was kept
     replaces that folder, and one run again afterwards does nothing.
     """
     spark = source.sparkSession
@@ -83,7 +83,10 @@ def load_increment(source: DataFrame, root: str, table: str, cursor: str, load_i
         if done["n"]:
             return _increments(source, root, table)
         if done["cursor"] is not None:
-            fresh = source.where(F.col(cursor) > F.lit(str(done["cursor"])).cast(kind))
+            later = F.col(cursor) > F.lit(str(done["cursor"])).cast(kind)
+            fresh = source.where(later | F.col(cursor).isNull())
+    unknown = F.raise_error(F.lit(f"row without {cursor}")).cast(kind)
+    fresh = fresh.withColumn(cursor, F.when(F.col(cursor).isNotNull(), F.col(cursor)).otherwise(unknown))
     folder = f"{root}/{table}/{LOAD_ID}={load_id}"
     write_parquet(fresh, folder, "overwrite")
     newest = spark.read.schema(fresh.schema).parquet(folder).agg(F.max(cursor).alias("cursor"))

@@ -20,8 +20,8 @@ def result(column: str | None, check: str, failed: str, table: str, source: str
     """
 
 
-def surplus(keys: str, table: str) -> str:
-    return f"(SELECT n FROM (SELECT {keys}, COUNT(*) AS n FROM {table} GROUP BY ALL))"
+def surplus(keys: str, table: str, where: str = "true") -> str:
+    return f"(SELECT n FROM (SELECT {keys}, COUNT(*) AS n FROM {table} WHERE {where} GROUP BY ALL))"
 
 
 def column_check(name: str, kind: str, columns: list[str], table: str, broken: str, values: tuple = ()):
@@ -42,7 +42,10 @@ column_check(
 
 @query(
     "check_unique",
-    result("l_orderkey", "unique", "coalesce(SUM(n - 1), 0)", "lineitem", surplus("l_orderkey", "lineitem")),
+    result(
+        "l_orderkey", "unique", "coalesce(SUM(n - 1), 0)", "lineitem",
+        surplus("l_orderkey", "lineitem", "l_orderkey IS NOT NULL"),
+    ),
 )
 def check_unique(t):
     return run_checks(t("lineitem"), "lineitem", [Check("unique", "l_orderkey")])
@@ -97,7 +100,7 @@ STATS = "(SELECT c_mktsegment AS name, COUNT(*) AS player_count FROM customer GR
     " UNION ALL ".join(
         [
             result("name", "not_null", "count_if(name IS NULL)", "player_stats", STATS),
-            result("name", "unique", "COUNT(*) - COUNT(DISTINCT name)", "player_stats", STATS),
+            result("name", "unique", "COUNT(name) - COUNT(DISTINCT name)", "player_stats", STATS),
             result("player_count", "not_null", "count_if(player_count IS NULL)", "player_stats", STATS),
             result("player_count", "positive", "count_if(player_count <= 0)", "player_stats", STATS),
             result(None, MANY_ROWS.name, "CASE WHEN COUNT(*) > 1 THEN 0 ELSE 1 END", "player_stats", STATS),

@@ -131,11 +131,12 @@ def load_history(t):
 @query(
     "normalise_reload",
     """
-    SELECT sha256('["lines","' || l_orderkey || '","' || l_linenumber || '"]') AS _parent_id, position AS _position,
-           flag AS value, 'load-2' AS _load_id
+    SELECT sha256('["lines",' || coalesce('"' || l_orderkey || '"', 'null') || ','
+                  || coalesce('"' || l_linenumber || '"', 'null') || ']') AS _parent_id, position AS _position, flag AS value, 'load-2' AS _load_id
     FROM (
       SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                                   ORDER BY l_shipdate, l_extendedprice, l_returnflag, l_linestatus) AS rank
+                                   ORDER BY l_shipdate NULLS FIRST, l_extendedprice NULLS FIRST,
+                                            l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS rank
       FROM lineitem) d,
       LATERAL (VALUES (0, d.l_returnflag), (1, d.l_linestatus)) AS f(position, flag)
     WHERE rank = 1
@@ -158,14 +159,15 @@ def normalise_reload(t):
     """
     SELECT CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 'load-1' ELSE 'load-2' END AS _load_id, COUNT(*) AS row_count,
            (SELECT MAX(ts) FROM events) AS cursor
-    FROM events GROUP BY 1
+    FROM events WHERE ts IS NOT NULL GROUP BY 1
     """,
 )
 def load_state(t):
     """Events landed up to a day, then all of them: the second run adds only the newer ones."""
     root = workspace(t.spark, "state")
-    loads.load_increment(t("events").where("ts < TIMESTAMP_NTZ '2024-01-15'"), root, "events", "ts", "load-1")
-    stored = loads.load_increment(t("events"), root, "events", "ts", "load-2")
+    events = t("events").dropna(subset=["ts"])
+    loads.load_increment(events.where("ts < TIMESTAMP_NTZ '2024-01-15'"), root, "events", "ts", "load-1")
+    stored = loads.load_increment(events, root, "events", "ts", "load-2")
     state = loads.load_state(t.spark, root, "events").select("cursor")
     counts = stored.groupBy("_load_id").agg(F.count("*").alias("row_count"))
     return counts.withColumn("cursor", state.scalar())

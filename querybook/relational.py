@@ -103,7 +103,7 @@ def ensure_columns(t):
 @query(
     "coerce_timestamps",
     """
-    SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'R' THEN l_shipdate END AS pickup_datetime
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag IS DISTINCT FROM 'R' THEN l_shipdate END AS pickup_datetime
     FROM lineitem
     """,
 )
@@ -236,8 +236,9 @@ def distinct_vendor_unpruned(t):
     SELECT * EXCLUDE (rank) FROM (
       SELECT *, row_number() OVER (
           PARTITION BY l_orderkey, l_linenumber
-          ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-                   l_shipdate) AS rank
+          ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST,
+                   l_discount NULLS FIRST, l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST,
+                   l_shipdate NULLS FIRST) AS rank
       FROM lineitem) WHERE rank = 1
     """,
 )
@@ -245,7 +246,7 @@ def dedup_composite(t):
     return dedup(t("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query("limit_rows", "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
+@query("limit_rows", "SELECT * FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 100")
 def limit_rows(t):
     return top_k(t("orders"), "o_totalprice", 100, ["o_orderkey"])
 

@@ -96,12 +96,12 @@ def load_replace_append(t):
 
 @query("multi_file_single_table", "SELECT * FROM orders")
 def multi_file_single_table(t):
-    """Orders landed in a folder per status, loaded as one table, replaced by a second load."""
+    """Orders landed in two folders, loaded as one table, replaced by a second load."""
     root, name = workspace(t.spark, "parts"), new_table(t, "multi")
-    files.write_parquet(t("orders").withColumn("status", F.col("o_orderstatus")), root, partition_by=["status"])
-    statuses = [r.o_orderstatus for r in t("orders").select("o_orderstatus").distinct().collect()]
+    half = F.when(F.col("o_orderstatus") == "O", "open").otherwise("other")
+    files.write_parquet(t("orders").withColumn("half", half), root, partition_by=["half"])
     for _ in range(2):
-        stored = tables.multi_source_replace(t.spark, [f"{root}/status={s}" for s in statuses], name)
+        stored = tables.multi_source_replace(t.spark, [f"{root}/half=open", f"{root}/half=other"], name)
     return stored
 
 
@@ -201,8 +201,8 @@ def mat_merge(t):
 @query(
     "mat_delete_insert",
     """
-    SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
-    WHERE l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
+    SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem l
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem r WHERE r.l_orderkey = l.l_orderkey AND r.l_returnflag = 'R')
     UNION ALL SELECT l_orderkey, l_linenumber, l_quantity + 1 FROM lineitem WHERE l_returnflag = 'R'
     """,
 )
@@ -222,7 +222,7 @@ LO, HI = "2024-01-10 06:00:00", "2024-01-20 06:00:00"
     "mat_time_interval",
     f"""
     SELECT event_id, ts, event_type, value FROM events
-    WHERE NOT (ts >= TIMESTAMP '{LO}' AND ts < TIMESTAMP '{HI}')
+    WHERE (ts >= TIMESTAMP '{LO}' AND ts < TIMESTAMP '{HI}') IS NOT TRUE
     UNION ALL
     SELECT event_id, ts, event_type, value + 1 FROM events
     WHERE ts >= TIMESTAMP '{LO}' AND ts < TIMESTAMP '{HI}' AND event_type <> 'error'
@@ -231,7 +231,8 @@ LO, HI = "2024-01-10 06:00:00", "2024-01-20 06:00:00"
 def mat_time_interval(t):
     """A window off midnight rebuilt without errors and with other values."""
     name, events = new_table(t, "interval"), t("events").select("event_id", "ts", "event_type", "value")
-    strategies.time_interval(t.spark, name, events, "ts", "1970-01-01", "2100-01-01")
+    by_day = events.withColumn(strategies.DAY, F.to_date("ts"))
+    tables.replace_table(by_day, name, [strategies.DAY])
     rebuilt = half_open(events, "ts", LO, HI).where("event_type <> 'error'")
     rebuilt = rebuilt.withColumn("value", F.col("value") + 1)
     return strategies.time_interval(t.spark, name, rebuilt, "ts", LO, HI).drop(strategies.DAY)

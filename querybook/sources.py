@@ -61,9 +61,11 @@ def csv_typed_scan(t):
 @query(
     "csv_infer_schema",
     """
-    SELECT * FROM (VALUES ('c_custkey', 'int'), ('c_name', 'string'), ('c_nationkey', 'int'), ('c_acctbal', 'double'),
-                          ('c_mktsegment', 'string')) AS v(column_name, type_name),
-                  (SELECT COUNT(*) AS filled FROM customer) AS n
+    SELECT 'c_custkey' AS column_name, 'int' AS type_name, COUNT(c_custkey) AS filled FROM customer
+    UNION ALL SELECT 'c_name', 'string', COUNT(c_name) FROM customer
+    UNION ALL SELECT 'c_nationkey', 'int', COUNT(c_nationkey) FROM customer
+    UNION ALL SELECT 'c_acctbal', 'double', COUNT(c_acctbal) FROM customer
+    UNION ALL SELECT 'c_mktsegment', 'string', COUNT(c_mktsegment) FROM customer
     """,
 )
 def csv_infer_schema(t):
@@ -202,13 +204,13 @@ def ingest_months_of_lines(t):
     """
     SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS payment_type_id, substr(o_orderpriority, 3) AS payment_type_name,
            COUNT(*) AS orders
-    FROM orders GROUP BY 1, 2
+    FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1, 2
     """,
 )
 def seed_lookup(t):
     """The payment names of the orders as a CSV seed, loaded with its checks and looked up."""
     code = F.substring("o_orderpriority", 1, 1)
-    names = t("orders").select(
+    names = t("orders").dropna(subset=["o_orderpriority"]).select(
         code.alias("payment_type_id"), F.substring("o_orderpriority", 3, 100).alias("payment_type_name")
     )
     seed = load_seed(t.spark, csv_copy(t, names.distinct(), "seed"), PAYMENT_LOOKUP)
@@ -238,7 +240,7 @@ def json_records(t):
     """
     SELECT event_id AS page, CAST(0 AS INTEGER) AS position, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
     WHERE event_id < (SELECT coalesce(MIN(event_id), 9223372036854775807) FROM events
-                      WHERE event_type = 'signup' AND value > 300)
+                      WHERE (event_type = 'signup' AND value > 300) OR props IS NULL)
     """,
 )
 def pages_before_empty(t):

@@ -116,6 +116,14 @@ def test_increments_add_each_row_once(spark, folder):
     assert rows(loads.load_state(spark, folder, "t")) == [("t", "l4", dt.datetime(2024, 1, 6))]
 
 
+def test_increment_refuses_rows_without_a_cursor(spark, folder):
+    source = spark.createDataFrame([(1, 10), (2, None)], "id int, seq int")
+    loads.load_increment(source.where("id = 1"), folder, "t", "seq", "l1")
+    with pytest.raises(Exception, match="row without seq"):
+        loads.load_increment(source, folder, "t", "seq", "l2")
+    assert loads.load_increment(source.where("id = 1"), folder, "t", "seq", "l3").count() == 1
+
+
 def test_increment_lost_before_its_state_is_taken_over(spark, folder):
     source = spark.createDataFrame([(1, 10), (2, 20)], "id int, seq int")
     from meterline.sinks.files import write_parquet
