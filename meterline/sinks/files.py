@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.functions.clock import month_start
-from meterline.session import workspace
 from meterline.sources.files import read_csv
 
 BATCH_ROWS = 100_000
@@ -49,16 +48,6 @@ def write_parquet(
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Compute a frame once: write it to the shared folder and read it from there.
-
-    Unlike a cache, the result outlives lost executors, and its true size is known to the planner.
-    """
-    path = workspace(df.sparkSession, label)
-    write_parquet(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def write_per_resource(df: DataFrame, root: str, resource: Column, mode: str = "overwrite") -> None:
     """One Parquet folder for each resource value below the root, in one job."""
     write_parquet(df.withColumn("resource", resource), root, mode, partition_by=["resource"])

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from meterline.operators.nested import LOAD_ID, normalise, schema_version
 from meterline.operators.ordering import dedup
-from meterline.sinks.files import stored, write_parquet
+from meterline.sinks.files import write_parquet
+from meterline.sinks.tables import held
 from meterline.sources.files import read_if_there
 
 LOADS, STATE = "_loads", "_state"
@@ -34,15 +35,17 @@ def replace_load(
 ) -> dict[str, DataFrame]:
     """Normalise records, one per key, and replace the tables below the root with them.
 
-    The records are stored once and every table is made from that copy, reading only its own
+    The records are computed once and every table is made from that copy, reading only its own
     columns. The history row is written last, so a load without one did not finish.
     """
     spark = records.sparkSession
-    tables = normalise(stored(dedup(records, keys, order), "records"), table, keys, load_id)
-    for name, frame in tables.items():
-        write_parquet(frame, f"{root}/{name}", "overwrite")
+    with held(dedup(records, keys, order), "records") as once:
+        schemas = {}
+        for name, frame in normalise(once, table, keys, load_id).items():
+            write_parquet(frame, f"{root}/{name}", "overwrite")
+            schemas[name] = frame.schema
     record_load(spark, root, load_id, table, schema_version(records), loaded_at)
-    return {name: spark.read.parquet(f"{root}/{name}") for name in tables}
+    return {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in schemas.items()}
 
 
 def record_load(

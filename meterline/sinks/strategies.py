@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from meterline.functions.clock import day_of
 from meterline.operators.filters import as_moment, half_open, in_half_open, last_day_below
 from meterline.operators.sets import unite
-from meterline.sinks.files import balanced, stored
-from meterline.sinks.tables import append_rows, drop_table, partition_columns, replace_table
+from meterline.sinks.files import balanced
+from meterline.sinks.tables import append_rows, drop_table, held, partition_columns, replace_table
 from meterline.sources.tables import quoted
 from meterline.spec import TableSpec
 
@@ -53,9 +53,9 @@ def without_keys(target: DataFrame, known: DataFrame, keys: Sequence[str]) -> Da
 def _replace_keys(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the table whose key is not in the source, and all source rows.
 
-    `source` is stored, as it is used twice. Its keys are stored too: a small set is broadcast,
-    and against a large one both join sides are plain shuffles, so that adaptive execution can
-    split the table's rows of one frequent key; an aggregate below the join would prevent that.
+    The source's keys are computed first and held: a small set is broadcast, and against a
+    large one both join sides are plain shuffles, so that adaptive execution can split the
+    table's rows of one frequent key; an aggregate below the join would prevent that.
 
     If the table is partitioned by one of the keys, only the partitions of the source's keys
     are read and written.
@@ -68,12 +68,12 @@ def _replace_keys(spark: SparkSession, name: str, source: DataFrame, keys: Seque
         touched = [row[0] for row in source.select(*partitions).distinct().collect()]
         part = F.col(partitions[0])
         target = target.where(part.isin([v for v in touched if v is not None]) | part.isNull())
-    known = stored(source.select(*keys).distinct(), "keys")
-    kept = without_keys(target, known, keys).select(*columns)
-    new = unite([kept, source.select(*columns)])
-    if not scoped:
-        return _swap_in(spark, new, name)
-    overwrite_partitions(new, name)
+    with held(source.select(*keys).distinct(), "keys") as known:
+        new = unite([without_keys(target, known, keys).select(*columns), source.select(*columns)])
+        if scoped:
+            overwrite_partitions(new, name)
+        else:
+            _swap_in(spark, new, name)
     return spark.table(name)
 
 
@@ -82,9 +82,9 @@ def merge(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]
 
     NULL matches nothing: such source rows are inserted.
     """
-    source = stored(source, "merge")
-    refuse_repeats(source, name, keys)
-    return _replace_keys(spark, name, source, keys)
+    with held(source, "merge") as rows:
+        refuse_repeats(rows, name, keys)
+        return _replace_keys(spark, name, rows, keys)
 
 
 def refuse_repeats(source: DataFrame, name: str, keys: Sequence[str]) -> None:
@@ -94,7 +94,8 @@ def refuse_repeats(source: DataFrame, name: str, keys: Sequence[str]) -> None:
 
 def delete_insert(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete rows with a key that the source has, then insert every source row."""
-    return _replace_keys(spark, name, stored(source, "delete_insert"), keys)
+    with held(source, "delete_insert") as rows:
+        return _replace_keys(spark, name, rows, keys)
 
 
 @contextmanager

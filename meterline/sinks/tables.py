@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.functions.clock import day_of
+from meterline.session import scratch_database
 from meterline.sinks.files import BATCH_ROWS, balanced
 from meterline.sources.files import read_parquet
 from meterline.sources.tables import quoted
@@ -28,6 +30,20 @@ def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), **
     return df.sparkSession.table(name)
 
 
+@contextmanager
+def held(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Compute a frame once, for several uses: a table in the shared folder, dropped afterwards.
+
+    Unlike a cache, it outlives lost executors, and its true size is known to the planner.
+    """
+    spark = df.sparkSession
+    base = scratch_database(spark, label)
+    try:
+        yield replace_table(df, f"{base}.held")
+    finally:
+        spark.sql(f"DROP DATABASE {quoted(base)} CASCADE")
+
+
 def ctas(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     """Copy a frame, such as an external table, to a native table."""
     return replace_table(df, name)

@@ -41,8 +41,9 @@ def month_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def months_touched(df: DataFrame, start: Column, end: Column) -> DataFrame:
-    """One row per month between two dates of each row of `df`."""
-    firsts = F.sequence(F.trunc(F.to_date(start), "month"), F.trunc(F.to_date(end), "month"), F.expr("INTERVAL 1 MONTH"))
+    """One row per month from the first to the last date of each row of `df`; none if they are reversed."""
+    first, last = (F.trunc(F.to_date(bound), "month") for bound in (start, end))
+    firsts = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MONTH")))
     months = df.select(F.explode(firsts).alias("first_day"))
     return months.select(F.year("first_day").alias("year"), F.month("first_day").alias("month"))
 

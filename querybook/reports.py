@@ -96,7 +96,7 @@ def revenue_by_zone(t):
     return revenue.revenue_by_zone(outer_join_hourly(t), zones(t))
 
 
-# Two trips of a window of orders, one landed twice, with a payment code that has no name.
+# The run window of the staged trips and their report.
 WINDOW = ("1996-01-01", "1998-07-01")
 
 

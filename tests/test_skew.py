@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.operators.joins import lookup
-from meterline.sinks.files import stored
+from meterline.session import workspace
+from meterline.sinks.files import write_parquet
 from meterline.sinks.strategies import without_keys
 from tests.conftest import plan_of
 
@@ -33,6 +34,12 @@ def settings(spark, values):
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
+def stored(df, label):
+    path = workspace(df.sparkSession, label)
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 @pytest.fixture(scope="module")
 def facts(spark):
     key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))

@@ -83,6 +83,7 @@ def test_month_spine_crosses_years(spark):
     got = month_spine(spark, dt.date(2023, 11, 30), dt.date(2024, 2, 1))
     assert rows(got) == [(2023, 11), (2023, 12), (2024, 1), (2024, 2)]
     assert rows(month_spine(spark, dt.date(2024, 2, 29), dt.date(2024, 2, 1))) == [(2024, 2)]
+    assert month_spine(spark, dt.date(2024, 2, 1), dt.date(2024, 1, 1)).isEmpty()
 
 
 STAMP = dt.datetime(2024, 5, 1, 12)
