@@ -87,7 +87,9 @@ def longest_duration_hours(trips: DataFrame, start: str, end: str) -> DataFrame:
     return max_of(valid_pair(trips, start, end), hours_between(F.col(start), F.col(end)), "max_hours")
 
 
-def base_report(trips: DataFrame, licence: str, pickup: str, dropoff: str, columns: list[str], label=base_id) -> DataFrame:
+def base_report(
+    trips: DataFrame, licence: str, pickup: str, dropoff: str, columns: list[str], label=base_id
+) -> DataFrame:
     """Base label and both dates of each for-hire trip; `label` may be another function of the licence."""
     return trips.select(
         label(F.col(licence)).alias("base_id"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +54,12 @@ def write_per_resource(df: DataFrame, root: str, resource: Column, mode: str = "
 
 
 def csv_to_parquet_months(
-    spark: SparkSession, paths: str | list[str], schema: T.StructType, time_column: str, out: str, mode: str = "overwrite"
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: T.StructType,
+    time_column: str,
+    out: str,
+    mode: str = "overwrite",
 ) -> None:
     """Convert CSV directories to Parquet in year and month directories: one read, one write.
 

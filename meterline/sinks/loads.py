@@ -74,8 +74,9 @@ def load_increment(source: DataFrame, root: str, table: str, cursor: str, load_i
     """Append the source rows beyond the last cursor value to a table and keep the new value.
 
     One row of state comes to the driver; its cursor goes into the filter and so reaches the
-    scan. A row without a cursor value would be in no load, so it fails the load. Every load has a folder of its own: a load run again before its state was kept
-    replaces that folder, and one run again afterwards does nothing.
+    scan. A row without a cursor value would be in no load, so it fails the load. Every load has
+    a folder of its own: a load run again before its state was kept replaces that folder, and
+    one run again afterwards does nothing.
     """
     spark = source.sparkSession
     state = _state(spark, root, table)

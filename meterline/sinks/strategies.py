@@ -30,8 +30,8 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 def _swap_in(spark: SparkSession, new: DataFrame, name: str) -> DataFrame:
     """Put a new version in a table's place.
 
-    The version is complete before the old one moves aside, and the old one is dropped last,
-    so after a lost job one of `name`, `name__next` and `name__previous` holds the rows.
+    The version is complete before the old one moves aside, and the old one is dropped last.
+    A job lost between the two renames leaves the old one aside; `put_back` undoes that.
     """
     following, previous = f"{name}__next", f"{name}__previous"
     drop_table(spark, previous)
@@ -46,6 +46,13 @@ def _swap_in(spark: SparkSession, new: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def put_back(spark: SparkSession, name: str) -> None:
+    """Return the old version to its place if a swap was lost halfway."""
+    previous = f"{name}__previous"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(previous):
+        spark.sql(f"ALTER TABLE {quoted(previous)} RENAME TO {quoted(name)}")
+
+
 def without_keys(target: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     return target.join(known, list(keys), "left_anti")
 
@@ -60,6 +67,7 @@ def _replace_keys(spark: SparkSession, name: str, source: DataFrame, keys: Seque
     If the table is partitioned by one of the keys, only the partitions of the source's keys
     are read and written.
     """
+    put_back(spark, name)
     target = spark.table(name)
     columns = target.columns
     partitions = partition_columns(spark, name)
@@ -186,7 +194,9 @@ def window_rows(table: DataFrame, key: str, lo, hi) -> DataFrame:
     return half_open(table, key, lo, hi, date_col=DAY if DAY in table.columns else None)
 
 
-def materialise(spark: SparkSession, spec: TableSpec, df: DataFrame, window=None, full_refresh: bool = False) -> DataFrame:
+def materialise(
+    spark: SparkSession, spec: TableSpec, df: DataFrame, window: tuple | None = None, full_refresh: bool = False
+) -> DataFrame:
     """Build a declared table by its strategy. `full_refresh` drops what is stored first.
 
     A table with an incremental key is stored in day partitions of it, whatever the strategy,
@@ -197,6 +207,8 @@ def materialise(spark: SparkSession, spec: TableSpec, df: DataFrame, window=None
         return as_view(df, spec.name)
     if full_refresh:
         drop_table(spark, spec.name)
+    else:
+        put_back(spark, spec.name)
     if spec.strategy == "time_interval":
         if window is None:
             raise ValueError("time_interval needs a window")

@@ -124,7 +124,8 @@ def read_tolerant(
         reader = reader.schema(schema)
     rows = reader.parquet(root)
     decoded = F.bit_xor(F.xxhash64(*rows.columns)).isNotNull()
-    read = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.when(decoded, F.count("*")).alias("rows_read"))
+    per_file = rows.groupBy(F.col("_metadata.file_path").alias("path"))
+    read = per_file.agg(F.when(decoded, F.count("*")).alias("rows_read"))
     report = list_files(spark, root, glob).join(read, "path", "left")
     return rows, report.select("path", "length", F.coalesce("rows_read", F.lit(0)).alias("rows_read"))
 

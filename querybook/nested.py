@@ -132,7 +132,8 @@ def load_history(t):
     "normalise_reload",
     """
     SELECT sha256('["lines",' || coalesce('"' || l_orderkey || '"', 'null') || ','
-                  || coalesce('"' || l_linenumber || '"', 'null') || ']') AS _parent_id, position AS _position, flag AS value, 'load-2' AS _load_id
+                  || coalesce('"' || l_linenumber || '"', 'null') || ']') AS _parent_id,
+           position AS _position, flag AS value, 'load-2' AS _load_id
     FROM (
       SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                                    ORDER BY l_shipdate NULLS FIRST, l_extendedprice NULLS FIRST,

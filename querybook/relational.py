@@ -268,7 +268,8 @@ def union_positional(t):
 @query(
     "union_missing_columns",
     """
-    SELECT o_orderkey AS id, o_totalprice AS total, o_orderstatus AS status, CAST(NULL AS DOUBLE) AS distance FROM orders
+    SELECT o_orderkey AS id, o_totalprice AS total, o_orderstatus AS status, CAST(NULL AS DOUBLE) AS distance
+    FROM orders
     UNION ALL SELECT l_orderkey, l_extendedprice, NULL, l_quantity FROM lineitem
     """,
 )

@@ -42,7 +42,8 @@ def csv_raw_scan(t):
     "csv_typed_scan",
     """
     SELECT o_orderkey, o_orderdate, o_totalprice,
-           CASE WHEN o_orderstatus = 'F' THEN NULL ELSE CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS payment_type
+           CASE WHEN o_orderstatus = 'F' THEN NULL ELSE CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END
+             AS payment_type
     FROM orders
     """,
 )
@@ -167,7 +168,8 @@ LANDED_FROM, LANDED_TO = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
 @query(
     "ingest_months",
     """
-    SELECT l_shipdate AS pickup_datetime, l_shipdate AS dropoff_datetime, CAST(l_suppkey AS INTEGER) AS pickup_location_id,
+    SELECT l_shipdate AS pickup_datetime, l_shipdate AS dropoff_datetime,
+           CAST(l_suppkey AS INTEGER) AS pickup_location_id,
            CAST(NULL AS INTEGER) AS dropoff_location_id, l_extendedprice AS fare_amount, l_linenumber AS payment_type,
            CASE WHEN l_returnflag = 'A' THEN 'yellow' ELSE 'green' END AS taxi_type
     FROM lineitem WHERE strftime(l_shipdate, '%Y-%m') <> '1997-05'
@@ -202,7 +204,8 @@ def ingest_months_of_lines(t):
 @query(
     "seed_lookup",
     """
-    SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS payment_type_id, substr(o_orderpriority, 3) AS payment_type_name,
+    SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS payment_type_id,
+           substr(o_orderpriority, 3) AS payment_type_name,
            COUNT(*) AS orders
     FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1, 2
     """,
@@ -224,7 +227,8 @@ RECORD = struct_of("k int")
 @query(
     "json_records",
     """
-    SELECT event_id AS page, CAST(0 AS INTEGER) AS position, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+    SELECT event_id AS page, CAST(0 AS INTEGER) AS position, CAST(json_extract(props, '$.k') AS INTEGER) AS k
+    FROM events
     UNION ALL SELECT event_id, 1, CAST(user_id AS INTEGER) FROM events
     """,
 )
@@ -238,7 +242,8 @@ def json_records(t):
 @query(
     "pages_until_empty",
     """
-    SELECT event_id AS page, CAST(0 AS INTEGER) AS position, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+    SELECT event_id AS page, CAST(0 AS INTEGER) AS position, CAST(json_extract(props, '$.k') AS INTEGER) AS k
+    FROM events
     WHERE event_id < (SELECT coalesce(MIN(event_id), 9223372036854775807) FROM events
                       WHERE (event_type = 'signup' AND value > 300) OR props IS NULL)
     """,

@@ -6,7 +6,16 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from meterline.functions import base_id, base_id_udf, fixed_avg, fixed_sum, hour_start, hours_between, join_text, month_start
+from meterline.functions import (
+    base_id,
+    base_id_udf,
+    fixed_avg,
+    fixed_sum,
+    hour_start,
+    hours_between,
+    join_text,
+    month_start,
+)
 
 
 def at(*parts):
@@ -32,7 +41,8 @@ def test_hours_ignore_clock_changes(spark, new_york):
 
 
 def test_duration_ignores_clock_changes_and_fractions(spark, new_york):
-    df = spark.createDataFrame([(at(2024, 3, 10, 1), at(2024, 3, 10, 4, 30, 0, 999))], "a timestamp_ntz, b timestamp_ntz")
+    span = (at(2024, 3, 10, 1), at(2024, 3, 10, 4, 30, 0, 999))
+    df = spark.createDataFrame([span], "a timestamp_ntz, b timestamp_ntz")
     assert df.select(hours_between(F.col("a"), F.col("b"))).first()[0] == 3.5
 
 
@@ -58,8 +68,8 @@ def test_text_reads_null_as_empty(spark):
 
 
 def test_base_labels(spark):
-    cases = {"B02884": "s/b44", "B00007": "s/007", "B00003": "a/003", "B00001": "e/001", "B99999": "a/1869f", "Bx": None}
-    df = spark.createDataFrame([(k,) for k in [*cases, None]], "licence string")
+    cases = {"B02884": "s/b44", "B00007": "s/007", "B00003": "a/003", "B00001": "e/001", "B99999": "a/1869f"}
+    df = spark.createDataFrame([(k,) for k in [*cases, "Bx", None]], "licence string")
     got = df.select("licence", base_id(F.col("licence")), base_id_udf()(F.col("licence"))).collect()
     for licence, native, python in got:
         assert native == python == cases.get(licence)

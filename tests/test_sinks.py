@@ -100,6 +100,13 @@ def test_merge_refuses_repeated_keys(spark, base):
     assert rows(spark.table(name)) == [(1, "a")]
 
 
+def test_swap_lost_halfway_is_undone(spark, base):
+    name = table(spark, base, [(1, "a")])
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__previous")
+    act.merge(spark, name, frame(spark, [(2, "b")]), ["k"])
+    assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
+
+
 def test_merge_may_read_its_target(spark, base):
     name = table(spark, base, [(1, "a"), (2, "b")])
     act.merge(spark, name, spark.table(name).where("k = 2").withColumn("v", F.upper("v")), ["k"])
