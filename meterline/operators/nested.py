@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from meterline.operators.sets import unite
 
 ROW_ID, PARENT_ID, POSITION, LOAD_ID = "_row_id", "_parent_id", "_position", "_load_id"
+CHILD_COLUMNS = [ROW_ID, PARENT_ID, POSITION]
 VALUE, LIST, SEPARATOR = "value", "list", "__"
 
 
@@ -39,6 +40,10 @@ def _fields(struct: T.StructType, parent: Column | None = None, prefix: str = ""
             yield _Field(name, column, f.dataType)
 
 
+def _flat(fields: Iterable[_Field]) -> list[_Field]:
+    return [f for f in fields if not isinstance(f.type, T.ArrayType)]
+
+
 def _named(fields: Iterable[_Field]) -> list[_Field]:
     fields = list(fields)
     names = [f.name.lower() for f in fields]
@@ -63,6 +68,29 @@ def child_id(parent: Column, field: str, position: Column) -> Column:
     return F.sha2(F.concat_ws("/", parent, F.lit(field), position.cast("string")), 256)
 
 
+def _elements(frame: DataFrame, field: str, array: Column) -> DataFrame:
+    """One row per element of an array, with its id, parent and position."""
+    items = frame.select(F.col(ROW_ID).alias(PARENT_ID), F.posexplode(array).alias(POSITION, "item"))
+    return items.withColumn(ROW_ID, child_id(F.col(PARENT_ID), field, F.col(POSITION)))
+
+
+def _own_values(array: _Field) -> tuple[Column, list[_Field]] | None:
+    """An array of structs cut down to the structs' own values, if they hold lists beside them.
+
+    Every value is picked out of the array by itself, which the file reader can follow: lists
+    inside the structs, often most of the data, are not read for the table that leaves them out.
+    """
+    element = array.type.elementType
+    if not isinstance(element, T.StructType):
+        return None
+    leaves = list(_fields(element, array.column))
+    own = _flat(leaves)
+    if not own or len(own) == len(leaves):
+        return None
+    zipped = F.arrays_zip(*(f.column.alias(f.name) for f in own))
+    return zipped, [_Field(f.name, F.col("item").getField(f.name), f.type) for f in own]
+
+
 def normalise(df: DataFrame, table: str, keys: Sequence[str], load_id: str) -> dict[str, DataFrame]:
     """The root table and one table per array at any depth, named `parent__field`.
 
@@ -71,27 +99,32 @@ def normalise(df: DataFrame, table: str, keys: Sequence[str], load_id: str) -> d
     """
     tables: dict[str, DataFrame] = {}
 
-    def split(frame: DataFrame, name: str, own: list[str], fields: list[_Field]) -> None:
+    def add(name: str, frame: DataFrame, own: list[str], fields: Iterable[_Field]) -> None:
         if name in tables:
             raise ValueError(f"two fields would give the table {name}")
-        flat = [f for f in fields if not isinstance(f.type, T.ArrayType)]
-        tables[name] = frame.select(
-            *own, F.lit(load_id).alias(LOAD_ID), *(f.column.alias(f.name) for f in flat)
-        )
-        for f in fields:
-            if isinstance(f.type, T.ArrayType):
-                items = frame.select(F.col(ROW_ID).alias(PARENT_ID), F.posexplode(f.column).alias(POSITION, "item"))
-                child = items.withColumn(ROW_ID, child_id(F.col(PARENT_ID), f.name, F.col(POSITION)))
-                element = f.type.elementType
-                if isinstance(element, T.StructType):
-                    inner = _named(_fields(element, F.col("item")))
-                else:
-                    inner_name = LIST if isinstance(element, T.ArrayType) else VALUE
-                    inner = [_Field(inner_name, F.col("item"), element)]
-                split(child, name + SEPARATOR + f.name, [ROW_ID, PARENT_ID, POSITION], inner)
+        tables[name] = frame.select(*own, F.lit(load_id).alias(LOAD_ID), *(f.column.alias(f.name) for f in fields))
 
+    def descend(frame: DataFrame, parent: str, fields: list[_Field]) -> None:
+        for f in fields:
+            if not isinstance(f.type, T.ArrayType):
+                continue
+            name, element = parent + SEPARATOR + f.name, f.type.elementType
+            child = _elements(frame, f.name, f.column)
+            if isinstance(element, T.StructType):
+                inner = _named(_fields(element, F.col("item")))
+            else:
+                inner = [_Field(LIST if isinstance(element, T.ArrayType) else VALUE, F.col("item"), element)]
+            slim = _own_values(f)
+            if slim is None:
+                add(name, child, CHILD_COLUMNS, _flat(inner))
+            else:
+                add(name, _elements(frame, f.name, slim[0]), CHILD_COLUMNS, slim[1])
+            descend(child, name, inner)
+
+    top = _named(_fields(df.schema))
     rooted = df.withColumn(ROW_ID, row_id(table, keys))
-    split(rooted, table, [ROW_ID], _named(_fields(df.schema)))
+    add(table, rooted, [ROW_ID], _flat(top))
+    descend(rooted, table, top)
     return tables
 
 

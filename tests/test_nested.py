@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from meterline.operators import nested
 from meterline.sinks import loads
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 
 BOOK = (
     "key string, title string, author array<string>, "
@@ -55,6 +55,20 @@ def test_children_link_to_their_parents(tables):
     assert rows(cells.join(grid, cells._parent_id == grid.row).select("line", "value")) == [(0, 1), (0, 2), (1, 3)]
 
 
+def test_a_null_element_keeps_its_place(spark):
+    df = spark.sql("SELECT 1 AS k, array(named_struct('a', 1, 'b', array('x')), NULL) AS items")
+    child = nested.normalise(df, "t", ["k"], "l1")["t__items"]
+    assert rows(child.select("_position", "a")) == [(0, 1), (1, None)]
+
+
+def test_child_table_leaves_inner_lists_unread(spark, books, folder):
+    books.write.parquet(folder)
+    tables = nested.normalise(spark.read.parquet(folder), "books", ["key"], "l1")
+    read = "ReadSchema: struct<key:string,editions:struct<docs:array<struct<"
+    assert read + "isbn:string,size:struct<h:int>>>>>" in plan_of(tables["books__editions__docs"])
+    assert read + "language:array<string>>>>>" in plan_of(tables["books__editions__docs__language"])
+
+
 def test_ids_are_unique_and_repeatable(books, tables):
     again = nested.normalise(books.repartition(3), "books", ["key"], "l1")
     for name, frame in tables.items():
