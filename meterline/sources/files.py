@@ -101,7 +101,7 @@ def read_parquet_as(spark: SparkSession, schema: T.StructType, *paths: str) -> D
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Path and length of every file below a root; contents are not read."""
+    """Path and length of every file below a root, but for those of no length; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -113,6 +113,9 @@ def read_tolerant(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of the readable Parquet files, and a report on every listed file.
 
+    Without a schema the files' own types are used, from the footers that can be read. A schema
+    has to have those types: a file of other ones is skipped as if it were broken.
+
     Report columns: path, length, rows_read. A file with `rows_read = 0` was skipped (or holds
     no rows). Counting depends on a hash of all columns, so that the report decodes them and a
     file whose pages or types cannot be read shows up too; it costs a full scan and runs only
@@ -120,8 +123,7 @@ def read_tolerant(
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     reader = reader.option("ignoreCorruptFiles", True)
-    if schema is not None:
-        reader = reader.schema(schema)
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
     rows = reader.parquet(root)
     decoded = F.bit_xor(F.xxhash64(*rows.columns)).isNotNull()
     per_file = rows.groupBy(F.col("_metadata.file_path").alias("path"))

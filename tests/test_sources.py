@@ -58,12 +58,16 @@ def test_truncated_file_is_skipped_and_reported(spark, folder):
     good = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
     with open(f"{folder}/{good[0]}", "rb") as whole:
         content = whole.read()
+    with open(f"{folder}/a.parquet", "wb") as first:
+        first.write(b"never was one")
     with open(f"{folder}/cut.parquet", "wb") as cut:
         cut.write(content[: len(content) // 2])
     got, report = files.read_tolerant(spark, folder, struct_of("id bigint"))
     assert got.count() == 100
+    own_types, _ = files.read_tolerant(spark, folder)
+    assert own_types.schema == got.schema and own_types.count() == 100
     read = {r.path.rsplit("/", 1)[1]: r.rows_read for r in report.collect()}
-    assert read["cut.parquet"] == 0 and sorted(read) == sorted([*good, "cut.parquet"]) and sum(read.values()) == 100
+    assert read["cut.parquet"] == 0 and sorted(read) == sorted([*good, "a.parquet", "cut.parquet"]) and sum(read.values()) == 100
 
 
 def test_file_of_a_narrower_type_shows_in_the_report(spark, folder):
