@@ -21,12 +21,13 @@ def group_measures(
     avgs: Mapping[str, str] | None = None,
     maxes: Mapping[str, str] | None = None,
     count: str | None = None,
-    scale: int | None = 2,
+    scale: int | None = None,
 ) -> DataFrame:
     """Group once and take `{output: column}` sums, averages and maxima, and a row count.
 
-    Sums and averages are of amounts with `scale` decimals and do not depend on row order;
-    with `scale=None` they are the plain floating-point ones.
+    Sums and averages are the plain floating-point ones, whose last digits depend on the order
+    in which tasks finish. Where the amounts are known to have `scale` decimals, such as money,
+    say so: the results are then the same on every run.
     """
     add = F.sum if scale is None else lambda c: fixed_sum(c, scale)
     mean = F.avg if scale is None else lambda c: fixed_avg(c, scale)

@@ -44,27 +44,31 @@ def top_trips_by_distance(trips: DataFrame, below: float, tie_break: list[str],
     return longest.select(day_of(F.col("pickup_datetime")).alias("day"), "trip_distance")
 
 
-def _per_zone(trips: DataFrame, **totals) -> DataFrame:
-    """Totals by pickup zone number: one row per zone goes to the join, however uneven the zones are."""
-    return trips.groupBy(F.col("PULocationID").alias("zone_id")).agg(*(c.alias(n) for n, c in totals.items()))
-
-
 def _by_zone_name(per_zone: DataFrame, zones: DataFrame) -> DataFrame:
-    """Per-zone totals with the zone's name, ready to add up where zones share one."""
+    """Totals by zone number with the zone's name, ready to add up where zones share one.
+
+    One row per zone goes to the join, however uneven the zones are.
+    """
     return lookup(per_zone, zones.select("LocationID", "Zone"), {"zone_id": "LocationID"})
 
 
-def top_zone_by_total(trips: DataFrame, zones: DataFrame, day, k: int = 1, scale: int = 2) -> DataFrame:
+def top_zone_by_total(trips: DataFrame, zones: DataFrame, day, k: int = 1, scale: int | None = None) -> DataFrame:
     """Pickup zone with the largest total amount on a day."""
-    unit = float(10**scale)
-    per_zone = _per_zone(on_date(trips, "pickup_datetime", day), units=F.sum(F.rint(F.col("total_amount") * unit)))
-    totals = _by_zone_name(per_zone, zones).groupBy(F.col("Zone").alias("pickup_zone"))
-    return top_k(totals.agg((F.sum("units") / unit).alias("sum_total_amount")), "sum_total_amount", k, ["pickup_zone"])
+    per_zone = group_measures(
+        on_date(trips, "pickup_datetime", day),
+        [F.col("PULocationID").alias("zone_id")],
+        {"total": "total_amount"},
+        scale=scale,
+    )
+    names = [F.col("Zone").alias("pickup_zone")]
+    totals = group_measures(_by_zone_name(per_zone, zones), names, {"sum_total_amount": "total"}, scale=scale)
+    return top_k(totals, "sum_total_amount", k, ["pickup_zone"])
 
 
 def least_busy_zones(trips: DataFrame, zones: DataFrame, k: int = 5) -> DataFrame:
     """Pickup zones with the fewest trips, of those with any."""
-    counts = _by_zone_name(_per_zone(trips, n=F.count("*")), zones).groupBy("Zone").agg(F.sum("n").alias("trips"))
+    per_zone = trips.groupBy(F.col("PULocationID").alias("zone_id")).agg(F.count("*").alias("n"))
+    counts = _by_zone_name(per_zone, zones).groupBy("Zone").agg(F.sum("n").alias("trips"))
     return bottom_k(counts, "trips", k, ["Zone"])
 
 

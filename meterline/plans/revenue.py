@@ -42,7 +42,7 @@ def union_services(green: DataFrame, yellow: DataFrame, by: str = "name") -> Dat
     return unite(tagged, by)
 
 
-def monthly_revenue(green: DataFrame, yellow: DataFrame, scale: int | None = 2) -> DataFrame:
+def monthly_revenue(green: DataFrame, yellow: DataFrame, scale: int | None = None) -> DataFrame:
     """Eight revenue sums and two averages by pickup zone, month and service."""
     keys = [
         F.col("PULocationID").alias("revenue_zone"),
@@ -52,7 +52,7 @@ def monthly_revenue(green: DataFrame, yellow: DataFrame, scale: int | None = 2)
     return group_measures(union_services(green, yellow), keys, MONTHLY_SUMS, MONTHLY_AVERAGES, scale=scale)
 
 
-def hourly_revenue(trips: DataFrame, pickup: str, since=None, scale: int | None = 2) -> DataFrame:
+def hourly_revenue(trips: DataFrame, pickup: str, since=None, scale: int | None = None) -> DataFrame:
     """Revenue and trips by pickup hour and zone, from `since` on."""
     keys = [hour_start(F.col(pickup)).alias("hour_ts"), F.col("PULocationID").alias("zone")]
     return group_measures(

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.operators.aggregates import group_measures
 from meterline.operators.checks import check_table, enforce
 from meterline.operators.filters import as_moment
 from meterline.operators.joins import lookup
@@ -79,16 +80,10 @@ TRIPS_REPORT = TableSpec(
     ),
 )
 
-_REPORT = """
-SELECT to_date(pickup_datetime) AS trip_date,
-       taxi_type,
-       payment_type_name AS payment_type,
-       count(*) AS trip_count,
-       sum(rint(fare_amount * 100)) / 100D AS total_fare,
-       sum(rint(fare_amount * 100)) / 100D / count(fare_amount) AS avg_fare
+_REPORT_ROWS = """
+SELECT to_date(pickup_datetime) AS trip_date, taxi_type, payment_type_name AS payment_type, fare_amount
 FROM {trips}
 WHERE pickup_datetime >= CAST(:start_at AS TIMESTAMP_NTZ) AND pickup_datetime < CAST(:end_at AS TIMESTAMP_NTZ)
-GROUP BY ALL
 """
 
 
@@ -107,9 +102,13 @@ def staging_trips(
     return dedup(named, TRIP_KEY, order).select(*STAGED_COLUMNS)
 
 
-def trips_report(staged: DataFrame, window: tuple) -> DataFrame:
+def trips_report(staged: DataFrame, window: tuple, scale: int | None = None) -> DataFrame:
     """Trips and fares of the window by day, feed and payment name (NULL is its own group)."""
-    return windowed_sql(staged.sparkSession, _REPORT, window, trips=staged)
+    trips = windowed_sql(staged.sparkSession, _REPORT_ROWS, window, trips=staged)
+    keys = ["trip_date", "taxi_type", "payment_type"]
+    fares = {"total_fare": "fare_amount"}, {"avg_fare": "fare_amount"}
+    report = group_measures(trips, keys, *fares, count="trip_count", scale=scale)
+    return report.select(*keys, "trip_count", "total_fare", "avg_fare")
 
 
 def top_payment_types(report: DataFrame, k: int = 10) -> DataFrame:

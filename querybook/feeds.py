@@ -10,6 +10,8 @@ from meterline.operators.shape import ensure_columns
 from meterline.sources.files import read_parquet
 from meterline.types import struct_of
 
+CENTS = 2  # decimals of every amount in the tables
+
 MEASURES = struct_of(
     "passenger_count int, trip_distance double, fare_amount double, extra double, mta_tax double, "
     "tip_amount double, tolls_amount double, improvement_surcharge double, total_amount double, "

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions.base_ids import base_id_udf
 from meterline.plans import rankings, revenue, staging
-from querybook.feeds import for_hire, green, hourly_trips, line_trips, supplier_zones, yellow, zones
+from querybook.feeds import CENTS, for_hire, green, hourly_trips, line_trips, supplier_zones, yellow, zones
 from querybook.registry import query
 
 
@@ -50,7 +50,7 @@ TRIPS = """
     """,
 )
 def monthly_revenue(t):
-    return revenue.monthly_revenue(green(t), yellow(t))
+    return revenue.monthly_revenue(green(t), yellow(t), CENTS)
 
 
 def hourly_sql(event_type: str) -> str:
@@ -62,11 +62,11 @@ def hourly_sql(event_type: str) -> str:
 
 
 def green_hours(t):
-    return revenue.hourly_revenue(hourly_trips(t, "view"), "pickup_datetime", since="2024-01-02")
+    return revenue.hourly_revenue(hourly_trips(t, "view"), "pickup_datetime", "2024-01-02", CENTS)
 
 
 def yellow_hours(t):
-    return revenue.hourly_revenue(hourly_trips(t, "click"), "pickup_datetime", since="2024-01-02")
+    return revenue.hourly_revenue(hourly_trips(t, "click"), "pickup_datetime", "2024-01-02", CENTS)
 
 
 query("hourly_revenue_green", hourly_sql("view"))(green_hours)
@@ -164,7 +164,7 @@ REPORT = f"""
 
 @query("trips_report", REPORT)
 def trips_report(t):
-    return staging.trips_report(staged(t), WINDOW)
+    return staging.trips_report(staged(t), WINDOW, CENTS)
 
 
 @query(
@@ -208,7 +208,7 @@ def top_trips_by_distance(t):
 )
 def top_zone_by_total(t):
     trips = yellow(t).withColumnRenamed("tpep_pickup_datetime", "pickup_datetime")
-    return rankings.top_zone_by_total(trips, supplier_zones(t), "1998-11-18")
+    return rankings.top_zone_by_total(trips, supplier_zones(t), "1998-11-18", scale=CENTS)
 
 
 @query(

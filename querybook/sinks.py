@@ -12,6 +12,7 @@ from meterline.plans.rankings import name_counts
 from meterline.session import scratch_database, workspace
 from meterline.sinks import files, strategies, tables
 from meterline.sources.tables import external_table
+from querybook.feeds import CENTS
 from querybook.registry import query
 
 
@@ -63,7 +64,8 @@ def write_single_file(t):
     """A report of one row per day in one file."""
     path = workspace(t.spark, "single")
     days = [F.to_date("o_orderdate").alias("day")]
-    files.write_parquet(group_measures(t("orders"), days, {"total": "o_totalprice"}, count="orders"), path, files=1)
+    report = group_measures(t("orders"), days, {"total": "o_totalprice"}, count="orders", scale=CENTS)
+    files.write_parquet(report, path, files=1)
     stored = t.spark.read.parquet(path)
     count = stored.agg(F.count_distinct("_metadata.file_path").alias("n"))
     return stored.withColumn("files", count.scalar())

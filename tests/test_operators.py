@@ -138,5 +138,5 @@ def test_zones_sharing_a_name_merge(spark):
 
 def test_plain_measures(spark):
     df = spark.createDataFrame([(1, 0.1), (1, 0.25), (2, None)], "k int, x double")
-    got = group_measures(df, ["k"], {"s": "x"}, {"a": "x"}, {"m": "x"}, "n", scale=None)
+    got = group_measures(df, ["k"], {"s": "x"}, {"a": "x"}, {"m": "x"}, "n")
     assert rows(got) == [(1, 0.35, 0.175, 0.25, 2), (2, None, None, None, 1)]
