@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from querybook import ORACLES, QUERIES
 from tests.conftest import SMALL, rows
 from tests.oracle import database, differences
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +19,11 @@ def test_query_agrees_with_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SMALL), con, ORACLES[name]) is None
 
 
+def test_entry_registers_them_all():
+    assert entry.queries().keys() >= QUERIES.keys()
+    assert entry.oracle_sql().keys() >= ORACLES.keys()
+
+
 def test_entry_has_rows(spark):
     assert not entry.entry(spark).isEmpty()
 
