@@ -6,8 +6,9 @@ usual Jaccard where no shingle repeats. Each shingle is a Poisson process of arr
 arrival falling in one of the signature's places; a place keeps the first to arrive. Processes stop once their next
 arrival is later than any place's first. Two signatures agree in a place with the probability Jaccard as chance.
 
-Signatures are cut in bands. Documents alike in a band are compared with one hub of that bucket, the member that shares
-the most buckets, and then only with members of it that are not yet connected. Links are verified on whole texts.
+Signatures are cut in bands. Documents alike in a band are compared with hubs of that bucket, the members that share
+the most buckets. What is still not connected there is compared in blocks by longer signatures, two bits a place,
+without making a row of each pair. Links are verified on whole texts.
 """
 
 from __future__ import annotations
@@ -28,9 +29,14 @@ PLACES = 128
 ROWS = 4  # places in a band: a pair at 0.8 shares none of the 32 bands in one of 2e7 cases
 SHINGLE = 5
 SIMILARITY = 0.8
-#: A pair whose signatures agree in fewer places is not verified: at 0.8, 128 places do so in one of 1e10 cases.
-LEAST_AGREEMENT = 0.55
-HUB_ROUNDS = 3
+#: A pair whose signatures agree in fewer places is not verified: at 0.8, 128 places do so in one of 1e7 cases.
+LEAST_AGREEMENT = 0.6
+HUB_ROUNDS = 2
+#: Long signatures: their estimate is below this, for a pair at 0.8, in one of 1e10 cases.
+LONG_PLACES = 1024
+LEAST_ESTIMATE = 0.7
+#: Entries of a bucket that are compared with each other at once.
+BLOCK = 1024
 
 
 def weighted_shingles(texts: list[str], size: int):
@@ -45,26 +51,26 @@ def weighted_shingles(texts: list[str], size: int):
     return words, doc[at], shingle[at], np.diff(np.append(at, len(doc)))
 
 
-def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-    """n x PLACES shingles: the first arrival in each place. Documents without a shingle keep zeros."""
-    first = np.full(n * PLACES, np.inf)
-    winner = np.zeros(n * PLACES, np.uint64)
+def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int, places: int = PLACES) -> np.ndarray:
+    """n x places shingles: the first arrival in each place. Documents without a shingle keep zeros."""
+    first = np.full(n * places, np.inf)
+    winner = np.zeros(n * places, np.uint64)
     doc, time, made, burst = doc.astype(np.int64), np.zeros(len(doc)), 0, 1
     while len(doc):
         turn = np.arange(made, made + burst, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         bits = mix(shingle[:, None] ^ mix(turn)[None, :])
         gaps = -np.log(((bits >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / weight[:, None]
         times = time[:, None] + np.cumsum(gaps, axis=1)
-        place = (doc[:, None] * PLACES + (bits & np.uint64(PLACES - 1)).astype(np.int64)).ravel()
+        place = (doc[:, None] * places + (bits & np.uint64(places - 1)).astype(np.int64)).ravel()
         np.minimum.at(first, place, times.ravel())
         won = times.ravel() == first[place]
         winner[place[won]] = np.repeat(shingle, burst)[won]
         time, made = times[:, -1], made + burst
-        still = time < first.reshape(n, PLACES).max(axis=1)[doc]
+        still = time < first.reshape(n, places).max(axis=1)[doc]
         doc, shingle, weight, time = doc[still], shingle[still], weight[still], time[still]
         # the fewer are left, the more arrivals at once
         burst = min(64, max(1, 2 * burst)) if len(doc) < 20_000 else 1
-    return winner.reshape(n, PLACES)
+    return winner.reshape(n, places)
 
 
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -185,7 +191,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     label = None
     for turn in range(HUB_ROUNDS + 1):
         named = bucket.withColumn("component", F.col("node")) if label is None else labelled(bucket, label)
-        pairs = hub_pairs(named) if turn < HUB_ROUNDS else open_pairs(named)
+        pairs = hub_pairs(named) if turn < HUB_ROUNDS else open_pairs(named, member, texts)
         new = stored(_links(pairs, texts), "links")
         links = links.union(new)
         if new.limit(1).count() or label is None:
@@ -227,8 +233,79 @@ def hub_pairs(named: DataFrame) -> DataFrame:
     )
 
 
-def open_pairs(named: DataFrame) -> DataFrame:
-    """The exact way for what no hub decided: all pairs of a bucket that are still of different components."""
-    one = named.select("bucket", F.col("node").alias("a"), F.col("component").alias("of_a"))
-    two = named.select("bucket", F.col("node").alias("b"), F.col("component").alias("of_b"))
-    return one.join(two, "bucket").where("of_a < of_b").select("a", "b").distinct()
+def _lengthen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Long signatures: the last two bits of each place's shingle, four places in a byte."""
+    for batch in batches:
+        texts = batch["text"].tolist()
+        for a, b in pieces(texts, 1 << 18):
+            _, doc, shingle, weight = weighted_shingles(texts[a:b], SHINGLE)
+            bits = (signatures(doc, shingle, weight, b - a, LONG_PLACES) & np.uint64(3)).astype(np.uint8)
+            packed = bits[:, 0::4] | bits[:, 1::4] << 2 | bits[:, 2::4] << 4 | bits[:, 3::4] << 6
+            own = batch.iloc[a:b]
+            yield pd.DataFrame({"node": own["node"], "bands": own["bands"], "long": [x.tobytes() for x in packed]})
+
+
+#: Of a byte that is the difference of two: how many of its four places agree.
+_AGREE = np.array([sum(x >> 2 * k & 3 == 0 for k in range(4)) for x in range(256)], np.uint8)
+
+
+def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of different components whose estimate is high enough; rows come ordered by (bucket, i, j).
+
+    A pair that shares several buckets is left to the first band that the two share.
+    """
+
+    def group(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        node, of, block = rows["node"].to_numpy(), rows["component"].to_numpy(), rows["block"].to_numpy()
+        i, j, bucket = rows["i"].iat[0], rows["j"].iat[0], rows["bucket"].iat[0]
+        bands = np.stack(rows["bands"].to_list())
+        long = np.frombuffer(b"".join(rows["long"]), np.uint8).reshape(len(rows), -1)
+        right = np.flatnonzero(block == j)
+        ones, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for r in np.flatnonzero(block == i):
+            with_ = right[(of[right] != of[r]) & ((node[right] > node[r]) | (i != j))]
+            shared = bands[with_] == bands[r]
+            with_ = with_[bands[r][shared.argmax(axis=1)] == bucket] if len(with_) else with_
+            for at in range(0, len(with_), 256):
+                some = with_[at : at + 256]
+                share = _AGREE[long[some] ^ long[r]].sum(axis=1) / LONG_PLACES
+                good = some[(share - 0.25) / 0.75 >= LEAST_ESTIMATE]
+                ones.append(np.full(len(good), node[r]))
+                others.append(node[good])
+        return np.concatenate(ones), np.concatenate(others)
+
+    rest = None
+    for batch in batches:
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        key = rows[["bucket", "i", "j"]].to_numpy()
+        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
+        found = [group(rows.iloc[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        rest = rows.iloc[starts[-1] :]
+        yield from (pd.DataFrame({"a": a, "b": b}) for a, b in found if len(a))
+    if rest is not None and len(rest):
+        a, b = group(rest)
+        yield pd.DataFrame({"a": a, "b": b})
+
+
+def open_pairs(named: DataFrame, member: DataFrame, texts: DataFrame) -> DataFrame:
+    """The exact way for what no hub decided: pairs of a bucket that are still of different components.
+
+    A bucket is dealt in blocks, and each two of its blocks meet in one task; only promising pairs become rows.
+    """
+    named = stored(named, "open")
+    inside = named.select("node").distinct()
+    bands = member.where("bands IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
+    long = stored(
+        texts.join(inside, "node", "left_semi").join(bands, "node").select("node", "bands", "text")
+        .mapInPandas(_lengthen, "node long, bands array<long>, long binary"),
+        "long",
+    )
+    size = named.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    entry = named.join(size, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pair = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")),
+    )
+    dealt = entry.select("bucket", "node", "component", "block", F.explode(pair).alias("pair")).select("*", "pair.*").drop("pair")
+    ordered = dealt.join(long, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return ordered.mapInPandas(_compare, "a long, b long")
