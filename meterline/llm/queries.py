@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import language, mixing, neardup, pii
+from meterline.llm import language, mixing, neardup, pii, segment_search, tree_search, urls
 from meterline.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,37 @@ def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mixed(docs).withColumn("probability", F.round("probability", 6))
+
+
+URL_RULES = urls.rules(
+    ["allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/"]
+)
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op8_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_search.top_products(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op10_segment_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+)
+SELECT * FROM r WHERE rank <= 5
+"""
