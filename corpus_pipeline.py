@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import language, mixing, neardup, pii
+from meterline.llm import language, mixing, neardup, pii, sentence_pieces
 from meterline.llm.common import remainder, stored, table
-from meterline.llm.queries import PII_KEY
+from meterline.llm.queries import PII_KEY, VOCABULARY
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +37,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.sampled(docs)
 
 
+def cut_in_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows (doc_id, ids, n_pieces)."""
+    return sentence_pieces.encode(docs, sentence_pieces.load(VOCABULARY))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", identify_language),
     ("near_duplicates", drop_near_duplicates),
     ("personal_data", replace_personal_data),
     ("mixing", mix),
+    ("sentence_pieces", cut_in_pieces),
 ]
 
 #: Likelihoods, hashed signatures and the segmentation have no SQL form; the stages are tested one by one.

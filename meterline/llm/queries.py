@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import language, mixing, neardup, pii, quality, segment_search, tree_search, urls
+from meterline.llm import language, mixing, neardup, pii, quality, segment_search, sentence_pieces, tree_search, urls
 from meterline.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,12 @@ SELECT * FROM r WHERE rank <= 5
 @query
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
+
+
+#: Where the public vocabulary lies on the driver; executors don't read it.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.encode(table(spark, sf_dir, "documents"), sentence_pieces.load(VOCABULARY))
