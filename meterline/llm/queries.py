@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import language, mixing, neardup, pii, quality, segment_search, sentence_pieces, tree_search, urls
+from meterline.llm import katz, language, mixing, neardup, pii, quality, segment_search, sentence_pieces, tree_search, urls
 from meterline.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,16 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 @query
 def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode(table(spark, sf_dir, "documents"), sentence_pieces.load(VOCABULARY))
+
+
+@query
+def op3_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = remainder(F.col("doc_id"), 10) == 0
+    model = katz.fit(docs.where(~out))
+    scored = katz.score(docs.select(F.col("doc_id").alias("row"), "text"), model)
+    held_out = remainder(F.col("row"), 10) == 0
+    return scored.select(
+        F.col("row").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )

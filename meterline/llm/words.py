@@ -25,6 +25,7 @@ LETTERS[48:58] = 0
 SOLID = np.arange(256, dtype=np.uint8)
 SOLID[65:91] = range(97, 123)
 SOLID[[9, 10, 11, 12, 13, 32]] = 0
+SOLID[0] = 9  # a zero byte is part of a word; 9 is free
 
 
 def mix(x: np.ndarray) -> np.ndarray:
