@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,11 +10,13 @@ from pyspark.sql import functions as F
 DIVISOR_LABELS = ((7, "s"), (3, "a"))
 OTHER_LABEL = "e"
 HEX_WIDTH = 3
+LARGEST = 2**63 - 1
 
 
 def base_id(licence: Column) -> Column:
-    """Label and zero-padded hex of the licence number; NULL when there is no number."""
-    number = F.substr(licence, F.lit(2)).try_cast("long")
+    """Label and zero-padded hex of the licence number; NULL unless all that follows the first letter is digits."""
+    rest = F.substr(licence, F.lit(2))
+    number = F.when(rest.rlike("^[0-9]+$"), rest.try_cast("long"))
     label = F.lit(OTHER_LABEL)
     for divisor, name in reversed(DIVISOR_LABELS):
         label = F.when(number % divisor == 0, name).otherwise(label)
@@ -23,17 +26,16 @@ def base_id(licence: Column) -> Column:
 
 
 def base_id_udf():
-    """The same label as a Python UDF with a declared string type, sent in Arrow batches.
-
-    Slower than `base_id`; for callers that need to bring their own Python rule.
-    """
+    """The same label as a vectorised UDF; slower than `base_id`, for callers that bring their own Python rule."""
     rules, other, width = DIVISOR_LABELS, OTHER_LABEL, HEX_WIDTH
 
-    def label_of(licence):
-        if licence is None or not licence[1:].isdigit():
-            return None
-        number = int(licence[1:])
-        label = next((name for divisor, name in rules if number % divisor == 0), other)
-        return f"{label}/{number:0{width}x}"
+    def label_of(licence: pd.Series) -> pd.Series:
+        rest = licence.str.slice(1)
+        digits = rest.str.fullmatch("[0-9]+").fillna(False).astype(bool)
+        numbers = [int(x) for x in rest[digits]]
+        labels = [next((name for divisor, name in rules if n % divisor == 0), other) for n in numbers]
+        out = pd.Series([None] * len(licence), index=licence.index, dtype=object)
+        out[digits] = [f"{x}/{n:0{width}x}" if n <= LARGEST else None for x, n in zip(labels, numbers, strict=True)]
+        return out
 
-    return F.udf(label_of, returnType="string", useArrow=True)
+    return F.pandas_udf(label_of, "string")

@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+EXACT = 2.0**53
+
 
 def fixed_sum(amount: Column, scale: int = 2) -> Column:
     """Sum of amounts with `scale` decimals, the same for every row order.
 
     Whole units of the last decimal are added: doubles hold those exactly up to 2**53, so
     partial sums from any number of tasks agree, and hash aggregation keeps a primitive buffer.
+    An amount with further decimals, or a sum beyond that, fails the job.
     """
     unit = float(10**scale)
-    return F.sum(F.rint(amount * unit)) / unit
+    units = F.rint(amount * unit)
+    finer = F.raise_error(F.lit(f"an amount has more than {scale} decimals")).cast("double")
+    large = F.raise_error(F.lit("a sum is too large to be exact")).cast("double")
+    whole = F.sum(F.when(F.abs(amount * unit - units) > 0.01, finer).otherwise(units))
+    return F.when(F.abs(whole) >= EXACT, large).otherwise(whole) / unit
 
 
 def fixed_avg(amount: Column, scale: int = 2) -> Column:

@@ -61,7 +61,7 @@ def _repeats(df: DataFrame, table: str, check: Check) -> DataFrame:
 
 def query_check(scalar: DataFrame, table: str, name: str, value: float = 1) -> DataFrame:
     """Compare a one-cell result with a number; true counts as 1 and false as 0."""
-    cell = F.col(scalar.columns[0]).cast("double")
+    scalar, cell = scalar.toDF("cell"), F.col("cell").cast("double")
     holds = (F.count("*") == 1) & (F.coalesce(F.max(cell), F.lit(float("nan"))) == F.lit(float(value)))
     failed = scalar.agg(F.when(holds, 0).otherwise(1).cast("long").alias("failed"))
     return failed.select(F.inline(F.array(_result(table, None, name, F.col("failed")))))

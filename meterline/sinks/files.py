@@ -12,7 +12,6 @@ from meterline.functions.clock import month_start
 from meterline.sources.files import read_csv
 
 BATCH_ROWS = 100_000
-ROWS_PER_FILE = 10_000_000
 
 
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
@@ -24,11 +23,6 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *(F.col(c) for c in columns))
 
 
-def file_count(df: DataFrame, rows_per_file: int = ROWS_PER_FILE, at_least: int = 1) -> int:
-    """Number of even files for a frame, so that none grows with the data. Counts the rows."""
-    return max(at_least, -(-df.count() // rows_per_file))
-
-
 def write_parquet(
     df: DataFrame,
     path: str,

@@ -71,7 +71,9 @@ def _increments(source: DataFrame, root: str, table: str) -> DataFrame:
 
 
 def load_increment(source: DataFrame, root: str, table: str, cursor: str, load_id: str) -> DataFrame:
-    """Append the source rows beyond the last cursor value to a table and keep the new value.
+    """Append the source rows from the last cursor value on that are not kept yet, and keep the new value.
+
+    Rows of the last value itself are compared with those kept, whole rows and how often they occur.
 
     One row of state comes to the driver; its cursor goes into the filter and so reaches the
     scan. A row without a cursor value would be in no load, so it fails the load. Every load has
@@ -87,19 +89,22 @@ def load_increment(source: DataFrame, root: str, table: str, cursor: str, load_i
         if done["n"]:
             return _increments(source, root, table)
         if done["cursor"] is not None:
-            later = F.col(cursor) > F.lit(str(done["cursor"])).cast(kind)
-            fresh = source.where(later | F.col(cursor).isNull())
+            last = F.lit(str(done["cursor"])).cast(kind)
+            kept = _increments(source, root, table).where(F.col(cursor) == last).select(*source.columns)
+            tied = source.where(F.col(cursor) == last).exceptAll(kept)
+            fresh = source.where((F.col(cursor) > last) | F.col(cursor).isNull()).union(tied)
     unknown = F.raise_error(F.lit(f"row without {cursor}")).cast(kind)
     fresh = fresh.withColumn(cursor, F.when(F.col(cursor).isNotNull(), F.col(cursor)).otherwise(unknown))
     folder = f"{root}/{table}/{LOAD_ID}={load_id}"
     write_parquet(fresh, folder, "overwrite")
     newest = spark.read.schema(fresh.schema).parquet(folder).agg(F.max(cursor).alias("cursor"))
-    _append(root, f"{STATE}/{table}", newest.select(F.lit(load_id).alias(LOAD_ID), "cursor"))
+    turn = F.lit(0 if state is None else state.count()).cast("long").alias("turn")
+    _append(root, f"{STATE}/{table}", newest.select(F.lit(load_id).alias(LOAD_ID), "cursor", turn))
     return _increments(source, root, table)
 
 
 def load_state(spark: SparkSession, root: str, table: str) -> DataFrame:
     """One row for the table: its last load and cursor value."""
     state = _state(spark, root, table)
-    latest = state.agg(F.max_by(LOAD_ID, "cursor").alias(LOAD_ID), F.max("cursor").alias("cursor"))
+    latest = state.agg(F.max_by(LOAD_ID, "turn").alias(LOAD_ID), F.max("cursor").alias("cursor"))
     return latest.select(F.lit(table).alias("table_name"), LOAD_ID, "cursor")

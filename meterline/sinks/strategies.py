@@ -160,14 +160,14 @@ def time_interval(
     key are in no window and stay.
     """
     lo, hi = as_moment(lo), as_moment(hi)
-    if hi <= lo:
-        return spark.table(name) if spark.catalog.tableExists(name) else replace_table(source.limit(0), name)
     if granularity == "date":
         if lo.time() != dt.time() or hi.time() != dt.time():
             raise ValueError("a date window has to start and end at midnight")
         day, new = key, _only_in_window(source, key, lo, hi)
     else:
         day, new = DAY, _only_in_window(source, key, lo, hi).withColumn(DAY, day_of(F.col(key)))
+    if hi <= lo:
+        return spark.table(name) if spark.catalog.tableExists(name) else replace_table(new.limit(0), name, [day])
     if not spark.catalog.tableExists(name):
         return replace_table(new, name, [day])
 

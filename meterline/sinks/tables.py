@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions.clock import day_of
 from meterline.session import scratch_database
-from meterline.sinks.files import BATCH_ROWS, balanced
+from meterline.sinks.files import balanced
 from meterline.sources.files import read_parquet
 from meterline.sources.tables import quoted
 
@@ -73,14 +73,14 @@ def append_rows(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def load_table(df: DataFrame, name: str, mode: str = "replace", batch_rows: int = BATCH_ROWS) -> DataFrame:
+def load_table(df: DataFrame, name: str, mode: str = "replace", batch_rows: int | None = None) -> DataFrame:
     """Create the table empty from the frame's schema if replacing, then append.
 
-    The table's files hold at most `batch_rows` rows. That is set when it is created: inserts
-    take write options from the table, not from the writer.
+    With `batch_rows`, the table's files hold at most so many rows. That is set when it is created:
+    inserts take write options from the table, not from the writer.
     """
     if mode == "replace":
-        replace_table(df.limit(0), name, maxRecordsPerFile=batch_rows)
+        replace_table(df.limit(0), name, **({"maxRecordsPerFile": batch_rows} if batch_rows else {}))
     elif mode != "append":
         raise ValueError(f"unknown mode {mode!r}")
     return append_rows(df, name)

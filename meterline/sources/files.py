@@ -27,14 +27,9 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, m
     return spark.read.schema(schema).option("header", True).option("mode", mode).csv(path)
 
 
-def infer_csv_schema(spark: SparkSession, path: str, sample: int = 1000) -> T.StructType:
-    """Types of a CSV file judged by its first `sample` lines after the header.
-
-    Only those lines are read; they pass through the driver, so keep `sample` small.
-    """
-    head = [row.value for row in spark.read.text(path).take(sample + 1)]
-    lines = spark.sparkContext.parallelize(head, 1)
-    return spark.read.option("header", True).option("inferSchema", True).csv(lines).schema
+def infer_csv_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Types that all cells of a CSV file fit. The executors read the whole file for it."""
+    return spark.read.option("header", True).option("inferSchema", True).csv(path).schema
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -42,8 +37,12 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def read_parquet_tree(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """All files below nested directories whose name matches; directory names are not columns."""
-    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).parquet(root)
+    """All files below nested directories whose name matches; directory names are not columns.
+
+    The columns are those of all files together, NULL where a file lacks one; executors read the footers.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    return reader.option("mergeSchema", True).parquet(root)
 
 
 def group_by_schema(schemas: dict[str, T.StructType]) -> list[list[str]]:
@@ -64,15 +63,17 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def file_schemas(spark: SparkSession, paths: list[str], format: str = "parquet") -> dict[str, T.StructType]:
+def file_schemas(
+    spark: SparkSession, paths: list[str], format: str = "parquet", merge: bool = False
+) -> dict[str, T.StructType]:
     """Schema of each path, from one footer or header; paths that are missing or unreadable are left out.
 
-    Only that is read here, on the driver, several paths at a time.
+    Only that is read here, on the driver, several paths at a time. To `merge` is to have executors read all footers.
     """
 
     def look(path: str) -> T.StructType | None:
         try:
-            return spark.read.format(format).option("header", True).load(path).schema
+            return spark.read.format(format).option("header", True).option("mergeSchema", merge).load(path).schema
         except Exception as problem:
             if not any(name in str(problem) for name in (*NOTHING_THERE, *BROKEN)):
                 raise
@@ -86,16 +87,18 @@ def file_schemas(spark: SparkSession, paths: list[str], format: str = "parquet")
 def read_parquet_as(spark: SparkSession, schema: T.StructType, *paths: str) -> DataFrame:
     """Only the declared columns, cast to the declared types; absent ones are NULL.
 
+    A column counts as there if any file of a path has it.
+
     Files are read with their own types and cast afterwards: asking the reader for another
     type fails, or loses the whole file when corrupt files are skipped.
     """
-    found = file_schemas(spark, list(paths))
+    found = file_schemas(spark, list(paths), merge=True)
     missing = [path for path in paths if path not in found]
     if missing:
         raise FileNotFoundError(f"no readable Parquet at {missing}")
     frames = []
     for group in group_by_schema(found):
-        complete = ensure_columns(spark.read.parquet(*group), schema)
+        complete = ensure_columns(spark.read.option("mergeSchema", True).parquet(*group), schema)
         frames.append(complete.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields)))
     return unite(frames)
 

@@ -10,11 +10,16 @@ ROOT = "$"
 
 
 def page_records(body: Column, selector: str, schema: T.StructType) -> Column:
-    """The array of records in a page: the page itself for `$`, else the named field."""
+    """The array of records in a page: the page itself for `$`, else the named field.
+
+    A page without the field, or whose text is NULL, has none. Text that does not parse, or a cell that does not fit its
+    type, fails the job.
+    """
+    strict = {"mode": "FAILFAST"}
     records = T.ArrayType(schema)
     if selector == ROOT:
-        return F.from_json(body, records)
-    return F.from_json(body, T.StructType([T.StructField(selector, records)])).getField(selector)
+        return F.from_json(body, records, strict)
+    return F.from_json(body, T.StructType([T.StructField(selector, records)]), strict).getField(selector)
 
 
 def select_records(

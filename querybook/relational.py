@@ -189,7 +189,7 @@ def left_lookup(t):
     """Payment names from the orders themselves, with one code missing."""
     code = F.substring("o_orderpriority", 1, 1).cast("int")
     names = t("orders").select("o_orderpriority").distinct().select(
-        code.alias("payment_type_id"), F.substring("o_orderpriority", 3, 100).alias("payment_type_name")
+        code.alias("payment_type_id"), F.substr("o_orderpriority", F.lit(3)).alias("payment_type_name")
     )
     orders = t("orders").select("o_orderkey", code.alias("payment_type"))
     named = lookup(orders, names.where("payment_type_id <> 3"), {"payment_type": "payment_type_id"}, "left")

@@ -122,7 +122,7 @@ def payment_names(t):
     seen = t("orders").select("o_orderpriority").distinct()
     return seen.select(
         F.substring("o_orderpriority", 1, 1).cast("int").alias("payment_type_id"),
-        F.substring("o_orderpriority", 3, 100).alias("payment_type_name"),
+        F.substr("o_orderpriority", F.lit(3)).alias("payment_type_name"),
     ).where("payment_type_id <> 5")
 
 

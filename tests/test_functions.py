@@ -73,3 +73,19 @@ def test_base_labels(spark):
     got = df.select("licence", base_id(F.col("licence")), base_id_udf()(F.col("licence"))).collect()
     for licence, native, python in got:
         assert native == python == cases.get(licence)
+
+
+def test_both_base_labels_take_digits_only(spark):
+    from meterline.functions.base_ids import base_id, base_id_udf
+
+    odd = spark.createDataFrame([("B-7",), ("B+9",), ("B 12",), ("B",), ("",), (None,), ("B" + "9" * 30,), ("B14",)], "b string")
+    got = odd.select(base_id(F.col("b")).alias("x"), base_id_udf()(F.col("b")).alias("y")).collect()
+    assert [r.x for r in got] == [r.y for r in got] == [None] * 7 + ["s/00e"]
+
+
+def test_fixed_sum_refuses_what_it_cannot_hold(spark):
+    from meterline.functions.measures import fixed_sum
+
+    for amount, n in ((0.004, 10), (1e15, 10)):
+        with pytest.raises(Exception, match="decimals|too large"):
+            spark.range(n).select(fixed_sum(F.lit(amount))).collect()

@@ -34,10 +34,21 @@ def test_raw_csv_is_text(spark, folder):
     assert rows(files.read_csv_raw(spark, path)) == [("1", "2.5")]
 
 
-def test_schema_is_inferred_from_the_head_only(spark, folder):
-    path = put(folder, "t.csv", "id,x,s\n1,2.5,a\n2,3,b\nno number,4,c\n")
-    got = files.infer_csv_schema(spark, path, sample=2)
+def test_schema_is_inferred_from_all_lines(spark, folder):
+    late = "".join(f"{i},{i}.5,{i}\n" for i in range(1500)) + "7,8,X1500\n"
+    path = put(folder, "t.csv", "id,x,s\n" + late)
+    got = files.infer_csv_schema(spark, path)
     assert [f.dataType.simpleString() for f in got.fields] == ["int", "double", "string"]
+    assert files.read_csv(spark, path, got).where("s IS NULL").isEmpty()
+
+
+def test_tree_has_the_columns_of_all_files(spark, folder):
+    write_parquet(spark.range(1).selectExpr("id AS a"), f"{folder}/2020")
+    write_parquet(spark.range(1).selectExpr("id AS a", "1.5D AS fee"), f"{folder}/2025")
+    assert rows(files.read_parquet_tree(spark, folder)) == [(0, 1.5), (0, None)]
+    write_parquet(spark.range(1).selectExpr("id AS a", "2.5D AS fee"), f"{folder}/2020", "append")
+    wanted = struct_of("a bigint, fee double")
+    assert rows(files.read_parquet_as(spark, wanted, f"{folder}/2020")) == [(0, 2.5), (0, None)]
 
 
 def test_declared_schema_over_files_of_other_types(spark, folder):
@@ -155,6 +166,13 @@ def test_records_of_both_page_shapes(spark):
     assert rows(select_records(pages, "docs", RECORD, body="wrapped")) == [(1, 0, 7, None)]
 
 
+def test_broken_page_fails(spark):
+    pages = spark.createDataFrame([(1, '[{"id": 1}]'), (2, '[{"id": '), (3, '[{"id": 3}]')], "page int, body string")
+    for read in (lambda: select_records(pages, "$", RECORD), lambda: pages_until_empty(pages, "$")):
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            read().collect()
+
+
 def test_pages_stop_at_the_first_empty_one(spark):
     bodies = {3: '[{"id": 3}]', 1: '[{"id": 1}]', 2: "[]", 4: None}
     pages = spark.createDataFrame(list(bodies.items()), "page int, body string")
