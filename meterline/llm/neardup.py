@@ -188,10 +188,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     texts = stored(text.join(sigs, "doc_id").select(F.col("doc_id").alias("node"), "sig", "text"), "texts")
 
     links = pairs_of_docs(member)
-    label = None
-    for turn in range(HUB_ROUNDS + 1):
+    label = long = None
+    # hubs first, then each open entry's likeliest partner, and at last whatever is still open
+    for turn in range(HUB_ROUNDS + 2):
         named = bucket.withColumn("component", F.col("node")) if label is None else labelled(bucket, label)
-        pairs = hub_pairs(named) if turn < HUB_ROUNDS else open_pairs(named, member, texts)
+        if turn < HUB_ROUNDS:
+            pairs = hub_pairs(named)
+        else:
+            named = stored(named, "open")
+            long = long_signatures(named.select("node").distinct(), member, texts) if long is None else long
+            pairs = open_pairs(named, long, turn == HUB_ROUNDS)
         new = stored(_links(pairs, texts), "links")
         links = links.union(new)
         if new.limit(1).count() or label is None:
@@ -249,10 +255,11 @@ def _lengthen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 _AGREE = np.array([sum(x >> 2 * k & 3 == 0 for k in range(4)) for x in range(256)], np.uint8)
 
 
-def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _compare(batches: Iterator[pd.DataFrame], best: bool) -> Iterator[pd.DataFrame]:
     """Pairs of different components whose estimate is high enough; rows come ordered by (bucket, i, j).
 
-    A pair that shares several buckets is left to the first band that the two share.
+    A pair that shares several buckets is left to the first band that the two share. `best` is for only the likeliest
+    partner of each entry.
     """
 
     def group(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -266,12 +273,13 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             with_ = right[(of[right] != of[r]) & ((node[right] > node[r]) | (i != j))]
             shared = bands[with_] == bands[r]
             with_ = with_[bands[r][shared.argmax(axis=1)] == bucket] if len(with_) else with_
-            for at in range(0, len(with_), 256):
-                some = with_[at : at + 256]
-                share = _AGREE[long[some] ^ long[r]].sum(axis=1) / LONG_PLACES
-                good = some[(share - 0.25) / 0.75 >= LEAST_ESTIMATE]
-                ones.append(np.full(len(good), node[r]))
-                others.append(node[good])
+            parts = [_AGREE[long[with_[at : at + 256]] ^ long[r]].sum(axis=1) for at in range(0, len(with_), 256)]
+            share = np.concatenate([np.zeros(0), *parts]) / LONG_PLACES
+            good = (share - 0.25) / 0.75 >= LEAST_ESTIMATE
+            if best and good.any():
+                good = np.arange(len(share)) == share.argmax()
+            ones.append(np.full(good.sum(), node[r]))
+            others.append(node[with_[good]])
         return np.concatenate(ones), np.concatenate(others)
 
     rest = None
@@ -287,19 +295,17 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": a, "b": b})
 
 
-def open_pairs(named: DataFrame, member: DataFrame, texts: DataFrame) -> DataFrame:
+def long_signatures(nodes: DataFrame, member: DataFrame, texts: DataFrame) -> DataFrame:
+    bands = member.where("bands IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
+    text = texts.join(nodes, "node", "left_semi").join(bands, "node").select("node", "bands", "text")
+    return stored(text.mapInPandas(_lengthen, "node long, bands array<long>, long binary"), "long")
+
+
+def open_pairs(named: DataFrame, long: DataFrame, best: bool) -> DataFrame:
     """The exact way for what no hub decided: pairs of a bucket that are still of different components.
 
     A bucket is dealt in blocks, and each two of its blocks meet in one task; only promising pairs become rows.
     """
-    named = stored(named, "open")
-    inside = named.select("node").distinct()
-    bands = member.where("bands IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
-    long = stored(
-        texts.join(inside, "node", "left_semi").join(bands, "node").select("node", "bands", "text")
-        .mapInPandas(_lengthen, "node long, bands array<long>, long binary"),
-        "long",
-    )
     size = named.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     entry = named.join(size, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pair = F.transform(
@@ -308,4 +314,4 @@ def open_pairs(named: DataFrame, member: DataFrame, texts: DataFrame) -> DataFra
     )
     dealt = entry.select("bucket", "node", "component", "block", F.explode(pair).alias("pair")).select("*", "pair.*").drop("pair")
     ordered = dealt.join(long, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return ordered.mapInPandas(_compare, "a long, b long")
+    return ordered.mapInPandas(lambda batches: _compare(batches, best), "a long, b long").distinct()

@@ -18,8 +18,8 @@ def usable(embeddings: DataFrame, value: Column | None = None) -> DataFrame:
     """
     value = F.transform("embedding", lambda x: x.cast("double")) if value is None else value
     odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), value.alias("v"))
-    rows = rows.where(F.col("vec_id").isNotNull() & (F.size("v") > 0) & ~F.exists("v", odd))
+    fit = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & ~F.exists(F.transform("embedding", lambda x: x.cast("double")), odd)
+    rows = embeddings.where(fit).select(F.col("vec_id").cast("long").alias("vec_id"), value.alias("v"))
     one = stored(rows.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
     size = one.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
     return one.where(F.size("v") == (size["size"] if size else 0))
