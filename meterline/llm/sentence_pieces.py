@@ -130,13 +130,20 @@ def _chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a, b in runs(texts, CHUNK):
             number: dict[str, int] = {}
             parts = [np.array([number.setdefault(w, len(number)) for w in words(t)], np.uint32) for t in texts[a:b]]
+            stream = np.concatenate(parts)
+            # frequent words get small numbers; low and high halves apart compress better
+            order = np.argsort(-np.bincount(stream, minlength=len(number)), kind="stable")
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order), dtype=np.uint32)
+            halves = rank[stream].view(np.uint16).reshape(-1, 2).T
+            known = list(number)
             yield pd.DataFrame(
                 {
                     "chunk": [f"{TaskContext.get().partitionId()}-{made}"],
                     "ids": [batch["doc_id"].iloc[a:b].tolist()],
                     "sizes": [np.array([len(p) for p in parts], np.int32)],
-                    "stream": [zlib.compress(np.concatenate(parts).tobytes(), 1)],
-                    "words": [list(number)],
+                    "stream": [zlib.compress(halves.tobytes(), 1)],
+                    "words": [[known[i] for i in order]],
                 }
             )
             made += 1
@@ -150,7 +157,8 @@ def _assemble(batches: Iterator[pa.RecordBatch], kind: pa.DataType) -> Iterator[
             flat = np.array(reply.replace(",", " ").split(), np.int32)
             count = np.array([x.count(" ") + 1 for x in reply.split(",")] if reply else [], np.int64)
             start = np.cumsum(count) - count
-            word = np.frombuffer(zlib.decompress(stream.as_py()), np.uint32)
+            halves = np.frombuffer(zlib.decompress(stream.as_py()), np.uint16).reshape(2, -1)
+            word = np.ascontiguousarray(halves.T).view(np.uint32).ravel()
             each = count[word] if len(word) else np.zeros(0, np.int64)
             ends = np.cumsum(each)
             at = np.repeat(start[word] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
@@ -176,7 +184,8 @@ def encode(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     chunked.write.option("compression", "zstd").bucketBy(parts, "chunk").saveAsTable(name)
     chunks = spark.table(name)
 
-    entry = chunks.select("chunk", F.posexplode("words").alias("at", "word")).repartition(parts, "word")
+    # lattices have some twenty edges a word, so words are dealt finer than other shuffles
+    entry = chunks.select("chunk", F.posexplode("words").alias("at", "word")).repartition(8 * parts, "word")
     solved = solve(entry.select("word").distinct(), vocabulary)
     told = entry.join(solved.select("word", F.array_join("ids", " ").alias("ids")), "word")
     replies = told.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("told"))
