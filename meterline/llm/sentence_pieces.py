@@ -30,7 +30,7 @@ MARK = "▁"
 #: A longer word is cut after every so many characters, so that no lattice grows without bound.
 LONGEST_WORD = 256
 #: Characters of the texts in one chunk, about.
-CHUNK = 6 << 20
+CHUNK = 32 << 20
 #: What a character that is no piece costs, below the lowest score, as the format has it. Fixed value.
 UNKNOWN_COST = 10.0
 
