@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,12 +53,32 @@ def coerce_timestamps(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({name: F.col(name).try_cast("timestamp_ntz") for name in columns})
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the schema's columns, in its order, cast; absent ones NULL, bad cells NULL."""
-    have = set(df.columns)
-    return df.select(
-        *(
-            (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schema.fields
-        )
-    )
+def fitted(df: DataFrame, field: T.StructField) -> Column:
+    """A column of the frame as the field's type; NULL where a cell does not fit.
+
+    Whole numbers may be written with decimals (`1.0`), as a column with gaps often is; `1.5` does not fit.
+    """
+    cell, kind, given = F.col(f"`{field.name}`"), field.dataType, df.schema[field.name].dataType
+    if given == kind:
+        return cell
+    if isinstance(kind, T.IntegralType) and isinstance(given, (T.StringType, T.FractionalType)):
+        number = cell.try_cast("double")
+        whole = F.when(number == F.floor(number), number.try_cast(kind))
+        return F.coalesce(cell.try_cast(kind), whole) if isinstance(given, T.StringType) else whole
+    return cell.try_cast(kind)
+
+
+def conform(df: DataFrame, schema: T.StructType, refused: str | None = None) -> DataFrame:
+    """Exactly the schema's columns, in its order, cast; absent ones NULL, bad cells NULL.
+
+    `refused` names one more column: the names of those columns whose cell was neither NULL nor empty and did not fit.
+    """
+    there = {f.name: fitted(df, f) for f in schema.fields if f.name in df.columns}
+    columns = [there.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+    if refused is not None:
+        recast = [f.name for f in schema.fields if f.name in there and df.schema[f.name].dataType != f.dataType]
+        bad = [
+            F.when((F.trim(F.col(f"`{name}`").cast("string")) != "") & there[name].isNull(), F.lit(name)) for name in recast
+        ]
+        columns.append(F.array_compact(F.array(*bad, F.lit(None).cast("string"))).alias(refused))
+    return df.select(*columns)

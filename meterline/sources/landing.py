@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.operators.sets import unite
 from meterline.operators.shape import conform, rename_first_present, with_tag
@@ -31,9 +32,13 @@ TRIP_SCHEMA = struct_of(
     "dropoff_location_id int, fare_amount double, payment_type int"
 )
 
+# Fixed value: how landed files are named.
 MONTH_FILE = "{type}_tripdata_{year:04d}-{month:02d}"
 
 
+REFUSED = "refused"
+
+
 def month_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """Every (year, month) from `start` to `end`, both included."""
     bounds = spark.sql("SELECT :start AS first_day, :end AS last_day", args={"start": start, "end": end})
@@ -65,31 +70,59 @@ def ingest_months(
     """Trips of each type and month in the window: Parquet if landed, else CSV, else skipped with a warning.
 
     `layout` gives the path below the root, without the `.parquet` or `.csv` ending; each may be
-    a file or a directory. All trips get the common columns, `taxi_type` and one `extracted_at`
-    for the whole run. With nothing landed the frame is empty, with the same columns.
+    a file or a directory. All trips get the columns of TRIP_SCHEMA, `taxi_type`, every other
+    column that has landed, under its own name, `refused` (names of the columns whose cell did not
+    fit the type; counted by `refused_cells`) and one `extracted_at` for the whole run. With nothing
+    landed the frame is empty, with the declared columns.
 
-    Months of one feed that have the same columns are read together; the footer or header of
-    each month is looked at to tell.
+    Months of one feed that have the same columns are read together; executors read all footers
+    of each month to tell, so a month may hold files with different columns.
     """
     stamp = extracted_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     frames = []
     for kind in types:
         paths = [f"{root.rstrip('/')}/{layout.format(type=kind, year=y, month=m)}" for y, m in _months(start, end)]
-        parquet = file_schemas(spark, [f"{path}.parquet" for path in paths])
+        parquet = file_schemas(spark, [f"{path}.parquet" for path in paths], merge=True)
         csv = file_schemas(spark, [f"{path}.csv" for path in paths if f"{path}.parquet" not in parquet], "csv")
         for path in paths:
             if f"{path}.parquet" not in parquet and f"{path}.csv" not in csv:
                 logger.warning("no readable file landed for %s", path)
-        feeds = [spark.read.parquet(*group) for group in group_by_schema(parquet)]
+        feeds = [spark.read.option("mergeSchema", True).parquet(*group) for group in group_by_schema(parquet)]
         feeds += [read_csv_raw(spark, *group) for group in group_by_schema(csv)]
         for feed in feeds:
             renamed, chosen = rename_first_present(feed, TRIP_SPELLINGS)
             if chosen.get("fare_amount", "fare_amount") not in ("fare_amount", "fare"):
                 logger.warning("%s trips: %s stands in for the fare", kind, chosen["fare_amount"])
-            frames.append(with_tag(conform(renamed, TRIP_SCHEMA), "taxi_type", kind))
+            frames.append(with_tag(renamed, "taxi_type", kind))
 
-    if frames:
-        trips = unite(frames)
-    else:
-        trips = with_tag(spark.createDataFrame([], TRIP_SCHEMA), "taxi_type", "")
+    others, frames = _other_columns(frames)
+    schema = T.StructType([*TRIP_SCHEMA.fields, T.StructField("taxi_type", T.StringType()), *others])
+    frames = frames or [spark.createDataFrame([], schema)]
+    trips = unite([conform(frame, schema, refused=REFUSED) for frame in frames])
     return trips.withColumn("extracted_at", F.lit(str(stamp)).cast("timestamp_ntz"))
+
+
+def _other_columns(frames: Sequence[DataFrame]) -> tuple[list[T.StructField], list[DataFrame]]:
+    """What the frames have beyond the declared columns, by one spelling and type each, and the frames in that spelling.
+
+    Text takes the type that the column has elsewhere, different numbers become doubles, and other differences text.
+    """
+    own = {name.lower() for name in (*TRIP_SCHEMA.names, "taxi_type", REFUSED, "extracted_at")}
+    names: dict[str, str] = {}
+    kinds: dict[str, set[T.DataType]] = {}
+    for f in (f for frame in frames for f in frame.schema.fields if f.name.lower() not in own):
+        names.setdefault(f.name.lower(), f.name)
+        kinds.setdefault(f.name.lower(), set()).add(f.dataType)
+    fields = []
+    for key, found in kinds.items():
+        typed = found - {T.StringType()} or found
+        number = all(isinstance(kind, T.NumericType) for kind in typed)
+        kind = next(iter(typed)) if len(typed) == 1 else T.DoubleType() if number else T.StringType()
+        fields.append(T.StructField(names[key], kind))
+    spelled = [frame.withColumnsRenamed({c: names[c.lower()] for c in frame.columns if c.lower() in names}) for frame in frames]
+    return fields, spelled
+
+
+def refused_cells(trips: DataFrame) -> DataFrame:
+    """Rows (column, cells): how many landed cells did not fit, for each column that has any."""
+    return trips.select(F.explode(REFUSED).alias("column")).groupBy("column").agg(F.count("*").alias("cells"))

@@ -171,34 +171,43 @@ LANDED_FROM, LANDED_TO = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
     SELECT l_shipdate AS pickup_datetime, l_shipdate AS dropoff_datetime,
            CAST(l_suppkey AS INTEGER) AS pickup_location_id,
            CAST(NULL AS INTEGER) AS dropoff_location_id, l_extendedprice AS fare_amount, l_linenumber AS payment_type,
-           CASE WHEN l_returnflag = 'A' THEN 'yellow' ELSE 'green' END AS taxi_type
+           CASE WHEN l_returnflag = 'A' THEN 'yellow' ELSE 'green' END AS taxi_type,
+           l_quantity AS trip_distance, CAST(l_partkey AS INTEGER) AS passenger_count,
+           CASE WHEN l_returnflag = 'A' THEN l_extendedprice + l_tax END AS total_amount, 0 AS refused_cells
     FROM lineitem WHERE strftime(l_shipdate, '%Y-%m') <> '1997-05'
     """,
 )
 def ingest_months_of_lines(t):
-    """Lines landed by feed and month: one month as CSV, one not at all."""
+    """Lines landed by feed and month: one month as CSV, one not at all. Only yellow has a fare beside its total."""
     root = workspace(t.spark, "landed")
     month = F.date_format("l_shipdate", "yyyy-MM")
     lines = t("lineitem").select(
         F.col("l_shipdate").alias("pickup"),
         F.col("l_suppkey").alias("PULocationID"),
-        F.col("l_extendedprice").alias("total_amount"),
+        F.col("l_extendedprice").alias("price"),
         F.col("l_linenumber").alias("payment"),
+        F.col("l_quantity").alias("trip_distance"),
+        F.col("l_partkey").cast("int").alias("passenger_count"),
+        "l_tax",
         F.when(F.col("l_returnflag") == "A", "yellow").otherwise("green").alias("feed"),
         month.alias("ym"),
     ).where("ym <> '1997-05'")
     for feed, prefix in (("yellow", "tpep"), ("green", "lpep")):
-        trips = lines.where(F.col("feed") == feed).drop("feed").select(
+        total = F.col("price") + F.col("l_tax")
+        money = [F.col("price").alias("fare_amount"), total.alias("total_amount")]
+        trips = lines.where(F.col("feed") == feed).select(
             F.col("pickup").alias(f"{prefix}_pickup_datetime"),
             F.col("pickup").alias(f"{prefix}_dropoff_datetime"),
-            "PULocationID", "total_amount", "payment", "ym",
+            "PULocationID", "payment", "trip_distance", "passenger_count", "ym",
+            *(money if feed == "yellow" else [F.col("price").alias("total_amount")]),
         )
         parquet = trips.where("ym <> '1996-03'").withColumn("month", F.concat("ym", F.lit(".parquet"))).drop("ym")
         write_parquet(parquet, f"{root}/{feed}", partition_by=["month"])
         text = trips.where("ym = '1996-03'").drop("ym")
         text.write.option("header", True).csv(f"{root}/{feed}/month=1996-03.csv")
     layout = "{type}/month={year:04d}-{month:02d}"
-    return ingest_months(t.spark, root, ["yellow", "green"], LANDED_FROM, LANDED_TO, layout=layout).drop("extracted_at")
+    trips = ingest_months(t.spark, root, ["yellow", "green"], LANDED_FROM, LANDED_TO, layout=layout)
+    return trips.withColumn("refused_cells", F.size("refused")).drop("refused", "extracted_at")
 
 
 @query(

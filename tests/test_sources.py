@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterline.operators.checks import ChecksFailed
 from meterline.sinks.files import jdbc_options, write_parquet
 from meterline.sources import files
-from meterline.sources.landing import TRIP_SCHEMA, ingest_months, month_spine
+from meterline.sources.landing import TRIP_SCHEMA, ingest_months, month_spine, refused_cells
 from meterline.sources.records import pages_until_empty, select_records
 from meterline.sources.seeds import PAYMENT_LOOKUP, load_seed
 from meterline.types import struct_of
@@ -124,10 +124,11 @@ def test_months_are_ingested_from_what_has_landed(spark, folder, caplog):
     got = ingest_months(spark, folder, ["yellow", "green"], dt.date(2024, 1, 31), dt.date(2024, 2, 1), STAMP)
     pickup, dropoff = dt.datetime(2024, 1, 2, 3), dt.datetime(2024, 1, 2, 4)
     assert rows(got) == sorted([
-        (pickup, dropoff, 10, 20, 5.5, 1, "yellow", STAMP),
-        (pickup, dropoff, 11, 20, 7.0, 1, "yellow", STAMP),
-        (dt.datetime(2024, 1, 5), None, 30, 40, 9.25, 2, "green", STAMP),
+        (pickup, dropoff, 10, 20, 5.5, 1, "yellow", 7.0, [], STAMP),
+        (pickup, dropoff, 11, 20, 7.0, 1, "yellow", None, [], STAMP),
+        (dt.datetime(2024, 1, 5), None, 30, 40, 9.25, 2, "green", None, ["dropoff_datetime"], STAMP),
     ], key=repr)
+    assert rows(refused_cells(got)) == [("dropoff_datetime", 1)]
     assert "green_tripdata_2024-02" in caplog.text and "total_amount stands in" in caplog.text
 
 
@@ -140,7 +141,26 @@ def test_unreadable_parquet_falls_back_to_csv(spark, folder):
 
 def test_nothing_landed_gives_the_declared_columns(spark, folder):
     got = ingest_months(spark, folder, ["yellow"], dt.date(2024, 1, 1), dt.date(2024, 2, 1), STAMP)
-    assert got.isEmpty() and got.columns == [*TRIP_SCHEMA.names, "taxi_type", "extracted_at"]
+    assert got.isEmpty() and got.columns == [*TRIP_SCHEMA.names, "taxi_type", "refused", "extracted_at"]
+
+
+def test_month_with_files_of_different_columns_keeps_them_all(spark, folder):
+    month = f"{folder}/yellow_tripdata_2024-01.parquet"
+    old = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-02 03:00:00' AS tpep_pickup_datetime, 4.0D AS fare_amount")
+    write_parquet(old, month)
+    new = old.withColumns({"payment_type": F.lit(2), "Airport_fee": F.lit(1.25), "trip_distance": F.lit(3)})
+    new.write.mode("append").parquet(month)
+    put(folder, "yellow_tripdata_2024-02.csv",
+        "tpep_pickup_datetime,fare_amount,PULocationID,payment_type,passenger_count,trip_distance,airport_fee\n"
+        "2024-02-02 00:00:00,5,7.0,1.0,2.0,2.0,1.75\n2024-02-03 00:00:00,6,7.5,,,x,\n")
+    got = ingest_months(spark, folder, ["yellow"], dt.date(2024, 1, 1), dt.date(2024, 2, 1), STAMP)
+    seen = got.select("fare_amount", "pickup_location_id", "payment_type", "trip_distance", "Airport_fee", "passenger_count", "refused")
+    assert rows(seen) == sorted([
+        (4.0, None, None, None, None, None, []),
+        (4.0, None, 2, 3, 1.25, None, []),
+        (5.0, 7, 1, 2, 1.75, "2.0", []),
+        (6.0, None, None, None, None, None, ["pickup_location_id", "trip_distance"]),
+    ], key=repr)
 
 
 def test_seed_is_checked(spark, folder):
