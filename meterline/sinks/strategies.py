@@ -6,14 +6,14 @@ import datetime as dt
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.functions.clock import day_of
 from meterline.operators.filters import as_moment, half_open, in_half_open, last_day_below
 from meterline.operators.sets import unite
 from meterline.sinks.files import balanced
-from meterline.sinks.tables import append_rows, drop_table, held, partition_columns, replace_table
+from meterline.sinks.tables import append_rows, drop_table, held, partition_columns, replace_table, table_options
 from meterline.sources.tables import quoted
 from meterline.spec import TableSpec
 
@@ -35,7 +35,7 @@ def _swap_in(spark: SparkSession, new: DataFrame, name: str) -> DataFrame:
     """
     following, previous = f"{name}__next", f"{name}__previous"
     drop_table(spark, previous)
-    replace_table(new, following, partition_columns(spark, name))
+    replace_table(new, following, partition_columns(spark, name), **table_options(spark, name))
     spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {quoted(previous)}")
     try:
         spark.sql(f"ALTER TABLE {quoted(following)} RENAME TO {quoted(name)}")
@@ -57,42 +57,64 @@ def without_keys(target: DataFrame, known: DataFrame, keys: Sequence[str]) -> Da
     return target.join(known, list(keys), "left_anti")
 
 
-def _replace_keys(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _replace_keys(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], follows: bool = False) -> DataFrame:
     """Rows of the table whose key is not in the source, and all source rows.
 
     The source's keys are computed first and held: a small set is broadcast, and against a
     large one both join sides are plain shuffles, so that adaptive execution can split the
     table's rows of one frequent key; an aggregate below the join would prevent that.
 
-    If the table is partitioned by one of the keys, only the partitions of the source's keys
-    are read and written.
+    Of a table with one partition column only those partitions are rewritten that hold such a key or get a row.
+    If the column is a key, or follows from one, as `follows` says, these are the source's own; otherwise the keys
+    are looked up in the table. The list that comes to the driver has at most as many rows as the table partitions.
     """
     put_back(spark, name)
     target = spark.table(name)
     columns = target.columns
     partitions = partition_columns(spark, name)
-    scoped = len(partitions) == 1 and partitions[0] in keys
-    if scoped:
-        touched = [row[0] for row in source.select(*partitions).distinct().collect()]
-        part = F.col(partitions[0])
-        target = target.where(part.isin([v for v in touched if v is not None]) | part.isNull())
     with held(source.select(*keys).distinct(), "keys") as known:
-        new = unite([without_keys(target, known, keys).select(*columns), source.select(*columns)])
-        if scoped:
-            overwrite_partitions(new, name)
-        else:
-            _swap_in(spark, new, name)
+        if len(partitions) != 1:
+            kept = without_keys(target, known, keys).select(*columns)
+            _swap_in(spark, unite([kept, source.select(*columns)]), name)
+            return spark.table(name)
+        part = partitions[0]
+        gets, holds = _values(source, part), []
+        if part not in keys and not follows:
+            holds = _values(target.join(known, list(keys), "left_semi"), part)
+        touched = target.where(_one_of(part, [*gets, *holds]))
+        overwrite_partitions(unite([without_keys(touched, known, keys).select(*columns), source.select(*columns)]), name)
+        # a partition that all rows have left was not written, so its old rows are still there
+        left = [value for value in holds if value not in gets]
+        if left:
+            stale = spark.table(name).where(_one_of(part, left)).join(known, list(keys), "left_semi")
+            for value in _values(stale, part):
+                _drop_partition(spark, name, part, value)
     return spark.table(name)
 
 
-def merge(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _values(df: DataFrame, column: str) -> list:
+    return [row[0] for row in df.select(column).distinct().collect()]
+
+
+def _one_of(column: str, values: Sequence) -> Column:
+    given = F.col(column).isin([v for v in values if v is not None])
+    return given | F.col(column).isNull() if None in values else given
+
+
+def _drop_partition(spark: SparkSession, name: str, column: str, value) -> None:
+    literal = "NULL" if value is None else ":value"
+    text = None if value is None else {"value": str(value)}
+    spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS PARTITION (`{column}` = {literal})", args=text)
+
+
+def merge(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], follows: bool = False) -> DataFrame:
     """Update rows with a matching key, insert the others. A repeated source key is an error.
 
-    NULL matches nothing: such source rows are inserted.
+    NULL matches nothing: such source rows are inserted. `follows`: the partition column is derived from a key.
     """
     with held(source, "merge") as rows:
         refuse_repeats(rows, name, keys)
-        return _replace_keys(spark, name, rows, keys)
+        return _replace_keys(spark, name, rows, keys, follows)
 
 
 def refuse_repeats(source: DataFrame, name: str, keys: Sequence[str]) -> None:
@@ -100,10 +122,10 @@ def refuse_repeats(source: DataFrame, name: str, keys: Sequence[str]) -> None:
         raise ValueError(f"merge into {name}: source has several rows for one key")
 
 
-def delete_insert(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Delete rows with a key that the source has, then insert every source row."""
+def delete_insert(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], follows: bool = False) -> DataFrame:
+    """Delete rows with a key that the source has, then insert every source row. `follows` is as for merge."""
     with held(source, "delete_insert") as rows:
-        return _replace_keys(spark, name, rows, keys)
+        return _replace_keys(spark, name, rows, keys, follows)
 
 
 @contextmanager
@@ -224,4 +246,4 @@ def materialise(
     if spec.strategy == "append":
         return append_rows(df, spec.name)
     act = merge if spec.strategy == "merge" else delete_insert
-    return act(spark, spec.name, df, spec.primary_key)
+    return act(spark, spec.name, df, spec.primary_key, follows=spec.incremental_key in spec.primary_key)

@@ -19,6 +19,13 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def table_options(spark: SparkSession, name: str) -> dict[str, str]:
+    """Write options kept with a table."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").collect()}
+    pairs = (pair.partition("=") for pair in told.get("Storage Properties", "[]")[1:-1].split(", ") if pair)
+    return {key: value for key, _, value in pairs if key not in ("path", "serialization.format")}
+
+
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), **options) -> DataFrame:
     """Drop and rebuild a table from the frame, which must not read that table.
 

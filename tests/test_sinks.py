@@ -11,7 +11,7 @@ from meterline.session import shared_root
 from meterline.sinks import loads
 from meterline.sinks import strategies as act
 from meterline.sinks.files import write_parquet
-from meterline.sinks.tables import append_rows, ctas_partitioned, load_table, replace_table
+from meterline.sinks.tables import append_rows, ctas_partitioned, load_table, replace_table, table_options
 from meterline.spec import Column, TableSpec
 from tests.conftest import rows
 
@@ -146,6 +146,39 @@ def test_merge_by_partition_key_leaves_other_partitions_alone(spark, base):
     assert before == {f for f in spark.table(name).inputFiles() if "day=mon" in f}
 
 
+DAYS = [(1, "a", dt.date(2024, 1, 1)), (2, "b", dt.date(2024, 1, 2)), (3, "c", dt.date(2024, 1, 3)), (4, "n", None)]
+
+
+@pytest.mark.parametrize("strategy", [act.merge, act.delete_insert])
+def test_rows_move_between_partitions_and_others_keep_their_files(spark, base, strategy):
+    columns = "id int, v string, day date"
+    name = table(spark, base, DAYS, columns, ["day"])
+    before = {f for f in spark.table(name).inputFiles() if "day=2024-01-03" in f}
+    strategy(spark, name, frame(spark, [(2, "B", dt.date(2024, 1, 1)), (4, "N", dt.date(2024, 1, 1))], columns), ["id"])
+    expected = [(1, "a", DAYS[0][2]), (2, "B", DAYS[0][2]), (4, "N", DAYS[0][2]), (3, "c", DAYS[2][2])]
+    assert rows(spark.table(name)) == rows(frame(spark, expected, columns))
+    assert before == {f for f in spark.table(name).inputFiles() if "day=2024-01-03" in f}
+
+
+@pytest.mark.parametrize("strategy", ["merge", "delete_insert"])
+def test_declared_upsert_touches_only_its_days(spark, base, strategy):
+    name = f"{base}.t"
+    columns = [Column("ts", "timestamp_ntz", primary_key=True), Column("v", "string")]
+    spec = TableSpec(name, columns, strategy, incremental_key="ts", granularity="timestamp")
+    act.materialise(spark, spec, frame(spark, [(dt.datetime(2024, 1, d, 5), "a") for d in (1, 2, 3)], NTZ))
+    before = {f for f in spark.table(name).inputFiles() if "_day=2024-01-02" not in f}
+    act.materialise(spark, spec, frame(spark, [(dt.datetime(2024, 1, 2, h), "B") for h in (5, 6)], NTZ))
+    assert sorted(r.v for r in spark.table(name).collect()) == ["B", "B", "a", "a"]
+    assert before == {f for f in spark.table(name).inputFiles() if "_day=2024-01-02" not in f}
+
+
+def test_merge_keeps_table_options(spark, base):
+    name = f"{base}.limited"
+    replace_table(frame(spark, [(k, "a") for k in range(9)]), name, maxRecordsPerFile=3)
+    act.merge(spark, name, frame(spark, [(1, "b")]), ["k"])
+    assert table_options(spark, name)["maxRecordsPerFile"] == "3" and spark.table(name).count() == 9
+
+
 NTZ = "ts timestamp_ntz, v string"
 
 
