@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms of personal numbers, dates and addresses, in built-in functions only.
 
-A text is cut at everything that looks like a number, date or address. What is valid (Luhn digit, number plan,
-calendar) is mapped to two integers below a and b; a keyed Feistel network with additions modulo a and b
+A text is cut at everything that looks like a number, date or address. What is valid (Luhn digit, form of a phone
+number, calendar) is mapped to two integers below a and b; a keyed Feistel network with additions modulo a and b
 permutes all pairs; the pair is written in the same format. So each value of a class has one pseudonym of that
 class, different values have different ones, and equal values stay linked across documents, however they are spaced.
 """
@@ -31,7 +31,7 @@ AMERICAN = r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"
 EUROPEAN = r"^[0-9]{2}\.[0-9]{2}\.[0-9]{4}$"
 DATES = ((ISO, "yyyy-MM-dd"), (AMERICAN, "MM/dd/yyyy"), (EUROPEAN, "dd.MM.yyyy"))
 IP = r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])$"
-PHONE = r"^(?:\+?1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}$"
+PHONE = r"^(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}$"
 SSN = r"^(?:00[1-9]|0[1-9][0-9]|[1-57-8][0-9]{2}|6(?:[0-57-9][0-9]|6[0-57-9]))-(?:0[1-9]|[1-9][0-9])-(?:000[1-9]|00[1-9][0-9]|0[1-9][0-9]{2}|[1-9][0-9]{3})$"
 CARD = r"^[0-9](?:[ -]?[0-9]){12,18}$"
 
@@ -109,12 +109,26 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """Area and exchange codes keep to the number plan (200 to 999); a country code stays."""
+    """Numbers of the plan (area and exchange codes 200 to 999) and all others are permuted apart; a country code stays."""
     d = _digits(m)
     own = F.substring(d, -10, 10)
-    left = (_long(own, 1, 3) - 200) * 800 + _long(own, 4, 3) - 200
-    out = feistel(left, _long(own, 7, 4), F.lit(640_000), F.lit(10_000), F.lit("phone"), key)
-    new = F.concat((F.floor(out["l"] / 800) + 200).cast("string"), (out["l"] % 800 + 200).cast("string"), _padded(out["r"], 4))
+    area, exchange = _long(own, 1, 3), _long(own, 4, 3)
+    plan = (area >= 200) & (exchange >= 200)
+    # off the plan: 200 x 1000 pairs with a low area code, then 800 x 200 with a low exchange code only
+    left = (
+        F.when(plan, (area - 200) * 800 + exchange - 200)
+        .when(area < 200, area * 1000 + exchange)
+        .otherwise(200_000 + (area - 200) * 200 + exchange)
+    )
+    a, tweak = F.when(plan, 640_000).otherwise(360_000), F.when(plan, "phone").otherwise("phone off plan")
+    out = feistel(left, _long(own, 7, 4), a, F.lit(10_000), tweak, key)
+    high = out["l"] - 200_000
+    codes = (
+        F.when(plan, F.floor(out["l"] / 800) * 1000 + 200_000 + out["l"] % 800 + 200)
+        .when(high < 0, out["l"])
+        .otherwise(F.floor(high / 200) * 1000 + 200_000 + high % 200)
+    )
+    new = F.concat(_padded(codes, 6), _padded(out["r"], 4))
     return _refill(m, F.concat(F.when(F.length(d) == 11, F.substring(d, 1, 1)).otherwise(""), new))
 
 

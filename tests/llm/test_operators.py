@@ -112,6 +112,15 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert sum(digits[::2] + [sum(divmod(2 * d, 10)) for d in digits[1::2]]) % 10 == 0
 
 
+def test_phones_off_the_number_plan(spark):
+    phones = [f"+1 ({a:03d}) {e:03d}-{n:04d}" for a in (0, 17, 132, 199, 200, 911) for e in (0, 55, 199, 200, 555) for n in (0, 7713)]
+    rows = spark.createDataFrame([(p,) for p in phones], "p string").select("p", pii.pseudonymised(F.concat(F.lit("call "), "p"), "k").alias("out"))
+    got = {r.p: r.out for r in rows.collect()}
+    assert len(set(got.values())) == len(phones) and all(got[p] != f"call {p}" for p in phones)
+    planned = lambda p: p[-13] >= "2" and p[-8] >= "2"
+    assert all(re.fullmatch(r"call \+1 \(\d{3}\) \d{3}-\d{4}", x) and planned(x) == planned(p) for p, x in got.items())
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(35).select((F.col("id") % 7).alias("l"), F.floor(F.col("id") / 7).alias("r"))
     args = (F.lit(7), F.lit(5), F.lit("t"), "key")
