@@ -11,6 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: What begins with digits, is no run of digits, spaces and dashes, and so must not lose its beginning to one.
+_NO_RUN = "|".join(
+    (
+        r"[0-9]{2}([/.])[0-9]{2}\1[0-9]{4}(?![0-9])",
+        r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
+        r"[0-9]{3}(?:\.[0-9]{3}[ .-]|[ -][0-9]{3}\.)[0-9]{4}(?![0-9])",
+        r"(?=[0-9._%+-]*[A-Za-z])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+\.[A-Za-z0-9-]",
+    )
+)
 #: What may be personal, with nothing of the same kind on either side; validity is tested on the match.
 PATTERN = "|".join(
     (
@@ -19,7 +28,8 @@ PATTERN = "|".join(
         r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9])",
         r"(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",  # social security number
         r"(?<![0-9])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",  # phone number
-        r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",  # card number
+        # digits over single spaces and dashes, up to where a date, address or dotted phone number begins: cards are within
+        r"(?<![0-9])[0-9](?:[0-9]|[ -](?!" + _NO_RUN + r")[0-9]){12,}+",
     )
 )
 ROUNDS = 8
@@ -28,12 +38,20 @@ FIRST_DAY = "1900-01-01"
 DAYS = (271, 270)
 ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 AMERICAN = r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"
+#: Day first, where the first number is no month. Days 13 and later alone, so they never meet those written month first.
+DAY_FIRST = r"^(?:1[3-9]|2[0-9]|3[01])/(?:0[1-9]|1[0-2])/[0-9]{4}$"
+#: 211 x 211 days with numbers from 13 on, to March 2101: all of them that DAYS holds, and more.
+LATE_DAYS = (211, 211)
+LAST_LATE_DAY = "2101-03-28"
 EUROPEAN = r"^[0-9]{2}\.[0-9]{2}\.[0-9]{4}$"
-DATES = ((ISO, "yyyy-MM-dd"), (AMERICAN, "MM/dd/yyyy"), (EUROPEAN, "dd.MM.yyyy"))
+DATES = ((ISO, "yyyy-MM-dd"), (AMERICAN, "MM/dd/yyyy"), (DAY_FIRST, "dd/MM/yyyy"), (EUROPEAN, "dd.MM.yyyy"))
 IP = r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])$"
 PHONE = r"^(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}$"
 SSN = r"^(?:00[1-9]|0[1-9][0-9]|[1-57-8][0-9]{2}|6(?:[0-57-9][0-9]|6[0-57-9]))-(?:0[1-9]|[1-9][0-9])-(?:000[1-9]|00[1-9][0-9]|0[1-9][0-9]{2}|[1-9][0-9]{3})$"
 CARD = r"^[0-9](?:[ -]?[0-9]){12,18}$"
+RUN = r"^[0-9]+[ -][0-9 -]+$"
+#: How cards are usually grouped.
+USUAL = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{5})$"
 
 
 def _hash(key: str, *parts: Column) -> Column:
@@ -151,15 +169,41 @@ def _ip(m: Column, key: str) -> Column:
 def _day(m: Column, form: str) -> Column:
     """Number of the day if the text is a date in range, else null."""
     day = F.date_diff(F.try_to_timestamp(m, F.lit(form)).cast("date"), F.lit(FIRST_DAY).cast("date"))
-    return F.when(day.between(0, DAYS[0] * DAYS[1] - 1), day)
+    last = F.date_diff(F.lit(LAST_LATE_DAY).cast("date"), F.lit(FIRST_DAY).cast("date")) if form == "dd/MM/yyyy" else DAYS[0] * DAYS[1] - 1
+    return F.when(day.between(0, last), day)
 
 
 def _date(m: Column, form: str, key: str) -> Column:
+    if form == "dd/MM/yyyy":
+        return _day_first(m, form, key)
     day = _day(m, form)
     out = feistel(F.floor(day / DAYS[1]), day % DAYS[1], F.lit(DAYS[0]), F.lit(DAYS[1]), F.lit("date"), key)
     return F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), (out["l"] * DAYS[1] + out["r"]).cast("int")), form)
 
 
+def _late_days_before(month: Column) -> Column:
+    """How many days with numbers from 13 on lie before a month, counted from that of the first day."""
+    first = F.lit(FIRST_DAY).cast("date")
+    return F.date_diff(F.add_months(first, month), first) - 12 * month
+
+
+def _late_day(n: Column) -> Column:
+    """The n-th day (from 0) with a number from 13 on."""
+    about = F.floor(n / (30.436875 - 12)).cast("int")
+    month = F.array_max(F.filter(F.sequence(about - 2, about + 2), lambda k: _late_days_before(k) <= n))
+    at = F.transform(F.array(month), lambda k: F.date_add(F.add_months(F.lit(FIRST_DAY).cast("date"), k), (n - _late_days_before(k)).cast("int") + 12))
+    return F.element_at(at, 1)
+
+
+def _day_first(m: Column, form: str, key: str) -> Column:
+    """Days with numbers from 13 on are permuted among themselves, so no pseudonym can be read month first."""
+    day = F.try_to_timestamp(m, F.lit(form)).cast("date")
+    first = F.lit(FIRST_DAY).cast("date")
+    n = F.date_diff(day, first) - 12 * (F.months_between(F.trunc(day, "month"), first).cast("int") + 1)
+    out = feistel(F.floor(n / LATE_DAYS[1]), n % LATE_DAYS[1], F.lit(LATE_DAYS[0]), F.lit(LATE_DAYS[1]), F.lit("day first"), key)
+    return F.date_format(_late_day((out["l"] * LATE_DAYS[1] + out["r"]).cast("int")), form)
+
+
 def _shifted(part: Column, other: Column, key: str, i: Column) -> Column:
     """Letters and digits moved within their kind by a key stream made from the other half."""
 
@@ -218,15 +262,86 @@ def pseudonym(m: Column, key: str) -> Column:
     )
 
 
-def found(text: Column) -> Column:
+def _values_within(m: Column) -> Column:
+    """Where a run of digits has values on borders of its groups: structs (start, stop), apart from each other, in order.
+
+    Of values that overlap, a card as cards are usually grouped goes first, then the whole run, then dates, social security
+    and phone numbers, then any other card; of the same sort the longer one, then the first.
+    """
+    groups = F.split(m, "[ -]")
+    starts = F.aggregate(
+        groups, F.array(F.lit(0)), lambda s, g: F.concat(s, F.array(F.element_at(s, -1) + F.length(g) + 1))
+    )  # one more than groups
+
+    def among(starts: Column) -> Column:
+        n = F.size(starts) - 1
+
+        def span(i: Column, j: Column) -> Column:
+            start, stop = F.get(starts, i), F.get(starts, j) - 1
+            return F.struct(start.alias("start"), stop.alias("stop"), (stop - start - (j - i - 1)).alias("digits"))
+
+        spans = F.flatten(
+            F.transform(
+                F.sequence(F.lit(0), n - 1),
+                lambda i: F.transform(F.sequence(i + 1, F.least(i + 19, n)), lambda j: span(i, j)),
+            )
+        )
+        spans = F.filter(spans, lambda s: s["digits"].between(8, 19))
+
+        def known(s: Column) -> Column:
+            own = F.substring(m, s["start"] + 1, s["stop"] - s["start"])
+            usual, whole = own.rlike(USUAL), (s["start"] == 0) & (s["stop"] == F.length(m))
+            return F.struct(s["digits"].alias("digits"), s["start"].alias("start"), s["stop"].alias("stop"), usual.alias("usual"), whole.alias("whole"), kind_of(own).alias("kind"))
+
+        def ranked(s: Column) -> Column:
+            card = s["kind"] == "card"
+            rank = F.when(card & s["usual"], 0).when(s["whole"], 1).when(~card, 2).otherwise(3)
+            return F.struct(rank.alias("rank"), (-s["digits"]).alias("digits"), s["start"].alias("start"), s["stop"].alias("stop"))
+
+        values = F.filter(F.transform(spans, known), lambda s: s["kind"].isNotNull())
+        return F.array_sort(F.transform(values, ranked))
+
+    candidates = F.flatten(F.transform(F.array(starts), among))
+    at = lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))
+    apart = F.aggregate(
+        candidates,
+        F.array().cast("array<struct<start:int,stop:int>>"),
+        lambda kept, s: F.when(F.exists(kept, lambda k: (k["start"] < s["stop"]) & (s["start"] < k["stop"])), kept).otherwise(
+            F.concat(kept, F.array(at(s)))
+        ),
+    )
+    return F.array_sort(apart)
+
+
+def _parts(m: Column) -> Column:
+    """A match cut in texts of which each is a value as a whole or holds none. They make up the match."""
+
+    def cut(spans: Column) -> Column:
+        ends = F.flatten(F.transform(spans, lambda s: F.array(s["start"], s["stop"])))
+        return F.zip_with(
+            F.concat(F.array(F.lit(0)), ends),
+            F.concat(ends, F.array(F.length(m))),
+            lambda a, b: F.substring(m, a + 1, b - a),
+        )
+
+    within = F.flatten(F.transform(F.array(_values_within(m)), cut))
+    return F.when(m.rlike(RUN) & (F.length(_digits(m)) > 12), within).otherwise(F.array(m))
+
+
+def _matches(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
+def found(text: Column) -> Column:
+    """What may be personal, in order; a run of digits is cut around the values in it."""
+    return F.flatten(F.transform(_matches(text), _parts))
+
+
 def pseudonymised(text: Column, key: str) -> Column:
     """The text with every valid personal value replaced. Null stays null, all other characters stay as they are."""
     whole = F.zip_with(
         F.split(text, PATTERN, -1),
-        F.transform(found(text), lambda m: pseudonym(m, key)),
+        F.transform(_matches(text), lambda m: F.array_join(F.transform(_parts(m), lambda p: pseudonym(p, key)), "")),
         lambda between, new: F.concat(between, F.coalesce(new, F.lit(""))),
     )
     return F.when(text.rlike(PATTERN), F.array_join(whole, "")).otherwise(text)

@@ -121,6 +121,36 @@ def test_phones_off_the_number_plan(spark):
     assert all(re.fullmatch(r"call \+1 \(\d{3}\) \d{3}-\d{4}", x) and planned(x) == planned(p) for p, x in got.items())
 
 
+def test_values_within_runs_of_digits(spark):
+    card, other, solid = "4111 1111 1111 1111", "5500-0000-0000-0004", "4111111111111111"
+    texts = [
+        solid, f"room 12 {card}", "no 7 4111-1111-1111-1111", f"{card} 123 45", f"12345 6780 {card} 5", f"{card} {other}", f"{card} 31/12/1999",
+        f"{card} 10.0.0.1", "room 1234 202-555-0147", "6 2024-01-02 12345", "4111 1111 1111 1112", "0" * 30, "9" * 21 + " 7 " + ("8" * 21 + " ") * 3000 + solid, "9" * 30_000 + " " + solid,
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    out = rows.select("i", pii.pseudonymised(F.col("t"), "k").alias("t"), F.filter(pii.found(F.col("t")), lambda m: pii.kind_of(m).isNotNull()).alias("found"))
+    got = {r.i: r for r in out.collect()}
+    new, date = got[0].t, got[6].t[-10:]
+    spaced = " ".join(new[i : i + 4] for i in range(0, 16, 4))
+    assert new != solid and [got[i].t for i in (1, 2, 3, 4)] == [f"room 12 {spaced}", f"no 7 {spaced.replace(' ', '-')}", f"{spaced} 123 45", f"12345 6780 {spaced} 5"]
+    assert got[5].t.startswith(spaced + " ") and got[5].t[20:] != other and got[5].found == [card, other]
+    assert got[6].t[:20] == got[7].t[:20] == spaced + " " and date != "31/12/1999" and got[6].found == [card, "31/12/1999"] and got[7].found == [card, "10.0.0.1"]
+    assert re.fullmatch(r"room 1234 \d{3}-\d{3}-\d{4}", got[8].t) and got[8].t != texts[8] and re.fullmatch(r"6 \d{4}-\d\d-\d\d 12345", got[9].t) and got[9].t != texts[9]
+    assert [got[i].t for i in (10, 11)] == texts[10:12] and all(r.t.endswith(new) for r in (got[12], got[13]))
+
+
+def test_dates_with_the_day_first(spark):
+    n = pii.LATE_DAYS[0] * pii.LATE_DAYS[1]
+    days = spark.range(n).select(pii._late_day(F.col("id").cast("int")).alias("day"))
+    written = days.select("day", F.date_format("day", "dd/MM/yyyy").alias("old")).select("day", "old", pii.pseudonymised(F.col("old"), "k").alias("new"))
+    ends = written.agg(F.min("day"), F.max("day"), F.count_distinct("day"), F.count_distinct("new"), F.min(F.dayofmonth("day"))).first()
+    assert [str(x) for x in ends] == ["1900-01-13", pii.LAST_LATE_DAY, str(n), str(n), "13"]
+    assert written.where(F.try_to_timestamp("new", F.lit("MM/dd/yyyy")).isNotNull() | ~F.col("new").rlike(pii.DAY_FIRST)).isEmpty()
+    kept = written.join(written.select(F.col("old").alias("new")), "new", "left_semi").count()
+    same = spark.range(1).select(*(pii.pseudonymised(F.lit(t), "k") for t in ("31/02/1999", "12/31/1999", "le 31/12/1999."))).first()
+    assert kept == n and same[0] == "31/02/1999" and same[1][:2] <= "12" and re.fullmatch(r"le \d\d/\d\d/\d{4}\.", same[2]) and same[2] != "le 31/12/1999."
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(35).select((F.col("id") % 7).alias("l"), F.floor(F.col("id") / 7).alias("r"))
     args = (F.lit(7), F.lit(5), F.lit("t"), "key")
