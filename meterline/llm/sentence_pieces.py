@@ -3,7 +3,8 @@
 Spaces become the mark U+2581, one more goes in front, and a text is cut in words where a run of marks or of line ends begins: no
 piece reaches over such a cut. Each different word is solved once: its bounded-length substrings are exploded and
 equi-joined to the piece table, the edges are grouped by word, and a fold over them (Viterbi) keeps for each place the best
-path that ends there. Characters that are no piece fall back to pieces of their bytes.
+path that ends there. Characters that are no piece fall back to pieces of their bytes. Words of more than 256 characters (unspaced
+text, urls) are solved whole by the same fold where they are read, as their edges would be too many for one row.
 
 Documents travel as numbers of words in a chunk's own dictionary. Only dictionaries are joined with the solved words;
 chunks are stored in buckets, so that they stay where they are when their dictionary comes back.
@@ -27,7 +28,7 @@ from meterline.llm.common import pieces as runs
 from meterline.session import scratch_database
 
 MARK = "▁"
-#: A longer word is cut after every so many characters, so that no lattice grows without bound.
+#: A longer word isn't exploded to edges, of which there are some twenty a character, but solved where it is read.
 LONGEST_WORD = 256
 #: Characters of the texts in one chunk, about.
 CHUNK = 32 << 20
@@ -63,12 +64,34 @@ _WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+")
 
 
 def words(text: str | None) -> list[str]:
-    if not text:
-        return []
-    found = _WORD.findall(MARK + text.replace(" ", MARK))
-    if max(map(len, found)) > LONGEST_WORD:
-        found = [w[i : i + LONGEST_WORD] for w in found for i in range(0, len(w), LONGEST_WORD)]
-    return found
+    return _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
+
+
+def best_path(word: str, vocabulary: Vocabulary, table: dict[str, tuple[int, float]]) -> list[int]:
+    """Ids along the best path, equal to that of `solve` also among equal sums. table: id and score of each piece.
+
+    Only the sums of as many places as the longest piece has characters are looked back at; each place keeps where the last
+    piece of its path begins.
+    """
+    longest, unknown = vocabulary.longest, vocabulary.unknown_score
+    sums, begins = [0.0], [0]
+    for stop in range(1, len(word) + 1):
+        best, begin = None, 0
+        for start in range(max(0, stop - longest), stop):
+            known = table.get(word[start:stop])
+            if known is None and stop - start > 1:
+                continue
+            here = sums[start] + (unknown if known is None else known[1])
+            if best is None or here > best:
+                best, begin = here, start
+        sums.append(best)
+        begins.append(begin)
+    parts, stop = [], len(word)
+    while stop:
+        known = table.get(word[begins[stop] : stop])
+        parts.append([vocabulary.bytes[c] for c in word[begins[stop] : stop].encode()] if known is None else [known[0]])
+        stop = begins[stop]
+    return [i for ids in reversed(parts) for i in ids]
 
 
 def _best_path(edges: Column) -> Column:
@@ -123,27 +146,32 @@ def solve(distinct: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return edges.groupBy("word").agg(_best_path(F.sort_array(F.collect_list(edge))).alias("ids"))
 
 
-def _chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _chunk(batches: Iterator[pd.DataFrame], vocabulary: Vocabulary) -> Iterator[pd.DataFrame]:
     made = 0
+    table = {p: (i, float(s)) for p, i, s in vocabulary.pieces}
     for batch in batches:
         texts = batch["text"].tolist()
         for a, b in runs(texts, CHUNK):
             number: dict[str, int] = {}
             parts = [np.array([number.setdefault(w, len(number)) for w in words(t)], np.uint32) for t in texts[a:b]]
             stream = np.concatenate(parts)
-            # frequent words get small numbers; low and high halves apart compress better
-            order = np.argsort(-np.bincount(stream, minlength=len(number)), kind="stable")
+            known = list(number)
+            # frequent words get small numbers, long ones the last; low and high halves apart compress better
+            long = np.array([len(w) > LONGEST_WORD for w in known], bool)
+            order = np.lexsort((-np.bincount(stream, minlength=len(number)), long))
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
             halves = rank[stream].view(np.uint16).reshape(-1, 2).T
-            known = list(number)
+            short = len(known) - int(long.sum())
+            solved = (best_path(known[i], vocabulary, table) for i in order[short:])
             yield pd.DataFrame(
                 {
                     "chunk": [f"{TaskContext.get().partitionId()}-{made}"],
                     "ids": [batch["doc_id"].iloc[a:b].tolist()],
                     "sizes": [np.array([len(p) for p in parts], np.int32)],
                     "stream": [zlib.compress(halves.tobytes(), 1)],
-                    "words": [[known[i] for i in order]],
+                    "words": [[known[i] for i in order[:short]]],
+                    "long": [",".join(" ".join(map(str, ids)) for ids in solved)],
                 }
             )
             made += 1
@@ -152,8 +180,8 @@ def _chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _assemble(batches: Iterator[pa.RecordBatch], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
-            ids, sizes, stream, reply = (batch.column(c)[row] for c in ("ids", "sizes", "stream", "reply"))
-            reply, sizes = reply.as_py() or "", np.array(sizes.values)
+            ids, sizes, stream, reply, long = (batch.column(c)[row] for c in ("ids", "sizes", "stream", "reply", "long"))
+            reply, sizes = ",".join(r for r in (reply.as_py(), long.as_py()) if r), np.array(sizes.values)
             flat = np.array(reply.replace(",", " ").split(), np.int32)
             count = np.array([x.count(" ") + 1 for x in reply.split(",")] if reply else [], np.int64)
             start = np.cumsum(count) - count
@@ -177,10 +205,10 @@ def encode(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     spark = documents.sparkSession
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    shape = f"chunk string, ids array<{kind}>, sizes array<int>, stream binary, words array<string>"
+    shape = f"chunk string, ids array<{kind}>, sizes array<int>, stream binary, words array<string>, long string"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"{scratch_database(spark, 'pieces')}.chunks"
-    chunked = rows.mapInPandas(_chunk, shape)
+    chunked = rows.mapInPandas(lambda b: _chunk(b, vocabulary), shape)
     chunked.write.option("compression", "zstd").bucketBy(parts, "chunk").saveAsTable(name)
     chunks = spark.table(name)
 
@@ -190,7 +218,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     told = entry.join(solved.select("word", F.array_join("ids", " ").alias("ids")), "word")
     replies = told.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("told"))
     reply = replies.select("chunk", F.array_join(F.col("told.ids"), ",").alias("reply"))
-    whole = chunks.drop("words").join(reply.hint("merge"), "chunk", "left").select("ids", "sizes", "stream", "reply")
+    whole = chunks.drop("words").join(reply.hint("merge"), "chunk", "left").select("ids", "sizes", "stream", "reply", "long")
     arrow = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
     return whole.mapInArrow(lambda b: _assemble(b, arrow), f"doc_id {kind}, ids array<int>, n_pieces int")
 

@@ -201,6 +201,29 @@ def test_pieces_are_the_best_path_and_decode(spark, odd, empty):
     assert sentence_pieces.encode(empty, v).isEmpty()
 
 
+def test_pieces_of_long_words_are_the_best_path(spark):
+    v = sentence_pieces.load(VOCABULARY)
+    rng = random.Random(11)
+    texts = [prose(20 + i, 150, "tion ing the er com pre und str 中 文 é".split()).replace(" ", "") for i in range(4)]
+    texts += ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzABC0123456789+/", k=900)), "http://x.org/" + "query=word&" * 60, "=" * 700, "a " + "b" * 300 + " c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = {p: s for p, _, s in v.pieces}
+    score = {i: s for _, i, s in v.pieces}
+    coded = sentence_pieces.encode(docs, v)
+    for r in coded.collect():
+        z, best = "▁" + texts[r.doc_id].replace(" ", "▁"), [0.0]
+        for j in range(1, len(z) + 1):
+            best.append(max(best[a] + known.get(z[a:j], v.unknown_score if j - a == 1 else -math.inf) for a in range(max(0, j - v.longest), j)))
+        unknown = sum(v.unknown_score for c in z if c not in known)
+        assert math.isclose(best[-1], unknown + sum(score.get(i, 0.0) for i in r.ids if i not in v.bytes)), r.doc_id
+    assert {r.doc_id: r.text for r in sentence_pieces.decode(coded, v).collect()} == dict(enumerate(texts))
+    # words short enough for the relational lattice have the same path by the fold
+    table = {p: (i, float(s)) for p, i, s in v.pieces}
+    short = [(w,) for t in texts for w in {"▁" + t[k : k + 40] for k in range(0, 120, 7)} if "\n" not in w]
+    solved = sentence_pieces.solve(spark.createDataFrame(short, "word string").distinct(), v).collect()
+    assert solved and all(r.ids == sentence_pieces.best_path(r.word, v, table) for r in solved)
+
+
 def test_katz_is_normalised_and_recursive(spark):
     texts = [prose(i, 30, ["ka", "lo"]) for i in range(12)]
     model = katz.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
