@@ -94,7 +94,8 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 @query
 def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_pieces.encode(table(spark, sf_dir, "documents"), sentence_pieces.load(VOCABULARY))
+    vocabulary = sentence_pieces.load(VOCABULARY)
+    return sentence_pieces.with_text(sentence_pieces.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
 
 
 @query

@@ -223,17 +223,22 @@ def encode(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return whole.mapInArrow(lambda b: _assemble(b, arrow), f"doc_id {kind}, ids array<int>, n_pieces int")
 
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Rows (doc_id, text) for rows (doc_id, ids). Ids that are no piece's are skipped; no ids give an empty text."""
+def with_text(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The same rows with `text`, decoded from `ids`. Ids that are no piece's are skipped; no ids give an empty text."""
     mark = MARK.encode()
     spelled = {i: p.encode().replace(mark, b" ") for p, i, _ in vocabulary.pieces}
     spelled |= {i: bytes([b]) for b, i in enumerate(vocabulary.bytes)}
 
-    def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [b"".join(spelled.get(i, b"") for i in (() if ids is None else ids.tolist()))[1:] for ids in batch["ids"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text": [t.decode("utf-8", "replace") for t in texts]})
+            texts = (b"".join([spelled.get(i, b"") for i in ids.as_py() or ()])[1:] for ids in batch.column("ids"))
+            decoded = pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*batch.schema.names, "text"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
+    return encoded.mapInArrow(spell, f"{fields}, text string")
 
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInPandas(spell, f"doc_id {kind}, text string")
 
+def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Rows (doc_id, text) for rows (doc_id, ids). Ids that are no piece's are skipped; no ids give an empty text."""
+    return with_text(encoded.select("doc_id", "ids"), vocabulary).select("doc_id", "text")

@@ -224,6 +224,14 @@ def test_pieces_of_long_words_are_the_best_path(spark):
     assert solved and all(r.ids == sentence_pieces.best_path(r.word, v, table) for r in solved)
 
 
+def test_pieces_query_decodes_every_document(spark):
+    got = QUERIES["op4_sentence_pieces"](spark, SMALL)
+    assert got.columns == ["doc_id", "ids", "n_pieces", "text"]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", F.replace(F.coalesce("text", F.lit("")), F.lit("▁"), F.lit(" ")).alias("text"))
+    back = got.select("doc_id", "text").collect()
+    assert sorted(map(tuple, back), key=repr) == sorted(map(tuple, docs.collect()), key=repr)
+
+
 def test_katz_is_normalised_and_recursive(spark):
     texts = [prose(i, 30, ["ka", "lo"]) for i in range(12)]
     model = katz.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
