@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import katz, language, mixing, neardup, pii, quality, segment_search, sentence_pieces, tree_search, urls
+from meterline.llm import (
+    katz, language, mixing, neardup, packing, pii, quality, segment_search, sentence_pieces, tree_search, urls,
+)
 from meterline.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +112,16 @@ def op3_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
     )
+
+
+#: A public vocabulary without an end of text of its own that a text could not hold; 2 ends a document.
+WORD_PIECES = "word_bpe_49k.json"
+
+
+@query
+def op12_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(WORD_PIECES), encoding="utf-8") as file:
+        placed = packing.pack(table(spark, sf_dir, "documents"), file.read(), end_id=2)
+    return placed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "cost"
+    )
