@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import (
-    katz, language, mixing, neardup, packing, pii, quality, segment_search, sentence_pieces, tree_search, urls,
+    divergence, katz, language, mixing, neardup, packing, pii, quality, segment_search, sentence_pieces, tree_search, urls,
 )
 from meterline.llm.common import remainder, table
 
@@ -125,3 +125,49 @@ def op12_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "cost"
     )
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(coalesce("text", ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), w AS (
+  SELECT k, lang, source, unnest(list_transform(words, lambda x:
+    translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS term
+  FROM d
+), c AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT k) AS docs FROM w GROUP BY ALL
+), kept AS (
+  SELECT lang, term, sum(n)::HUGEINT AS total FROM c GROUP BY ALL HAVING sum(docs) >= 30
+), v AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS lang_n FROM kept GROUP BY lang
+), g AS (
+  SELECT lang, source, coalesce(sum(c.n) FILTER (kept.term IS NOT NULL), 0)::HUGEINT AS n
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) LEFT JOIN kept USING (lang, term)
+  GROUP BY ALL
+), p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000 * (coalesce(c.n, 0) + 5)::HUGEINT) // (g.n + 5 * v.v) AS p,
+    1 + (1000000000 * (kept.total + 5)) // (v.lang_n + 5 * v.v) AS q
+  FROM g JOIN v USING (lang) JOIN kept USING (lang)
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS f
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, item) AS r FROM both_parts
+)
+SELECT lang, source, part, item, f::BIGINT AS value, r::INTEGER AS rank FROM ranked WHERE part = 'pair' OR r <= 50
+"""
