@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import (
-    divergence, katz, language, mixing, neardup, packing, pii, quality, segment_search, sentence_pieces, tree_search, urls,
+    conversations, divergence, katz, language, mixing, neardup, packing, pii, quality, segment_search, sentence_pieces, tree_search, urls,
 )
 from meterline.llm.common import remainder, table
 
@@ -171,3 +171,31 @@ WITH d AS (
 )
 SELECT lang, source, part, item, f::BIGINT AS value, r::INTEGER AS rank FROM ranked WHERE part = 'pair' OR r <= 50
 """
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, role, text) of `conversations` with the damage that a row's id and turn stand for."""
+    space = F.lit(" ")
+    name = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")))
+    kind, text = F.pmod(F.crc32(name), F.lit(20)), F.coalesce("text", space)
+    return rows.where(kind != 0).select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    found = conversations.summary(conversations.repair(damaged(given))).withColumnRenamed("conv_id", "found")
+    every = given.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("found")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
