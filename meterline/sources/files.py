@@ -11,10 +11,7 @@ from pyspark.sql import types as T
 
 from meterline.operators.sets import unite
 from meterline.operators.shape import ensure_columns
-
-FOOTER_READERS = 16
-NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-BROKEN = ("CANNOT_READ_FILE_FOOTER",)
+from meterline.sources.schemas import LOOKS, NOTHING_THERE, members_of, read_groups, schema_groups, unite_widened
 
 
 def read_csv_raw(spark: SparkSession, *paths: str) -> DataFrame:
@@ -39,10 +36,14 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
 def read_parquet_tree(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
     """All files below nested directories whose name matches; directory names are not columns.
 
-    The columns are those of all files together, NULL where a file lacks one; executors read the footers.
+    The columns are those of all files together, NULL where a file lacks one; executors read the footers. A column whose
+    type differs between files has the common type of all; files that agree are read by one scan, which sees filters.
     """
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    return reader.option("mergeSchema", True).parquet(root)
+    options = {"recursiveFileLookup": True, "pathGlobFilter": glob}
+    groups, unreadable = schema_groups(spark, [root], members_of(spark, pathGlobFilter=glob), **options)
+    if unreadable:
+        raise FileNotFoundError(f"no readable Parquet at {unreadable}")
+    return unite_widened(read_groups(spark, groups, **options))
 
 
 def group_by_schema(schemas: dict[str, T.StructType]) -> list[list[str]]:
@@ -63,24 +64,19 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def file_schemas(
-    spark: SparkSession, paths: list[str], format: str = "parquet", merge: bool = False
-) -> dict[str, T.StructType]:
-    """Schema of each path, from one footer or header; paths that are missing or unreadable are left out.
-
-    Only that is read here, on the driver, several paths at a time. To `merge` is to have executors read all footers.
-    """
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, T.StructType]:
+    """Columns of each CSV path, from one header; paths that are missing are left out."""
 
     def look(path: str) -> T.StructType | None:
         try:
-            return spark.read.format(format).option("header", True).option("mergeSchema", merge).load(path).schema
-        except Exception as problem:
-            if not any(name in str(problem) for name in (*NOTHING_THERE, *BROKEN)):
+            return read_csv_raw(spark, path).schema
+        except AnalysisException as problem:
+            if problem.getCondition() not in NOTHING_THERE:
                 raise
             return None
 
-    with ThreadPoolExecutor(FOOTER_READERS) as readers:
-        found = dict(zip(paths, readers.map(look, paths)))
+    with ThreadPoolExecutor(LOOKS) as readers:
+        found = dict(zip(paths, readers.map(look, paths), strict=True))
     return {path: schema for path, schema in found.items() if schema is not None}
 
 
@@ -92,13 +88,12 @@ def read_parquet_as(spark: SparkSession, schema: T.StructType, *paths: str) -> D
     Files are read with their own types and cast afterwards: asking the reader for another
     type fails, or loses the whole file when corrupt files are skipped.
     """
-    found = file_schemas(spark, list(paths), merge=True)
-    missing = [path for path in paths if path not in found]
+    groups, missing = schema_groups(spark, paths, members_of(spark))
     if missing:
         raise FileNotFoundError(f"no readable Parquet at {missing}")
     frames = []
-    for group in group_by_schema(found):
-        complete = ensure_columns(spark.read.option("mergeSchema", True).parquet(*group), schema)
+    for frame in read_groups(spark, groups):
+        complete = ensure_columns(frame, schema)
         frames.append(complete.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields)))
     return unite(frames)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,8 @@ from pyspark.sql import types as T
 
 from meterline.operators.sets import unite
 from meterline.operators.shape import conform, rename_first_present, with_tag
-from meterline.sources.files import file_schemas, group_by_schema, read_csv_raw
+from meterline.sources.files import csv_headers, group_by_schema, read_csv_raw
+from meterline.sources.schemas import common_type, found_below, members_of, read_groups, schema_groups
 from meterline.types import struct_of
 
 logger = logging.getLogger(__name__)
@@ -75,22 +78,20 @@ def ingest_months(
     fit the type; counted by `refused_cells`) and one `extracted_at` for the whole run. With nothing
     landed the frame is empty, with the declared columns.
 
-    Months of one feed that have the same columns are read together; executors read all footers
-    of each month to tell, so a month may hold files with different columns.
+    One listing tells what has landed. For each feed one job reads all footers; months, or files of a month, whose types
+    differ from others' are read apart and cast to the same columns.
     """
     stamp = extracted_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    root = root.rstrip("/")
+    months = {kind: [layout.format(type=kind, year=y, month=m) for y, m in _months(start, end)] for kind in types}
+    named = [f"{name}.{ending}" for names in months.values() for name in names for ending in ("parquet", "csv")]
+    landed = found_below(spark, root, named)
+    with ThreadPoolExecutor(max(1, len(months))) as feeds:
+        read = list(feeds.map(lambda names: _landed_frames(spark, root, names, landed), months.values()))
     frames = []
-    for kind in types:
-        paths = [f"{root.rstrip('/')}/{layout.format(type=kind, year=y, month=m)}" for y, m in _months(start, end)]
-        parquet = file_schemas(spark, [f"{path}.parquet" for path in paths], merge=True)
-        csv = file_schemas(spark, [f"{path}.csv" for path in paths if f"{path}.parquet" not in parquet], "csv")
-        for path in paths:
-            if f"{path}.parquet" not in parquet and f"{path}.csv" not in csv:
-                logger.warning("no readable file landed for %s", path)
-        feeds = [spark.read.option("mergeSchema", True).parquet(*group) for group in group_by_schema(parquet)]
-        feeds += [read_csv_raw(spark, *group) for group in group_by_schema(csv)]
-        for feed in feeds:
-            renamed, chosen = rename_first_present(feed, TRIP_SPELLINGS)
+    for kind, feed in zip(months, read, strict=True):
+        for frame in feed:
+            renamed, chosen = rename_first_present(frame, TRIP_SPELLINGS)
             if chosen.get("fare_amount", "fare_amount") not in ("fare_amount", "fare"):
                 logger.warning("%s trips: %s stands in for the fare", kind, chosen["fare_amount"])
             frames.append(with_tag(renamed, "taxi_type", kind))
@@ -102,10 +103,22 @@ def ingest_months(
     return trips.withColumn("extracted_at", F.lit(str(stamp)).cast("timestamp_ntz"))
 
 
+def _landed_frames(spark: SparkSession, root: str, names: Sequence[str], landed: set[str]) -> list[DataFrame]:
+    """What has landed of one feed, files of the same types in one frame: Parquet, and text where that can't be read."""
+    parquet = [f"{root}/{name}.parquet" for name in names if f"{name}.parquet" in landed]
+    groups, broken = schema_groups(spark, parquet, members_of(spark))
+    there = [name for name in names if f"{name}.parquet" in landed and f"{root}/{name}.parquet" not in broken]
+    text = [name for name in names if name not in there and f"{name}.csv" in landed]
+    headers = csv_headers(spark, [f"{root}/{name}.csv" for name in text])
+    for name in sorted({*names} - {*there, *text}):
+        logger.warning("no readable file landed for %s/%s", root, name)
+    return read_groups(spark, groups) + [read_csv_raw(spark, *group) for group in group_by_schema(headers)]
+
+
 def _other_columns(frames: Sequence[DataFrame]) -> tuple[list[T.StructField], list[DataFrame]]:
     """What the frames have beyond the declared columns, by one spelling and type each, and the frames in that spelling.
 
-    Text takes the type that the column has elsewhere, different numbers become doubles, and other differences text.
+    Text takes the type that the column has elsewhere; other types become their common one.
     """
     own = {name.lower() for name in (*TRIP_SCHEMA.names, "taxi_type", REFUSED, "extracted_at")}
     names: dict[str, str] = {}
@@ -116,9 +129,7 @@ def _other_columns(frames: Sequence[DataFrame]) -> tuple[list[T.StructField], li
     fields = []
     for key, found in kinds.items():
         typed = found - {T.StringType()} or found
-        number = all(isinstance(kind, T.NumericType) for kind in typed)
-        kind = next(iter(typed)) if len(typed) == 1 else T.DoubleType() if number else T.StringType()
-        fields.append(T.StructField(names[key], kind))
+        fields.append(T.StructField(names[key], reduce(common_type, sorted(typed, key=str))))
     spelled = [frame.withColumnsRenamed({c: names[c.lower()] for c in frame.columns if c.lower() in names}) for frame in frames]
     return fields, spelled
 

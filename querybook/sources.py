@@ -91,18 +91,25 @@ def parquet_scan(t):
     return files.read_parquet(t.spark, t.path("orders"))
 
 
-def month_tree(t, df, time, label):
-    root = workspace(t.spark, label)
+def month_tree(t, df, time, label, root=None):
+    root = root or workspace(t.spark, label)
     first_day = month_start(F.col(time))
     dated = df.withColumns({"yyyy": F.date_format(first_day, "yyyy"), "mm": F.date_format(first_day, "MM")})
-    write_parquet(dated, root, partition_by=["yyyy", "mm"])
+    write_parquet(dated, root, "append", partition_by=["yyyy", "mm"])
     return root
 
 
-@query("parquet_tree_scan", "SELECT * FROM lineitem")
+@query("parquet_tree_scan", "SELECT *, CAST(l_linenumber AS DOUBLE) AS passengers FROM lineitem")
 def parquet_tree_scan(t):
-    """Lines in year and month directories, beside notes that are no Parquet."""
-    root = month_tree(t, t("lineitem"), "l_shipdate", "tree")
+    """Lines in year and month directories, beside notes that are no Parquet.
+
+    Passengers were whole numbers until 1996 and have decimals since.
+    """
+    passengers = F.col("l_linenumber").cast("int")
+    old = t("lineitem").where("coalesce(year(l_shipdate) < 1997, true)").withColumn("passengers", passengers)
+    new = t("lineitem").where("year(l_shipdate) >= 1997").withColumn("passengers", passengers.cast("double"))
+    root = month_tree(t, old, "l_shipdate", "tree")
+    month_tree(t, new, "l_shipdate", "tree", root)
     t("lineitem").groupBy("l_returnflag").count().selectExpr("l_returnflag AS note").write.text(f"{root}/notes")
     return files.read_parquet_tree(t.spark, root)
 
@@ -110,14 +117,19 @@ def parquet_tree_scan(t):
 @query(
     "parquet_schema_scan",
     """
-    SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_totalprice, CAST(NULL AS DOUBLE) AS tip_amount
+    SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_totalprice, CAST(NULL AS DOUBLE) AS tip_amount,
+           CAST(o_custkey AS DOUBLE) AS zone
     FROM orders
     """,
 )
 def parquet_schema_scan(t):
-    """A column narrower than in the file, and one that the file lacks."""
-    schema = struct_of("o_orderkey bigint, o_custkey int, o_totalprice double, tip_amount double")
-    return files.read_parquet_as(t.spark, schema, t.path("orders"))
+    """A column narrower than in the file, one that the files lack, and one that files of one path hold by two types."""
+    schema = struct_of("o_orderkey bigint, o_custkey int, o_totalprice double, tip_amount double, zone double")
+    root, orders = workspace(t.spark, "typed"), t("orders")
+    write_parquet(orders.where("o_orderstatus = 'O'").withColumn("zone", F.col("o_custkey").cast("int")), root)
+    others = orders.where("o_orderstatus IS DISTINCT FROM 'O'").withColumn("zone", F.col("o_custkey").cast("double"))
+    write_parquet(others, root, "append")
+    return files.read_parquet_as(t.spark, schema, root)
 
 
 @query(

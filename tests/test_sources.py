@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from meterline.operators.checks import ChecksFailed
 from meterline.sinks.files import jdbc_options, write_parquet
-from meterline.sources import files
+from meterline.sources import files, schemas
 from meterline.sources.landing import TRIP_SCHEMA, ingest_months, month_spine, refused_cells
 from meterline.sources.records import pages_until_empty, select_records
 from meterline.sources.seeds import PAYMENT_LOOKUP, load_seed
 from meterline.types import struct_of
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 
 
 def put(folder, name, text, compressed=False):
@@ -59,6 +59,79 @@ def test_declared_schema_over_files_of_other_types(spark, folder):
     assert rows(got) == [(0, 0.0, None), (1, 1.0, None), (2, 2.0, None)] and got.schema.names == wanted.names
 
 
+def test_tree_whose_types_changed_twice(spark, folder, monkeypatch):
+    """One column widens and narrows again, another turns to text, a third comes late; directories nest and files mix."""
+    for month in range(12):
+        n = "id AS n" if month < 4 else "id + 0.5D AS n" if month < 8 else "cast(id AS int) AS n"
+        code = "cast(id AS smallint) AS code" if month < 6 else "concat('c', id) AS code"
+        late = ["named_struct('a', cast(id AS int)) AS s"] if month == 10 else ["named_struct('a', id, 'b', 'x') AS s"] if month == 11 else []
+        write_parquet(spark.range(2).selectExpr(f"{month} AS month", n, code, *late), f"{folder}/y={month // 6}/m={month}", files=1)
+    spark.range(2).selectExpr("3 AS month", "'t' AS n", "cast(id AS tinyint) AS code").write.mode("append").parquet(f"{folder}/y=0/m=3")
+    put(folder, "notes.txt", "no Parquet")
+    got = files.read_parquet_tree(spark, folder)
+    assert got.dtypes == [("month", "int"), ("n", "string"), ("code", "string"), ("s", "struct<a:bigint,b:string>")]
+    assert got.count() == 26 and got.select("s").distinct().count() == 5
+    seen = {r.month: sorted(r.n) for r in got.groupBy("month").agg(F.collect_list("n").alias("n")).collect()}
+    assert seen[3] == ["0", "1", "t", "t"] and seen[5] == ["0.5", "1.5"] and seen[9] == ["0", "1"]
+    plan = plan_of(got.where("month = 7").select("n"))
+    assert "EqualTo(month,7)" in plan and "code:" not in plan
+
+
+def test_few_jobs_find_a_change_among_many_files(spark, folder):
+    for month in range(40):
+        write_parquet(spark.range(1).selectExpr("id" if month < 23 else "id + 0.5D AS id"), f"{folder}/{month:02d}", files=1)
+    looks = []
+
+    class Spy:
+        def __getattr__(self, name):
+            looks.append(1) if name == "read" else None
+            return getattr(spark, name)
+
+    paths = [f"{folder}/{month:02d}" for month in range(40)]
+    groups, unreadable = schemas.schema_groups(Spy(), [*paths, f"{folder}/none"], schemas.members_of(spark))
+    assert [len(g) for g, _ in groups] == [23, 17] and unreadable == [f"{folder}/none"] and len(looks) <= 30
+
+
+@pytest.mark.parametrize("a,b,both", [
+    ("tinyint", "int", "int"), ("int", "bigint", "bigint"), ("int", "double", "double"), ("bigint", "float", "double"),
+    ("smallint", "float", "float"), ("int", "decimal(5,2)", "decimal(12,2)"), ("decimal(38,10)", "bigint", "decimal(38,10)"),
+    ("decimal(38,30)", "bigint", "double"), ("decimal(4,1)", "double", "double"), ("date", "timestamp_ntz", "timestamp_ntz"),
+    ("date", "timestamp", "timestamp"), ("timestamp", "timestamp_ntz", "timestamp_ntz"), ("int", "string", "string"),
+    ("boolean", "int", "string"), ("void", "date", "date"), ("array<int>", "array<double>", "array<double>"),
+    ("map<string,int>", "map<string,bigint>", "map<string,bigint>"), ("struct<A:int>", "struct<a:bigint,b:date>", "struct<A:bigint,b:date>"),
+])
+def test_common_types(spark, a, b, both):
+    one, other = (spark.createDataFrame([], f"x {kind}").schema["x"].dataType for kind in (a, b))
+    assert schemas.common_type(one, other).simpleString() == both
+    assert schemas.common_type(other, one).simpleString().lower() == both.lower()
+
+
+def test_nested_beside_flat_has_no_common_type(spark, folder):
+    write_parquet(spark.range(1).selectExpr("id AS x"), f"{folder}/a")
+    write_parquet(spark.range(1).selectExpr("array(id) AS x"), f"{folder}/b")
+    with pytest.raises(schemas.NoCommonType, match="column x"):
+        files.read_parquet_tree(spark, folder)
+
+
+def test_what_is_found_below_a_root(spark, folder):
+    for name in ("a b/x=1.parquet", "a b/y-1.csv", "deep/1/2"):
+        write_parquet(spark.range(1), f"{folder}/{name}")
+    names = ["a b/x=1.parquet", "a b/x=2.parquet", "a b/y-1.csv", "deep/1", "deep/1/2", "none"]
+    assert schemas.found_below(spark, folder, names) == {"a b/x=1.parquet", "a b/y-1.csv", "deep/1", "deep/1/2"}
+    with pytest.raises(ValueError):
+        schemas.found_below(spark, folder, ["a*"])
+    assert schemas.found_below(spark, folder, ["none"]) == set() == schemas.found_below(spark, folder, [])
+
+
+def test_month_whose_files_differ_in_type(spark, folder):
+    month = f"{folder}/yellow_tripdata_2024-01.parquet"
+    old = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-02 03:00:00' AS tpep_pickup_datetime, 4 AS fare_amount, 1 AS passenger_count")
+    write_parquet(old, month)
+    old.selectExpr("tpep_pickup_datetime", "4.5D AS fare_amount", "1.5D AS passenger_count").write.mode("append").parquet(month)
+    got = ingest_months(spark, folder, ["yellow"], dt.date(2024, 1, 1), dt.date(2024, 1, 1), STAMP)
+    assert rows(got.select("fare_amount", "passenger_count")) == [(4.0, 1.0), (4.5, 1.5)]
+
+
 def test_declared_schema_needs_every_path(spark, folder):
     with pytest.raises(FileNotFoundError):
         files.read_parquet_as(spark, struct_of("id int"), f"{folder}/nowhere")
