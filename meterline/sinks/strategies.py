@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,14 @@ from meterline.functions.clock import day_of
 from meterline.operators.filters import as_moment, half_open, in_half_open, last_day_below
 from meterline.operators.sets import unite
 from meterline.sinks.files import balanced
-from meterline.sinks.tables import append_rows, drop_table, held, partition_columns, replace_table, table_options
+from meterline.sinks.ledger import LEDGER, Built, day_digests, day_files, known, record
+from meterline.sinks.tables import append_rows, drop_table, fit_table, held, partition_columns, replace_table, table_options
 from meterline.sources.tables import quoted
 from meterline.spec import TableSpec
 
 DAY = "_day"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_mode = RLock()
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -133,14 +136,16 @@ def dynamic_overwrite(spark: SparkSession):
     """Let overwriting inserts replace only the partitions they write.
 
     `insertInto` on a file table ignores the writer option of the same name and would empty
-    the whole table, so the session setting is changed for the length of the write.
+    the whole table, so the session setting is changed for the length of the write. Writes of
+    other threads wait, as they would undo it.
     """
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+    with _mode:
+        before = spark.conf.get(OVERWRITE_MODE)
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            yield
+        finally:
+            spark.conf.set(OVERWRITE_MODE, before)
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
@@ -158,13 +163,6 @@ def _only_in_window(source: DataFrame, key: str, lo, hi) -> DataFrame:
     return source.withColumn(key, F.when(inside, F.col(key)).otherwise(refused))
 
 
-def _stale_days(table: DataFrame, day: str, first: dt.date, last: dt.date) -> dict[dt.date, str]:
-    """One file of each stored day in the range; at most one row per day comes to the driver."""
-    files = table.where(F.col(day).between(F.lit(first), F.lit(last)))
-    found = files.groupBy(day).agg(F.min("_metadata.file_path").alias("file")).collect()
-    return {row[day]: row["file"] for row in found}
-
-
 def time_interval(
     spark: SparkSession,
     name: str,
@@ -173,6 +171,7 @@ def time_interval(
     lo: dt.datetime | dt.date | str,
     hi: dt.datetime | dt.date | str,
     granularity: str = "timestamp",
+    only_changes: bool = False,
 ) -> DataFrame:
     """Replace the rows with `lo <= key < hi` by the source's rows, which must lie in that window.
 
@@ -180,6 +179,9 @@ def time_interval(
     itself for `date` granularity, where a window off midnight is refused. Only the days the
     window touches are read and written; a day left without rows is dropped. Rows with a NULL
     key are in no window and stay.
+
+    With `only_changes` the table has a ledger of its days, and of a window built again only the days whose
+    content differs are written. It costs a pass over the new rows, and a second one if some differ.
     """
     lo, hi = as_moment(lo), as_moment(hi)
     if granularity == "date":
@@ -190,25 +192,64 @@ def time_interval(
         day, new = DAY, _only_in_window(source, key, lo, hi).withColumn(DAY, day_of(F.col(key)))
     if hi <= lo:
         return spark.table(name) if spark.catalog.tableExists(name) else replace_table(new.limit(0), name, [day])
+    first, last = lo.date(), last_day_below(hi)
     if not spark.catalog.tableExists(name):
-        return replace_table(new, name, [day])
+        replace_table(new, name, [day])
+        if only_changes:
+            _record_days(spark, name, day, first, last, day_files(spark, name, day, first, last))
+        return spark.table(name)
 
     if partition_columns(spark, name) != [day]:
         raise ValueError(f"{name} is not partitioned by {day}")
     table = spark.table(name)
-    first, last = lo.date(), last_day_below(hi)
-    before = _stale_days(table, day, first, last)
+    before = day_files(spark, name, day, first, last)
     content = new.select(*table.columns)
     edge_days = sorted({first, last} & before.keys())
     if granularity == "timestamp" and edge_days:
         survivors = table.where(F.col(day).isin(edge_days) & ~in_half_open(table, key, lo, hi))
         content = unite([survivors, content])
+    if only_changes:
+        _overwrite_changes(spark, name, day, content, before, first, last)
+        return spark.table(name)
     overwrite_partitions(content, name)
+    after = day_files(spark, name, day, first, last)
+    _drop_days(spark, name, day, (d for d, files in before.items() if after.get(d) == files))
+    return spark.table(name)
+
 
-    after = _stale_days(spark.table(name), day, first, last)
-    for emptied in sorted(d for d, file in before.items() if after.get(d) == file):
+def _drop_days(spark: SparkSession, name: str, day: str, days: Iterable[dt.date]) -> None:
+    for emptied in sorted(days):
         spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS PARTITION (`{day}` = DATE '{emptied}')")
-    return spark.table(name)
+
+
+def _record_days(spark: SparkSession, name: str, day: str, first: dt.date, last: dt.date, files: dict[dt.date, str]) -> None:
+    """Enter what is stored for each day of the range."""
+    found = day_digests(spark.table(name).where(F.col(day).between(F.lit(first), F.lit(last))), day)
+    record(spark, name, {str(d): Built(rows, digest, files[d]) for d, (rows, digest, _) in found.items()})
+
+
+def _overwrite_changes(
+    spark: SparkSession, name: str, day: str, content: DataFrame, before: dict[dt.date, str], first: dt.date, last: dt.date
+) -> None:
+    """Bring the days of a range to the content, writing those whose digest differs from what the ledger holds."""
+    entries = {dt.date.fromisoformat(item): entry for item, entry in known(spark, name).items()}
+    trusted = {d: entries[d] for d, files in before.items() if d in entries and entries[d].files == files}
+    if not trusted:
+        overwrite_partitions(content, name)
+        after = day_files(spark, name, day, first, last)
+        gone = [d for d, files in before.items() if after.get(d) == files]
+        _drop_days(spark, name, day, gone)
+        _record_days(spark, name, day, first, last, after)
+        return record(spark, name, {}, map(str, gone)) if gone else None
+    found = day_digests(content, day)
+    changed = sorted(d for d, entry in found.items() if d not in trusted or entry[:2] != trusted[d][:2])
+    gone = sorted(before.keys() - found.keys())
+    if changed:
+        overwrite_partitions(content.where(F.col(day).isin(changed)), name)
+    _drop_days(spark, name, day, gone)
+    if changed or gone:
+        after = day_files(spark, name, day, first, last)
+        record(spark, name, {str(d): Built(*found[d][:2], after[d]) for d in changed}, map(str, gone))
 
 
 def window_rows(table: DataFrame, key: str, lo, hi) -> DataFrame:
@@ -224,17 +265,20 @@ def materialise(
     A table with an incremental key is stored in day partitions of it, whatever the strategy,
     so that the next step reads only the days of its window.
     """
-    df = df.select(*(F.col(c.name).cast(c.type).alias(c.name) for c in spec.columns))
+    declared = [F.col(c.name).cast(c.type).alias(c.name) for c in spec.columns]
+    names = {c.name.lower() for c in spec.columns}
+    df = df.select(*declared, *([c for c in df.columns if c.lower() not in names] if spec.more else []))
     if spec.strategy == "view":
         return as_view(df, spec.name)
     if full_refresh:
         drop_table(spark, spec.name)
+        drop_table(spark, f"{spec.name}{LEDGER}")
     else:
         put_back(spark, spec.name)
     if spec.strategy == "time_interval":
         if window is None:
             raise ValueError("time_interval needs a window")
-        return time_interval(spark, spec.name, df, spec.incremental_key, *window, spec.granularity)
+        return time_interval(spark, spec.name, df, spec.incremental_key, *window, spec.granularity, spec.only_changes)
     days = []
     if spec.incremental_key:
         days = [spec.incremental_key] if spec.granularity == "date" else [DAY]
@@ -244,6 +288,6 @@ def materialise(
             refuse_repeats(df, spec.name, spec.primary_key)
         return replace_table(df, spec.name, days)
     if spec.strategy == "append":
-        return append_rows(df, spec.name)
+        return append_rows(fit_table(df, spec.name) if spec.more else df, spec.name)
     act = merge if spec.strategy == "merge" else delete_insert
     return act(spark, spec.name, df, spec.primary_key, follows=spec.incremental_key in spec.primary_key)

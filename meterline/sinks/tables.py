@@ -7,11 +7,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.functions.clock import day_of
 from meterline.session import scratch_database
 from meterline.sinks.files import balanced
 from meterline.sources.files import read_parquet
+from meterline.sources.schemas import common_schema, widen
 from meterline.sources.tables import quoted
 
 
@@ -80,6 +82,25 @@ def append_rows(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def fit_table(df: DataFrame, name: str) -> DataFrame:
+    """The frame with the table's columns and types; columns that the table lacks are added to it first.
+
+    A column that the frame lacks is NULL. One whose values the table's type does not hold is refused: only
+    a new table can have a wider one.
+    """
+    spark = df.sparkSession
+    stored = spark.table(name).schema
+    both = common_schema([stored, df.schema])
+    wider = [f"{f.name}: {f.dataType.simpleString()}" for f, own in zip(both.fields, stored.fields) if f.dataType != own.dataType]
+    if wider:
+        raise ValueError(f"{name} would have to be built anew with {', '.join(wider)}")
+    added = [f"`{f.name}` {f.dataType.simpleString()}" for f in both.fields[len(stored.fields) :]]
+    if added:
+        spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({', '.join(added)})")
+    partitions = set(partition_columns(spark, name))
+    return widen(df, T.StructType([f for f in both.fields if f.name not in partitions or f.name in df.columns]))
+
+
 def load_table(df: DataFrame, name: str, mode: str = "replace", batch_rows: int | None = None) -> DataFrame:
     """Create the table empty from the frame's schema if replacing, then append.
 

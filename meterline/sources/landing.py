@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -39,6 +39,9 @@ TRIP_SCHEMA = struct_of(
 MONTH_FILE = "{type}_tripdata_{year:04d}-{month:02d}"
 
 
+# What a month may have landed as, the first that can be read.
+ENDINGS = ("parquet", "csv")
+
 REFUSED = "refused"
 
 
@@ -61,6 +64,14 @@ def _months(start: dt.date, end: dt.date) -> list[tuple[int, int]]:
     return [(index // 12, index % 12 + 1) for index in span]
 
 
+def landed_files(
+    spark: SparkSession, root: str, types: Sequence[str], start: dt.date, end: dt.date, layout: str = MONTH_FILE
+) -> DataFrame:
+    """Files that have landed for each type and month in the window, from one listing."""
+    names = [layout.format(type=kind, year=y, month=m) for kind in types for y, m in _months(start, end)]
+    return found_below(spark, root, [f"{name}.{ending}" for name in names for ending in ENDINGS])
+
+
 def ingest_months(
     spark: SparkSession,
     root: str,
@@ -69,6 +80,7 @@ def ingest_months(
     end: dt.date,
     extracted_at: dt.datetime | None = None,
     layout: str = MONTH_FILE,
+    landed: Collection[str] | None = None,
 ) -> DataFrame:
     """Trips of each type and month in the window: Parquet if landed, else CSV, else skipped with a warning.
 
@@ -79,13 +91,14 @@ def ingest_months(
     landed the frame is empty, with the declared columns.
 
     One listing tells what has landed. For each feed one job reads all footers; months, or files of a month, whose types
-    differ from others' are read apart and cast to the same columns.
+    differ from others' are read apart and cast to the same columns. Who has listed them already names in `landed` the
+    files and folders below the root to read.
     """
     stamp = extracted_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     root = root.rstrip("/")
     months = {kind: [layout.format(type=kind, year=y, month=m) for y, m in _months(start, end)] for kind in types}
-    named = [f"{name}.{ending}" for names in months.values() for name in names for ending in ("parquet", "csv")]
-    landed = found_below(spark, root, named)
+    if landed is None:
+        landed = {r["name"] for r in landed_files(spark, root, types, start, end, layout).select("name").distinct().collect()}
     with ThreadPoolExecutor(max(1, len(months))) as feeds:
         read = list(feeds.map(lambda names: _landed_frames(spark, root, names, landed), months.values()))
     frames = []
@@ -103,7 +116,7 @@ def ingest_months(
     return trips.withColumn("extracted_at", F.lit(str(stamp)).cast("timestamp_ntz"))
 
 
-def _landed_frames(spark: SparkSession, root: str, names: Sequence[str], landed: set[str]) -> list[DataFrame]:
+def _landed_frames(spark: SparkSession, root: str, names: Sequence[str], landed: Collection[str]) -> list[DataFrame]:
     """What has landed of one feed, files of the same types in one frame: Parquet, and text where that can't be read."""
     parquet = [f"{root}/{name}.parquet" for name in names if f"{name}.parquet" in landed]
     groups, broken = schema_groups(spark, parquet, members_of(spark))

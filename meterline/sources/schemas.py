@@ -173,9 +173,9 @@ def read_groups(spark: SparkSession, groups: Sequence[tuple[list[str], T.StructT
 
 
 def paths_below(spark: SparkSession, root: str, **options) -> DataFrame:
-    """Rows (path, folder) of the files below a root; contents are not read."""
+    """Rows (path, length, modificationTime) of the files below a root; contents are not read."""
     listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, **options).load(root)
-    return listed.select("path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
+    return listed.select("path", "length", "modificationTime")
 
 
 def members_of(spark: SparkSession, **options) -> Callable[[str], list[str]]:
@@ -183,7 +183,8 @@ def members_of(spark: SparkSession, **options) -> Callable[[str], list[str]]:
 
     def members(path: str) -> list[str]:
         listed = paths_below(spark, path, **options)
-        folders = sorted(r.folder for r in listed.select("folder").distinct().collect())
+        folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+        folders = sorted(r.folder for r in listed.select(folder).distinct().collect())
         nested = any(b.startswith(f"{a}/") for a, b in zip(folders, folders[1:], strict=False))
         if len(folders) > 1 and not nested:
             return folders
@@ -192,27 +193,26 @@ def members_of(spark: SparkSession, **options) -> Callable[[str], list[str]]:
     return members
 
 
-def found_below(spark: SparkSession, root: str, names: Sequence[str]) -> set[str]:
-    """Which of the relative names are files, or folders with files, below a root. One listing, by one job.
+def found_below(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
+    """Rows (name, path, length, modificationTime) of the files that the relative names are or hold, below a root.
 
-    Spark takes paths for patterns, so the names must not hold a sign that has a meaning there.
+    One listing; Spark takes paths for patterns, so the names must not hold a sign that has a meaning there.
     """
-    if not names:
-        return set()
     if odd := [name for name in names if set(name) & set("\\*?[]{},")]:
         raise ValueError(f"names with signs of patterns: {odd}")
-    pattern = f"{root.rstrip('/')}/{{{','.join(names)}}}"
+    nothing = spark.createDataFrame([], "name string, path string, length long, modificationTime timestamp")
+    if not names:
+        return nothing
     try:
-        listed = paths_below(spark, pattern)
+        listed = paths_below(spark, f"{root.rstrip('/')}/{{{','.join(names)}}}")
     except PySparkException as problem:
         if problem.getCondition() not in NOTHING_THERE:
             raise
-        return set()
+        return nothing
     parts = F.split("path", "/")
-    found: set[str] = set()
-    for depth in {name.count("/") + 1 for name in names}:
+    found = []
+    for depth in sorted({name.count("/") + 1 for name in names}):
         runs = F.transform(F.sequence(F.lit(1), F.size(parts) - depth + 1), lambda i: F.array_join(F.slice(parts, i, depth), "/"))
-        own = listed.select(F.explode(runs).alias("name")).where(F.col("name").isin([n for n in names if n.count("/") + 1 == depth]))
-        found |= {r.name for r in own.distinct().collect()}
-    return found
-
+        own = listed.select(F.explode(runs).alias("name"), *listed.columns)
+        found.append(own.where(F.col("name").isin([n for n in names if n.count("/") + 1 == depth])))
+    return unite(found)

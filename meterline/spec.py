@@ -51,6 +51,10 @@ class TableSpec:
     strategy: str = "table"
     incremental_key: str | None = None
     granularity: str = "timestamp"
+    # whether columns that a frame has beside the declared ones are kept, and columns that come later added
+    more: bool = False
+    # whether a window built again writes only the days that differ
+    only_changes: bool = False
     query_checks: Sequence[QueryCheck] = field(default_factory=tuple)
 
     def __post_init__(self):
@@ -60,6 +64,10 @@ class TableSpec:
             raise ValueError(f"unknown granularity {self.granularity!r}")
         if self.strategy == "time_interval" and self.incremental_key is None:
             raise ValueError("time_interval needs an incremental_key")
+        if self.only_changes and self.strategy != "time_interval":
+            raise ValueError("only time_interval can write changes only")
+        if self.more and self.strategy not in ("view", "table", "append"):
+            raise ValueError(f"{self.strategy} needs all columns declared")
         if self.strategy in ("merge", "delete_insert") and not self.primary_key:
             raise ValueError(f"{self.strategy} needs primary key columns")
 

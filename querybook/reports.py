@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from meterline.functions.base_ids import base_id_udf
+from meterline.operators.aggregates import count_rows
 from meterline.plans import rankings, revenue, staging
+from meterline.session import scratch_database, workspace
+from meterline.sinks import strategies
+from meterline.sinks.ledger import day_files
 from querybook.feeds import CENTS, for_hire, green, hourly_trips, line_trips, supplier_zones, yellow, zones
 from querybook.registry import query
+from querybook.sources import LANDED_AS, land_lines
 
 
 def money(column: str) -> str:
@@ -178,6 +185,50 @@ def top_payment_types(t):
     return staging.top_payment_types(trips_report(t))
 
 
+# The run window of the asset pipeline: one of its months has landed as CSV.
+BUILT = (dt.date(1996, 1, 1), dt.date(1996, 7, 1))
+
+
+@query(
+    "asset_pipeline",
+    f"""
+    SELECT CAST(pickup AS DATE) AS trip_date, taxi_type, payment_type_name AS payment_type, COUNT(*) AS trip_count,
+           {money('fare')} AS total_fare, {mean('fare')} AS avg_fare,
+           0 AS days_written_again, 0 AS trips_ingested_again, 0 AS landed_columns_lost
+    FROM (
+      SELECT l_shipdate AS pickup, l_suppkey, l_extendedprice AS fare,
+             CASE WHEN l_returnflag = 'A' THEN 'yellow' ELSE 'green' END AS taxi_type, MIN(l_linenumber) AS code
+      FROM lineitem WHERE l_shipdate >= TIMESTAMP '{BUILT[0]}' AND l_shipdate < TIMESTAMP '{BUILT[1]}'
+      GROUP BY ALL) t
+    LEFT JOIN (
+      SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS payment_type_id,
+             substr(o_orderpriority, 3) AS payment_type_name
+      FROM orders WHERE substr(o_orderpriority, 1, 1) <> '5') p ON code = payment_type_id
+    GROUP BY 1, 2, 3
+    """,
+)
+def asset_pipeline(t):
+    """Landed lines ingested, staged and reported, with all checks, twice: the second run writes no day and no trip."""
+    spark, root, seed = t.spark, land_lines(t), workspace(t.spark, "seed")
+    payment_names(t).write.option("header", True).csv(seed)
+    bases = {base: scratch_database(spark, base) for base in ("ingestion", "staging", "reports")}
+    names = [f"{bases['staging']}.trips", f"{bases['reports']}.trips_report"]
+    days = (strategies.DAY, "trip_date")
+    files = []
+    for _ in range(2):
+        report = staging.build_trip_tables(
+            spark, root, seed, ["yellow", "green"], BUILT, layout=LANDED_AS, bases=bases, skip_ingested=True, scale=CENTS
+        )
+        stored = [day_files(spark, name, day, *BUILT) for name, day in zip(names, days, strict=True)]
+        files.append((stored, count_rows(spark.table(f"{bases['ingestion']}.trips")).first()[0]))
+    (first, before), (second, after) = files
+    written = sum(a.get(day) != digest for a, b in zip(first, second, strict=True) for day, digest in b.items())
+    lost = {"trip_distance", "passenger_count", "total_amount", "refused"} - {*spark.table(f"{bases['ingestion']}.trips").columns}
+    return report.withColumns(
+        {"days_written_again": F.lit(written), "trips_ingested_again": F.lit(after - before), "landed_columns_lost": F.lit(len(lost))}
+    )
+
+
 @query("name_counts", "SELECT c_mktsegment AS name, COUNT(*) AS player_count FROM customer GROUP BY 1")
 def name_counts(t):
     return rankings.name_counts(t("customer").select(F.col("c_mktsegment").alias("name")))

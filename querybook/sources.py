@@ -191,6 +191,14 @@ LANDED_FROM, LANDED_TO = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
 )
 def ingest_months_of_lines(t):
     """Lines landed by feed and month: one month as CSV, one not at all. Only yellow has a fare beside its total."""
+    trips = ingest_months(t.spark, land_lines(t), ["yellow", "green"], LANDED_FROM, LANDED_TO, layout=LANDED_AS)
+    return trips.withColumn("refused_cells", F.size("refused")).drop("refused", "extracted_at")
+
+
+LANDED_AS = "{type}/month={year:04d}-{month:02d}"
+
+
+def land_lines(t) -> str:
     root = workspace(t.spark, "landed")
     month = F.date_format("l_shipdate", "yyyy-MM")
     lines = t("lineitem").select(
@@ -217,9 +225,7 @@ def ingest_months_of_lines(t):
         write_parquet(parquet, f"{root}/{feed}", partition_by=["month"])
         text = trips.where("ym = '1996-03'").drop("ym")
         text.write.option("header", True).csv(f"{root}/{feed}/month=1996-03.csv")
-    layout = "{type}/month={year:04d}-{month:02d}"
-    trips = ingest_months(t.spark, root, ["yellow", "green"], LANDED_FROM, LANDED_TO, layout=layout)
-    return trips.withColumn("refused_cells", F.size("refused")).drop("refused", "extracted_at")
+    return root
 
 
 @query(
