@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,10 @@ from meterline.operators.filters import as_moment, half_open, in_half_open, last
 from meterline.operators.sets import unite
 from meterline.sinks.files import balanced
 from meterline.sinks.ledger import LEDGER, Built, day_digests, day_files, known, record
-from meterline.sinks.tables import append_rows, drop_table, fit_table, held, partition_columns, replace_table, table_options
+from meterline.sinks.tables import (
+    SLOT, append_rows, drop_table, fit_table, held, keyed_table, partition_columns, replace_table, slot_keys, table_options,
+    with_slot,
+)
 from meterline.sources.tables import quoted
 from meterline.spec import TableSpec
 
@@ -60,54 +64,87 @@ def without_keys(target: DataFrame, known: DataFrame, keys: Sequence[str]) -> Da
     return target.join(known, list(keys), "left_anti")
 
 
-def _replace_keys(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], follows: bool = False) -> DataFrame:
+def _replace_keys(
+    spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], follows: bool = False, once: bool = False
+) -> DataFrame:
     """Rows of the table whose key is not in the source, and all source rows.
 
     The source's keys are computed first and held: a small set is broadcast, and against a
     large one both join sides are plain shuffles, so that adaptive execution can split the
-    table's rows of one frequent key; an aggregate below the join would prevent that.
+    table's rows of one frequent key; an aggregate below the join would prevent that. `once`: each whole key may
+    occur once.
 
-    Of a table with one partition column only those partitions are rewritten that hold such a key or get a row.
-    If the column is a key, or follows from one, as `follows` says, these are the source's own; otherwise the keys
-    are looked up in the table. The list that comes to the driver has at most as many rows as the table partitions.
+    Of a partitioned table only those partitions are rewritten that hold such a key or get a row. If the partition
+    columns are keys, or follow from them, as `follows` says and as slots of a keyed table do, these are the source's own;
+    otherwise the keys are looked up in the table.
     """
     put_back(spark, name)
     target = spark.table(name)
-    columns = target.columns
-    partitions = partition_columns(spark, name)
-    with held(source.select(*keys).distinct(), "keys") as known:
-        if len(partitions) != 1:
+    columns, partitions = target.columns, partition_columns(spark, name)
+    if SLOT in partitions:
+        source, follows = with_slot(source, name), follows or set(slot_keys(spark, name)[0]) <= set(keys)
+    with held(source.groupBy(*keys).agg(F.count("*").alias("__n")), "keys") as counted:
+        if once and not counted.dropna(subset=list(keys)).where("__n > 1").isEmpty():
+            raise ValueError(f"merge into {name}: source has several rows for one key")
+        known = counted.drop("__n")
+        if not partitions:
             kept = without_keys(target, known, keys).select(*columns)
             _swap_in(spark, unite([kept, source.select(*columns)]), name)
             return spark.table(name)
-        part = partitions[0]
-        gets, holds = _values(source, part), []
-        if part not in keys and not follows:
-            holds = _values(target.join(known, list(keys), "left_semi"), part)
-        touched = target.where(_one_of(part, [*gets, *holds]))
-        overwrite_partitions(unite([without_keys(touched, known, keys).select(*columns), source.select(*columns)]), name)
-        # a partition that all rows have left was not written, so its old rows are still there
-        left = [value for value in holds if value not in gets]
-        if left:
-            stale = spark.table(name).where(_one_of(part, left)).join(known, list(keys), "left_semi")
-            for value in _values(stale, part):
-                _drop_partition(spark, name, part, value)
+        gets, holds = source.select(*partitions).distinct(), None
+        if not follows and not set(partitions) <= set(keys):
+            holds = target.join(known, list(keys), "left_semi").select(*partitions).distinct()
+        with _reach(gets if holds is None else gets.union(holds).distinct()) as reached:
+            kept = without_keys(reached(target), known, keys).select(*columns)
+            overwrite_partitions(unite([kept, source.select(*columns)]), name)
+            # a partition that all rows have left was not written, so its old rows are still there
+            if holds is not None:
+                again = reached(spark.table(name))
+                left = again.join(gets, _same(again, gets), "left_anti")
+                stale = left.join(known, list(keys), "left_semi").select(*partitions).distinct()
+                _drop_partitions(spark, name, partitions, stale)
     return spark.table(name)
 
 
-def _values(df: DataFrame, column: str) -> list:
-    return [row[0] for row in df.select(column).distinct().collect()]
+#: Partitions whose values are listed in a filter; more of them are joined with.
+LISTED = 2000
+
+
+def _name_of(partitions: Sequence[str]) -> Column:
+    """The values of a partition as one text, apart from any other's."""
+    return F.to_json(F.struct(*partitions), {"ignoreNullFields": "false"})
+
 
+def _same(table: DataFrame, partitions: DataFrame) -> Column:
+    return reduce(Column.__and__, (table[c].eqNullSafe(partitions[c]) for c in partitions.columns))
 
-def _one_of(column: str, values: Sequence) -> Column:
-    given = F.col(column).isin([v for v in values if v is not None])
-    return given | F.col(column).isNull() if None in values else given
 
+@contextmanager
+def _reach(touched: DataFrame) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A filter for the rows of a table's touched partitions; others are not listed or read, unless many are touched."""
+    columns = touched.columns
+    values = [tuple(row) for row in touched.limit(LISTED + 1).collect()]
+    if len(values) > LISTED:
+        with held(touched, "partitions") as many:
+            yield lambda table: table.join(many, _same(table, many), "left_semi")
+    elif len(columns) == 1:
+        given = F.col(columns[0]).isin([v for (v,) in values if v is not None])
+        yield lambda table: table.where(given | F.col(columns[0]).isNull() if (None,) in values else given)
+    else:
+        spark = touched.sparkSession
+        named = spark.createDataFrame(values, touched.schema).select(_name_of(columns))
+        names = [r[0] for r in named.collect()]
+        yield lambda table: table.where(_name_of(columns).isin(names))
 
-def _drop_partition(spark: SparkSession, name: str, column: str, value) -> None:
-    literal = "NULL" if value is None else ":value"
-    text = None if value is None else {"value": str(value)}
-    spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS PARTITION (`{column}` = {literal})", args=text)
+
+def _drop_partitions(spark: SparkSession, name: str, partitions: Sequence[str], stale: DataFrame) -> None:
+    """Drop partitions by their values, some hundreds in one statement."""
+    specs = []
+    for row in stale.collect():
+        values = ("NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" for v in row)
+        specs.append("PARTITION (" + ", ".join(f"`{c}` = {v}" for c, v in zip(partitions, values, strict=True)) + ")")
+    for a in range(0, len(specs), 500):
+        spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS {', '.join(specs[a : a + 500])}")
 
 
 def merge(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], follows: bool = False) -> DataFrame:
@@ -116,8 +153,7 @@ def merge(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]
     NULL matches nothing: such source rows are inserted. `follows`: the partition column is derived from a key.
     """
     with held(source, "merge") as rows:
-        refuse_repeats(rows, name, keys)
-        return _replace_keys(spark, name, rows, keys, follows)
+        return _replace_keys(spark, name, rows, keys, follows, once=True)
 
 
 def refuse_repeats(source: DataFrame, name: str, keys: Sequence[str]) -> None:
@@ -286,6 +322,8 @@ def materialise(
     if spec.strategy == "table" or not spark.catalog.tableExists(spec.name):
         if spec.strategy == "merge":
             refuse_repeats(df, spec.name, spec.primary_key)
+        if spec.slots and spec.strategy in ("merge", "delete_insert") and not days:
+            return keyed_table(df, spec.name, spec.primary_key, spec.slots)
         return replace_table(df, spec.name, days)
     if spec.strategy == "append":
         return append_rows(fit_table(df, spec.name) if spec.more else df, spec.name)

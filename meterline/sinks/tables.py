@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,9 +73,46 @@ def ctas_partitioned(
     return df.sparkSession.table(name)
 
 
+#: Partition column of keyed tables, and the table properties that say what it is made of.
+SLOT, SLOT_KEYS, SLOTS = "_slot", "meterline.slot_keys", "meterline.slots"
+
+
+def _slot(columns: Sequence[str], keys: Sequence[str], slots: int) -> Column:
+    """Slot of a row by its key. Rows without a whole key match nothing, so they are spread by all their columns."""
+    whole = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
+    hash_ = F.when(whole, F.xxhash64(*keys)).otherwise(F.xxhash64(*columns))
+    return F.pmod(hash_, F.lit(slots)).cast("int")
+
+
+def keyed_table(df: DataFrame, name: str, keys: Sequence[str], slots: int, **options) -> DataFrame:
+    """Build a table that upserts by the keys can reach into: partitioned by a hash of them, which is kept with the table.
+
+    An upsert reads and rewrites the slots that hold one of its keys. Choose their number so that one slot is a file or two.
+    """
+    keys = sorted(keys)
+    replace_table(df.withColumn(SLOT, _slot(df.columns, keys, slots)), name, [SLOT], **options)
+    kept = f"'{SLOT_KEYS}' = '{','.join(keys)}', '{SLOTS}' = '{slots}'"
+    df.sparkSession.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ({kept})")
+    return df.sparkSession.table(name)
+
+
+def slot_keys(spark: SparkSession, name: str) -> tuple[list[str], int] | None:
+    """Keys and number of the slots of a keyed table."""
+    told = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()}
+    return (told[SLOT_KEYS].split(","), int(told[SLOTS])) if SLOT_KEYS in told else None
+
+
+def with_slot(df: DataFrame, name: str) -> DataFrame:
+    """Add the slot, if the table is a keyed one."""
+    keyed = slot_keys(df.sparkSession, name)
+    columns = [c for c in df.columns if c != SLOT]
+    return df.withColumn(SLOT, _slot(columns, *keyed)) if keyed else df
+
+
 def append_rows(df: DataFrame, name: str) -> DataFrame:
     """Insert rows, matching columns by name, and touch nothing that is there."""
     spark = df.sparkSession
+    df = with_slot(df, name)
     rows, partitions = df.select(*spark.table(name).columns), partition_columns(spark, name)
     if partitions:
         rows = balanced(rows, *partitions)

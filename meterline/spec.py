@@ -55,6 +55,8 @@ class TableSpec:
     more: bool = False
     # whether a window built again writes only the days that differ
     only_changes: bool = False
+    # partitions by a hash of the primary key, through which upserts reach a table that is not kept by day
+    slots: int = 0
     query_checks: Sequence[QueryCheck] = field(default_factory=tuple)
 
     def __post_init__(self):

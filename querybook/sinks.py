@@ -190,14 +190,14 @@ def mat_append(t):
     """,
 )
 def mat_merge(t):
-    """Open orders get another price, and each pending order a new twin."""
+    """Open orders get another price, and each pending order a new twin, in a table kept by a hash of the key."""
     name, orders = new_table(t, "merged"), t("orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    tables.replace_table(orders, name)
+    tables.keyed_table(orders, name, ["o_orderkey"], slots=8)
     changed = orders.where("o_orderstatus = 'O'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     new = orders.where("o_orderstatus = 'P'").select(
         (-1 - F.col("o_orderkey")).alias("o_orderkey"), "o_totalprice", F.lit("N").alias("o_orderstatus")
     )
-    return strategies.merge(t.spark, name, changed.unionByName(new), ["o_orderkey"])
+    return strategies.merge(t.spark, name, changed.unionByName(new), ["o_orderkey"]).drop(tables.SLOT)
 
 
 @query(

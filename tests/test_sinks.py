@@ -11,7 +11,7 @@ from meterline.session import shared_root
 from meterline.sinks import loads
 from meterline.sinks import strategies as act
 from meterline.sinks.files import write_parquet
-from meterline.sinks.tables import append_rows, ctas_partitioned, load_table, replace_table, table_options
+from meterline.sinks.tables import append_rows, ctas_partitioned, keyed_table, load_table, replace_table, table_options
 from meterline.spec import Column, TableSpec
 from tests.conftest import rows
 
@@ -172,6 +172,52 @@ def test_declared_upsert_touches_only_its_days(spark, base, strategy):
     assert before == {f for f in spark.table(name).inputFiles() if "_day=2024-01-02" not in f}
 
 
+@pytest.mark.parametrize("strategy", [act.merge, act.delete_insert])
+def test_upsert_of_a_keyed_table_touches_only_its_slots(spark, base, strategy):
+    name = f"{base}.keyed"
+    keyed_table(frame(spark, [(k, "a") for k in range(200)] + [(None, f"n{k}") for k in range(40)]), name, ["k"], 16)
+    before = set(spark.table(name).inputFiles())
+    assert len(before) >= 16 and spark.table(name).where("k IS NULL").select("_slot").distinct().count() > 5
+    strategy(spark, name, frame(spark, [(7, "B"), (1000, "c"), (None, "N")]), ["k"])
+    expected = [(k, "B" if k == 7 else "a") for k in range(200)] + [(None, f"n{k}") for k in range(40)] + [(1000, "c"), (None, "N")]
+    assert rows(spark.table(name).drop("_slot")) == rows(frame(spark, expected))
+    assert len(before - set(spark.table(name).inputFiles())) <= 3
+    append_rows(frame(spark, [(3000, "d")]), name)
+    strategy(spark, name, frame(spark, [(3000, "D"), (5, "E")]), ["k"])
+    assert rows(spark.table(name).where("k IN (5, 3000)").select("v")) == [("D",), ("E",)]
+
+
+def test_upsert_of_a_keyed_table_by_another_key(spark, base):
+    name = f"{base}.keyed"
+    keyed_table(frame(spark, [(k, f"v{k % 50}") for k in range(100)]), name, ["k"], 8)
+    act.delete_insert(spark, name, frame(spark, [(500, "v3"), (501, "v3")]), ["v"])
+    got = spark.table(name)
+    assert got.count() == 100 and rows(got.where("v = 'v3'").select("k")) == [(500,), (501,)]
+
+
+@pytest.mark.parametrize("listed", [act.LISTED, 1])
+def test_upsert_of_a_table_with_two_partition_columns(spark, base, listed, monkeypatch):
+    monkeypatch.setattr(act, "LISTED", listed)
+    columns = "id int, v string, y int, m string"
+    data = [(1, "a", 2024, "o'x"), (2, "b", 2024, "2"), (3, "c", 2025, "1"), (4, "d", None, "2"), (5, "e", 2025, None)]
+    name = table(spark, base, data, columns, ["y", "m"])
+    before = {f for f in spark.table(name).inputFiles() if "y=2025/m=1" in f}
+    act.merge(spark, name, frame(spark, [(1, "A", 2024, "2"), (4, "D", 2024, "2"), (6, "f", None, "2")], columns), ["id"])
+    expected = [(1, "A", 2024, "2"), (2, "b", 2024, "2"), (3, "c", 2025, "1"), (4, "D", 2024, "2"), (5, "e", 2025, None), (6, "f", None, "2")]
+    assert rows(spark.table(name)) == rows(frame(spark, expected, columns))
+    assert before and before == {f for f in spark.table(name).inputFiles() if "y=2025/m=1" in f}
+    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    assert not any("o" in p.split("m=")[1] and "x" in p for p in parts)
+
+
+def test_declared_upsert_with_slots(spark, base):
+    spec = TableSpec(f"{base}.t", [Column("k", "int", primary_key=True), Column("v", "string")], "merge", slots=8)
+    act.materialise(spark, spec, frame(spark, [(k, "a") for k in range(50)]))
+    before = set(spark.table(spec.name).inputFiles())
+    got = act.materialise(spark, spec, frame(spark, [(3, "B"), (90, "C")]))
+    assert got.count() == 51 and len(before - set(got.inputFiles())) <= 2
+
+
 def test_merge_keeps_table_options(spark, base):
     name = f"{base}.limited"
     replace_table(frame(spark, [(k, "a") for k in range(9)]), name, maxRecordsPerFile=3)
