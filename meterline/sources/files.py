@@ -19,9 +19,24 @@ def read_csv_raw(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("header", True).csv(list(paths))
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
-    """Header row and declared types; a cell that does not fit is NULL. Compressed files are read as they are."""
-    return spark.read.schema(schema).option("header", True).option("mode", mode).csv(path)
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, mode: str = "PERMISSIVE", refused: str | None = None
+) -> DataFrame:
+    """Header row and declared types; a cell that does not fit is NULL. Compressed files are read as they are.
+
+    `refused` names one more column: the whole line, where a cell did not fit or their number is not that of the schema.
+    All cells are then read whatever columns are selected, so that a line's verdict does not depend on it.
+    """
+    reader = spark.read.option("header", True).option("mode", mode)
+    if refused is not None:
+        schema = T.StructType([*schema.fields, T.StructField(refused, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", refused)
+    lines = reader.schema(schema).csv(path)
+    if refused is None:
+        return lines
+    # Spark checks only the cells that are asked for, so all are asked for with the line
+    asked = F.left(F.concat_ws("", *(F.col(f"`{f.name}`").cast("string") for f in schema.fields[:-1])), F.lit(0))
+    return lines.withColumn(refused, F.concat(refused, asked))
 
 
 def infer_csv_schema(spark: SparkSession, path: str) -> T.StructType:

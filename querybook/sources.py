@@ -13,7 +13,7 @@ from meterline.session import scratch_database, workspace
 from meterline.sinks.files import write_parquet
 from meterline.sources import files
 from meterline.sources.landing import ingest_months, months_touched
-from meterline.sources.records import pages_until_empty, select_records
+from meterline.sources.records import REFUSED, good, pages_until_empty, refused, select_records, split_records, write_split
 from meterline.sources.seeds import PAYMENT_LOOKUP, load_seed
 from meterline.sources.tables import external_table
 from meterline.types import struct_of
@@ -251,19 +251,65 @@ def seed_lookup(t):
 RECORD = struct_of("k int")
 
 
+def event_pages(t):
+    """One page per event with two records under `docs`: its properties and its user.
+
+    Users of clicks are text that is no number, and pages of errors end too early.
+    """
+    user = F.when(F.col("event_type") == "click", F.concat(F.lit('"u'), "user_id", F.lit('"'))).otherwise(F.col("user_id").cast("string"))
+    whole = F.format_string('{"numFound": 2, "docs": [%s, {"k": %s}]}', "props", user)
+    body = F.when(F.col("event_type") == "error", F.expr("substr(whole, 1, length(whole) - 3)")).otherwise(F.col("whole"))
+    return t("events").withColumn("whole", whole).select(F.col("event_id").alias("page"), body.alias("body"))
+
+
 @query(
     "json_records",
     """
     SELECT event_id AS page, CAST(0 AS INTEGER) AS position, CAST(json_extract(props, '$.k') AS INTEGER) AS k
-    FROM events
-    UNION ALL SELECT event_id, 1, CAST(user_id AS INTEGER) FROM events
+    FROM events WHERE event_type <> 'error'
+    UNION ALL
+    SELECT event_id, 1, CAST(user_id AS INTEGER) FROM events WHERE event_type NOT IN ('error', 'click')
     """,
 )
 def json_records(t):
-    """One page per event with two records under `docs`: its properties and its user."""
-    body = F.format_string('{"numFound": 2, "docs": [%s, {"k": %d}]}', "props", "user_id")
-    pages = t("events").select(F.col("event_id").alias("page"), body.alias("body"))
-    return select_records(pages, "docs", RECORD)
+    """The good records of pages of which some are bad."""
+    return good(split_records(event_pages(t), "docs", RECORD))
+
+
+@query(
+    "json_refused",
+    """
+    SELECT event_type, CASE WHEN event_type = 'click' THEN 1 END AS position, COUNT(*) AS refused,
+           CAST(SUM(CASE WHEN event_type = 'click' THEN 9 + length(CAST(user_id AS VARCHAR))
+                         ELSE 33 + length(props) + length(CAST(user_id AS VARCHAR)) END) AS BIGINT) AS n_chars,
+           (SELECT COUNT(*) + COUNT(*) FILTER (event_type <> 'error') FROM events) AS rows_seen,
+           (SELECT COUNT(*) FILTER (event_type IN ('error', 'click')) FROM events) AS refused_seen
+    FROM events WHERE event_type IN ('error', 'click') GROUP BY 1, 2
+    """,
+)
+def json_refused(t):
+    """The refused records and pages of the same pages, with their text, written beside the good ones in one pass."""
+    root = workspace(t.spark, "split")
+    counts = write_split(split_records(event_pages(t), "docs", RECORD), root)
+    events = t("events").select(F.col("event_id").alias("page"), "event_type")
+    rows = t.spark.read.parquet(root).where("kind = 'refused'").join(events, "page")
+    told = rows.groupBy("event_type", "position").agg(F.count("*").alias("refused"), F.sum(F.length(REFUSED)).alias("n_chars"))
+    return told.withColumns({"rows_seen": F.lit(counts["rows"]), "refused_seen": F.lit(counts["refused"])})
+
+
+@query(
+    "csv_refused_lines",
+    """
+    SELECT o_orderkey, o_orderkey || ',' || strftime(o_orderdate, '%Y-%m-%d') || ',n/a' AS line
+    FROM orders WHERE o_orderstatus = 'F'
+    """,
+)
+def csv_refused_lines(t):
+    """Lines whose payment code is no number, as they stand in the file, with the cells that fit."""
+    code = F.when(F.col("o_orderstatus") == "F", "n/a").otherwise(F.substring("o_orderpriority", 1, 1))
+    path = csv_copy(t, t("orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), code.alias("payment")), "csv_bad", True)
+    lines = files.read_csv(t.spark, path, struct_of("o_orderkey bigint, day date, payment int"), refused=REFUSED)
+    return refused(lines).select("o_orderkey", F.col(REFUSED).alias("line"))
 
 
 @query(

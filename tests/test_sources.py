@@ -9,7 +9,7 @@ from meterline.operators.checks import ChecksFailed
 from meterline.sinks.files import jdbc_options, write_parquet
 from meterline.sources import files, schemas
 from meterline.sources.landing import TRIP_SCHEMA, ingest_months, month_spine, refused_cells
-from meterline.sources.records import pages_until_empty, select_records
+from meterline.sources.records import REFUSED, good, pages_until_empty, refused, select_records, split_records, write_split
 from meterline.sources.seeds import PAYMENT_LOOKUP, load_seed
 from meterline.types import struct_of
 from tests.conftest import plan_of, rows
@@ -267,6 +267,44 @@ def test_broken_page_fails(spark):
             read().collect()
 
 
+def test_good_and_refused_records_from_one_pass(spark, folder):
+    pages = spark.createDataFrame(
+        [
+            (1, '[{"id": 1, "name": "a"}, {"id": 2}]'), (2, '[{"id": "x", "name": "b"}, {"id": 1.50, "name": "c"}, {"id": 4}, null]'),
+            (3, '[{"id": 3'), (4, '{"id": 5}'), (5, None), (6, "[]"), (7, '[7, "{\\"id\\": 8}", {"id": 9, "more": {"q": [1]}}]'), (8, ""),
+            (9, '[null, {"id": 10}]'),
+        ],
+        "page int, body string",
+    )
+    got = split_records(pages, "$", RECORD)
+    assert got.columns == ["page", "position", "id", "name", REFUSED]
+    assert rows(good(got)) == rows(spark.createDataFrame(
+        [(1, 0, 1, "a"), (1, 1, 2, None), (2, 2, 4, None), (2, 3, None, None), (7, 1, 8, None), (7, 2, 9, None), (9, 0, None, None), (9, 1, 10, None)],
+        "a int, b int, c int, d string",
+    ))
+    bad = {(r.page, r.position): (r.name, r[REFUSED]) for r in refused(got).collect()}
+    assert bad == {
+        (2, 0): ("b", '{"id":"x","name":"b"}'), (2, 1): ("c", '{"id":1.5,"name":"c"}'), (3, None): (None, '[{"id": 3'),
+        (4, None): (None, '{"id": 5}'), (7, 0): (None, "7"), (8, None): (None, ""),
+    }
+    assert write_split(got, folder) == {"rows": 14, "refused": 6}
+    assert spark.read.parquet(folder).where("kind = 'refused'").count() == 6
+    wrapped = pages.select("page", F.concat(F.lit('{"n": 1, "docs": '), "body", F.lit("}")).alias("body"))
+    assert rows(good(split_records(wrapped, "docs", RECORD))) == rows(good(got))
+    assert split_records(pages.limit(0), "$", RECORD).isEmpty()
+    assert [r.page for r in pages_until_empty(pages, "$", tolerant=True).orderBy("page").collect()] == [1, 2, 3, 4]
+
+
+def test_refused_lines_of_csv(spark, folder):
+    path = put(folder, "t.csv", "id,x\n1,2.5\ntwo,3.5\n3\n4,5.5,6\n5,\n")
+    got = files.read_csv(spark, path, struct_of("id int, x double"), refused=REFUSED)
+    assert rows(good(got)) == [(1, 2.5), (5, None)]
+    assert rows(refused(got).select("id", REFUSED)) == rows(
+        spark.createDataFrame([(None, "two,3.5"), (3, "3"), (4, "4,5.5,6")], "id int, t string")
+    )
+    assert refused(got).select("x").count() == 3
+
+
 def test_pages_stop_at_the_first_empty_one(spark):
     bodies = {3: '[{"id": 3}]', 1: '[{"id": 1}]', 2: "[]", 4: None}
     pages = spark.createDataFrame(list(bodies.items()), "page int, body string")
