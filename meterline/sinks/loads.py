@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.operators.nested import LOAD_ID, normalise, schema_version
+from meterline.operators.nested import LOAD_ID, MARK, TABLE, FannedOut, fan_out, schema_version
 from meterline.operators.ordering import dedup
 from meterline.sinks.files import write_parquet
-from meterline.sinks.tables import held
 from meterline.sources.files import read_if_there
 
 LOADS, STATE = "_loads", "_state"
@@ -32,34 +33,79 @@ def replace_load(
     load_id: str,
     order: Sequence[str] | None = None,
     loaded_at: dt.datetime | None = None,
+    spread: bool = False,
 ) -> dict[str, DataFrame]:
-    """Normalise records, one per key, and replace the tables below the root with them.
+    """Normalise records, one per key, and put the tables in the place of those of the last load.
 
-    The records are computed once and every table is made from that copy, reading only its own
-    columns. The history row is written last, so a load without one did not finish.
+    One pass makes, writes and counts the rows of all tables, in a folder of the load's own. Its row in the history is
+    written last and names that folder: readers go by it, so they see one load or the other whole, and a load that
+    was lost halfway leaves the last one in place. The load before the last is kept for those still reading it.
     """
     spark = records.sparkSession
-    with held(dedup(records, keys, order), "records") as once:
-        schemas = {}
-        for name, frame in normalise(once, table, keys, load_id).items():
-            write_parquet(frame, f"{root}/{name}", "overwrite")
-            schemas[name] = frame.schema
-    record_load(spark, root, load_id, table, schema_version(records), loaded_at)
-    return {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in schemas.items()}
+    fanned = fan_out(dedup(records, keys, order), table, keys, load_id, spread)
+    folder = f"{root}/{table}/{load_id}-{uuid.uuid4().hex}"
+    seen = Observation(f"rows of {table}")
+    fanned.rows.observe(seen, *fanned.counts()).write.partitionBy(TABLE).parquet(folder)
+    earlier = _finished(spark, root, table)
+    record_load(spark, root, load_id, table, schema_version(records), loaded_at, len(earlier), folder, seen.get, fanned.rows.schema)
+    for load in earlier[:-1]:
+        _remove(spark, load["folder"])
+    return stored_tables(spark, root, table)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def record_load(
-    spark: SparkSession, root: str, load_id: str, table: str, version: str, loaded_at: dt.datetime | None = None
+    spark: SparkSession,
+    root: str,
+    load_id: str,
+    table: str,
+    version: str,
+    loaded_at: dt.datetime | None = None,
+    turn: int = 0,
+    folder: str | None = None,
+    row_counts: dict[str, int] | None = None,
+    stored: T.StructType | None = None,
 ) -> None:
     at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    columns = f"{LOAD_ID} string, table_name string, status int, schema_version string, loaded_at timestamp_ntz"
-    _append(root, LOADS, spark.createDataFrame([(load_id, table, LOADED, version, at)], columns))
+    columns = (
+        f"{LOAD_ID} string, table_name string, status int, schema_version string, loaded_at timestamp_ntz, "
+        "turn long, folder string, row_counts map<string, long>, stored string"
+    )
+    row = (load_id, table, LOADED, version, at, turn, folder, row_counts, stored.json() if stored else None)
+    _append(root, LOADS, spark.createDataFrame([row], columns))
 
 
 def load_history(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{LOADS}")
 
 
+def _finished(spark: SparkSession, root: str, table: str) -> list[Row]:
+    """The finished loads of a table, the last one last: one row for each load comes to the driver."""
+    history = read_if_there(spark, f"{root}/{LOADS}")
+    if history is None:
+        return []
+    return history.where((F.col("table_name") == table) & (F.col("status") == LOADED)).orderBy("turn").collect()
+
+
+def stored_tables(spark: SparkSession, root: str, table: str) -> dict[str, DataFrame]:
+    """The tables of the last finished load, all of that load."""
+    loads = _finished(spark, root, table)
+    if not loads:
+        raise FileNotFoundError(f"no finished load of {table} below {root}")
+    load = loads[-1]
+    rows = spark.read.schema(T.StructType.fromJson(json.loads(load["stored"]))).parquet(load["folder"])
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    flat = {
+        name: [f.name for f in kinds[name].fields if f.name != MARK] if name in kinds else [] for name in load["row_counts"]
+    }
+    fanned = FannedOut(rows, flat, table, load[LOAD_ID])
+    return {name: fanned.table(name) for name in sorted(flat, key=lambda name: (len(name), name))}
+
+
 def _state(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     return read_if_there(spark, f"{root}/{STATE}/{table}")
 

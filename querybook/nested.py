@@ -29,7 +29,18 @@ def with_lines(t):
 
 
 def doc_id(name: str = "books") -> str:
-    return f"""sha256('["{name}","' || doc_id || '"]')"""
+    return f"""md5('["{name}","' || doc_id || '"]')"""
+
+
+def child(parent: str, field: str) -> str:
+    """Id of element `i` in SQL, from the id of its parent as text."""
+    return f"md5(unhex({parent}) || encode('/{field}/' || i))"
+
+
+def with_text_ids(df):
+    """Ids as text, as both engines write them."""
+    ids = [c for c in ("_row_id", "_parent_id") if c in df.columns]
+    return df.withColumns({c: F.lower(F.hex(c)) for c in ids})
 
 
 @query(
@@ -46,7 +57,7 @@ def flatten_struct(t):
 
 LINES = f"""
   SELECT {doc_id()} AS _parent_id, CAST(i AS INTEGER) AS _position, lines[i + 1] AS line,
-         sha256({doc_id()} || '/editions__docs/' || i) AS _row_id
+         {child(doc_id(), "editions__docs")} AS _row_id
   FROM (SELECT doc_id, lines, unnest(range(len(lines))) AS i
         FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))
 """
@@ -54,16 +65,16 @@ LINES = f"""
 
 @query(
     "child_scalar_array",
-    """
-    SELECT sha256(parent || '/lines/' || i) AS _row_id, parent AS _parent_id, CAST(i AS INTEGER) AS _position,
+    f"""
+    SELECT {child("parent", "lines")} AS _row_id, parent AS _parent_id, CAST(i AS INTEGER) AS _position,
            'load-1' AS _load_id, lines[i + 1] AS value
-    FROM (SELECT sha256('["books","' || doc_id || '"]') AS parent, lines, unnest(range(len(lines))) AS i
+    FROM (SELECT {doc_id()} AS parent, lines, unnest(range(len(lines))) AS i
           FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))
     """,
 )
 def child_scalar_array(t):
     books = t("documents").select("doc_id", F.split("text", "\n").alias("lines"))
-    return nested.normalise(books, "books", ["doc_id"], LOAD)["books__lines"]
+    return with_text_ids(nested.normalise(books, "books", ["doc_id"], LOAD)["books__lines"])
 
 
 @query(
@@ -75,20 +86,21 @@ def child_scalar_array(t):
     """,
 )
 def child_struct_array(t):
-    return nested.normalise(with_lines(t), "books", ["doc_id"], LOAD)["books__editions__docs"]
+    return with_text_ids(nested.normalise(with_lines(t), "books", ["doc_id"], LOAD)["books__editions__docs"])
 
 
 @query(
     "child_nested_levels",
     f"""
-    SELECT sha256(_row_id || '/words/' || i) AS _row_id, _row_id AS _parent_id, CAST(i AS INTEGER) AS _position,
+    SELECT {child("_row_id", "words")} AS _row_id, _row_id AS _parent_id, CAST(i AS INTEGER) AS _position,
            'load-1' AS _load_id, words[i + 1] AS value
     FROM (SELECT _row_id, words, unnest(range(len(words))) AS i
           FROM (SELECT _row_id, string_split(line, ' ') AS words FROM ({LINES})))
     """,
 )
 def child_nested_levels(t):
-    return nested.normalise(with_lines(t), "books", ["doc_id"], LOAD)["books__editions__docs__words"]
+    words = nested.normalise(with_lines(t), "books", ["doc_id"], LOAD, spread=True)["books__editions__docs__words"]
+    return with_text_ids(words)
 
 
 @query(
@@ -102,8 +114,8 @@ def child_nested_levels(t):
     """,
 )
 def table_metrics(t):
-    tables = nested.normalise(with_lines(t), "books", ["doc_id"], LOAD)
-    return nested.table_metrics({**tables, "_loads": t("labels")})
+    """Rows of all tables, counted in one pass over the documents."""
+    return nested.table_metrics(nested.fan_out(with_lines(t), "books", ["doc_id"], LOAD, spread=True))
 
 
 @query(
@@ -131,9 +143,9 @@ def load_history(t):
 @query(
     "normalise_reload",
     """
-    SELECT sha256('["lines",' || coalesce('"' || l_orderkey || '"', 'null') || ','
+    SELECT md5('["lines",' || coalesce('"' || l_orderkey || '"', 'null') || ','
                   || coalesce('"' || l_linenumber || '"', 'null') || ']') AS _parent_id,
-           position AS _position, flag AS value, 'load-2' AS _load_id
+           position AS _position, flag AS value, 'load-2' AS _load_id, 2 AS tables_stored
     FROM (
       SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                                    ORDER BY l_shipdate NULLS FIRST, l_extendedprice NULLS FIRST,
@@ -144,15 +156,19 @@ def load_history(t):
     """,
 )
 def normalise_reload(t):
-    """Lines with their two flags as a list, one per key, loaded twice: the second load replaces the first."""
+    """Lines with their two flags as a list, one per key, loaded twice: the second load replaces the first.
+
+    The first load has a list of days beside; its table goes with it.
+    """
     root = workspace(t.spark, "reload")
     lines = t("lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice",
         F.array("l_returnflag", "l_linestatus").alias("flags"),
     )
-    for load in ("load-1", "load-2"):
-        stored = loads.replace_load(lines, root, "lines", ["l_orderkey", "l_linenumber"], load)
-    return stored["lines__flags"].select("_parent_id", "_position", "value", "_load_id")
+    loads.replace_load(lines.withColumn("days", F.array(F.to_date("l_shipdate"))), root, "lines", ["l_orderkey", "l_linenumber"], "load-1")
+    stored = loads.replace_load(lines, root, "lines", ["l_orderkey", "l_linenumber"], "load-2")
+    flags = with_text_ids(stored["lines__flags"]).select("_parent_id", "_position", "value", "_load_id")
+    return flags.withColumn("tables_stored", F.lit(len(stored)))
 
 
 @query(

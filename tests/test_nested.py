@@ -106,6 +106,38 @@ def test_metrics_leave_bookkeeping_out(tables, books):
                    "books__grid": 3, "books__grid__list": 3}
 
 
+@pytest.mark.parametrize("spread", [False, True])
+def test_fanned_out_rows_are_those_of_each_table(books, tables, spread):
+    fanned = nested.fan_out(books, "books", ["key"], "l1", spread)
+    assert set(fanned.flat) == set(tables)
+    for name, frame in tables.items():
+        got = fanned.table(name)
+        assert got.columns == frame.columns and rows(got) == rows(frame), name
+    assert rows(nested.table_metrics(fanned)) == rows(nested.table_metrics(tables))
+
+
+def test_records_are_scanned_once_for_all_tables(spark, books, folder):
+    books.write.parquet(folder)
+    plan = plan_of(nested.fan_out(spark.read.parquet(folder), "books", ["key"], "l1").rows)
+    assert plan.count("Location:") == 1 and "Exchange" not in plan
+
+
+def test_fanning_out_odd_records(spark):
+    df = spark.sql(
+        "SELECT 1 AS k, array(named_struct('a', 1, 'b', array('x')), NULL) AS items, array(array(array(1, 2)), NULL) AS deep, "
+        "array(named_struct('only', array(7))) AS bare UNION ALL SELECT 2, NULL, array(), NULL"
+    )
+    tables, fanned = nested.normalise(df, "t", ["k"], "l1"), nested.fan_out(df, "t", ["k"], "l1")
+    assert set(fanned.flat) == set(tables) and {"t__deep__list__list", "t__bare__only"} <= set(tables)
+    for name, frame in tables.items():
+        assert rows(fanned.table(name)) == rows(frame), name
+    alone = nested.fan_out(spark.range(3), "r", ["id"], "l1")
+    assert rows(alone.table("r").select("id")) == [(0,), (1,), (2,)]
+    clash = spark.sql("SELECT 1 AS k, array(1) AS a__b, array(named_struct('b', array(2))) AS a")
+    with pytest.raises(ValueError, match="t__a__b"):
+        nested.fan_out(clash, "t", ["k"], "l1")
+
+
 def test_reload_replaces_and_history_grows(spark, books, folder):
     at = dt.datetime(2024, 1, 1)
     twice = books.unionByName(books)
@@ -114,7 +146,32 @@ def test_reload_replaces_and_history_grows(spark, books, folder):
     assert stored["books"].count() == 3 and stored["books__author"].count() == 2
     history = loads.load_history(spark, folder)
     version = nested.schema_version(books)
-    assert rows(history) == [("l1", "books", 0, version, at), ("l2", "books", 0, version, at)]
+    told = history.select("_load_id", "table_name", "status", "schema_version", "loaded_at", "turn")
+    assert rows(told) == [("l1", "books", 0, version, at, 0), ("l2", "books", 0, version, at, 1)]
+    counts = {r["_load_id"]: r["row_counts"] for r in history.collect()}
+    assert counts["l1"]["books"] == 4 and counts["l2"] == {name: frame.count() for name, frame in stored.items()}
+
+
+def test_a_load_is_switched_as_a_whole(spark, books, folder):
+    """Lists that go away take their tables with them, a lost load leaves the last one, a run again takes its place."""
+    first = loads.replace_load(books, folder, "books", ["key"], "l1")
+    reading = first["books__author"]
+    slim = loads.replace_load(books.drop("author").where("key = 'b1'"), folder, "books", ["key"], "l2")
+    assert set(first) - set(slim) == {"books__author"} and reading.count() == 3
+    broken = books.withColumn("title", F.when(F.col("key") == "b3", F.raise_error(F.lit("lost"))).otherwise(F.col("title")))
+    with pytest.raises(Exception, match="lost"):
+        loads.replace_load(broken, folder, "books", ["key"], "l3")
+    stored = loads.stored_tables(spark, folder, "books")
+    assert {r[0] for frame in stored.values() for r in frame.select("_load_id").distinct().collect()} == {"l2"}
+    assert set(stored) == set(slim) and rows(stored["books"].select("key")) == [("b1",)]
+    again = loads.replace_load(books, folder, "books", ["key"], "l2")
+    assert again["books"].count() == 4 and again["books__author"].columns == reading.columns
+    with pytest.raises(Exception, match="(?s)FILE_NOT_EXIST|does not exist"):
+        reading.count()
+    empty = loads.replace_load(books.limit(0), folder, "books", ["key"], "l5")
+    assert set(empty) == set(again) and all(frame.isEmpty() for frame in empty.values())
+    with pytest.raises(FileNotFoundError):
+        loads.stored_tables(spark, folder, "other")
 
 
 def test_increments_add_each_row_once(spark, folder):
