@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.functions.clock import hour_start, month_start
-from meterline.operators.aggregates import group_measures
+from meterline.functions.clock import day_of, hour_start, month_start
+from meterline.operators.aggregates import group_measures, merge_measures, partial_measures
 from meterline.operators.filters import half_open
 from meterline.operators.joins import lookup, outer_on
 from meterline.operators.sets import unite
 from meterline.operators.shape import common_columns, rename, with_tag
+from meterline.sinks.strategies import MONTH, time_interval
 
 # Column names of the two services and of the monthly report.
 GREEN_NAMES = {"lpep_pickup_datetime": "pickup_datetime", "lpep_dropoff_datetime": "dropoff_datetime"}
@@ -52,6 +53,25 @@ def monthly_revenue(green: DataFrame, yellow: DataFrame, scale: int | None = Non
     return group_measures(union_services(green, yellow), keys, MONTHLY_SUMS, MONTHLY_AVERAGES, scale=scale)
 
 
+def revenue_parts(green: DataFrame, yellow: DataFrame, window: tuple, scale: int | None = None) -> DataFrame:
+    """States of the monthly report by pickup zone, service and day, for the days of a window."""
+    trips = half_open(union_services(green, yellow), "pickup_datetime", *window)
+    keys = [day_of(F.col("pickup_datetime")).alias("day"), F.col("PULocationID").alias("revenue_zone"), "service_type"]
+    return partial_measures(trips, keys, [*MONTHLY_SUMS.values(), *MONTHLY_AVERAGES.values()], scale)
+
+
+def keep_revenue(
+    spark: SparkSession, name: str, green: DataFrame, yellow: DataFrame, window: tuple, scale: int | None = None
+) -> DataFrame:
+    """Bring the kept states of a window's days up to date, and give the monthly report over all days kept.
+
+    Only the window's trips are read, and only its months' states written: late trips cost their own days.
+    """
+    parts = time_interval(spark, name, revenue_parts(green, yellow, window, scale), "day", *window, "date", by="month")
+    keys = ["revenue_zone", F.col(MONTH).cast("timestamp_ntz").alias("revenue_month"), "service_type"]
+    return merge_measures(parts, keys, MONTHLY_SUMS, MONTHLY_AVERAGES, scale)
+
+
 def hourly_revenue(trips: DataFrame, pickup: str, since=None, scale: int | None = None) -> DataFrame:
     """Revenue and trips by pickup hour and zone, from `since` on."""
     keys = [hour_start(F.col(pickup)).alias("hour_ts"), F.col("PULocationID").alias("zone")]

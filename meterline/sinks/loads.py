@@ -7,7 +7,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, GroupedData, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from meterline.operators.ordering import dedup
 from meterline.sinks.files import write_parquet
 from meterline.sources.files import read_if_there
 
-LOADS, STATE = "_loads", "_state"
+LOADS, STATE, EDGES = "_loads", "_state", "_edges"
 LOADED = 0
 
 
@@ -116,10 +116,26 @@ def _increments(source: DataFrame, root: str, table: str) -> DataFrame:
     return source.sparkSession.read.schema(loads).parquet(f"{root}/{table}")
 
 
+def _edge_rows(rows: DataFrame) -> GroupedData:
+    """Groups of equal rows, by a hash of 16 bytes that tells NULLs apart."""
+    cells = [x for c in rows.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    digest = F.struct(*(F.xxhash64(F.lit(seed), *cells).alias(f"h{seed}") for seed in (0, 1)))
+    return rows.groupBy(digest.alias("digest"))
+
+
+def _not_kept(tied: DataFrame, edge: DataFrame) -> DataFrame:
+    """The tied rows beyond those that the edge has, as often as they are more."""
+    cells = F.struct(*(F.col(f"`{c}`") for c in tied.columns))
+    counted = _edge_rows(tied).agg(F.first(cells).alias("row"), F.count("*").alias("now"))
+    more = counted.join(edge, "digest", "left").withColumn("more", F.col("now") - F.coalesce("n", F.lit(0)))
+    return more.where("more > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("more")))).select("row.*")
+
+
 def load_increment(source: DataFrame, root: str, table: str, cursor: str, load_id: str) -> DataFrame:
     """Append the source rows from the last cursor value on that are not kept yet, and keep the new value.
 
-    Rows of the last value itself are compared with those kept, whole rows and how often they occur.
+    The state also keeps digests of the rows at the last value and how often each occurs. Rows that tie with it are compared
+    with those, so no kept load is read again.
 
     One row of state comes to the driver; its cursor goes into the filter and so reaches the
     scan. A row without a cursor value would be in no load, so it fails the load. Every load has
@@ -129,23 +145,35 @@ def load_increment(source: DataFrame, root: str, table: str, cursor: str, load_i
     spark = source.sparkSession
     state = _state(spark, root, table)
     kind = source.schema[cursor].dataType
-    fresh = source
+    fresh, last, edge = source, None, None
     if state is not None:
-        done = state.agg(F.max("cursor").alias("cursor"), F.count_if(F.col(LOAD_ID) == load_id).alias("n")).first()
+        done = state.agg(
+            F.max("cursor").alias("cursor"), F.count_if(F.col(LOAD_ID) == load_id).alias("n"), F.max_by("edge", "turn").alias("edge")
+        ).first()
         if done["n"]:
             return _increments(source, root, table)
         if done["cursor"] is not None:
-            last = F.lit(str(done["cursor"])).cast(kind)
-            kept = _increments(source, root, table).where(F.col(cursor) == last).select(*source.columns)
-            tied = source.where(F.col(cursor) == last).exceptAll(kept)
+            last, edge = F.lit(str(done["cursor"])).cast(kind), spark.read.parquet(done["edge"])
+            tied = _not_kept(source.where(F.col(cursor) == last), edge)
             fresh = source.where((F.col(cursor) > last) | F.col(cursor).isNull()).union(tied)
     unknown = F.raise_error(F.lit(f"row without {cursor}")).cast(kind)
     fresh = fresh.withColumn(cursor, F.when(F.col(cursor).isNotNull(), F.col(cursor)).otherwise(unknown))
     folder = f"{root}/{table}/{LOAD_ID}={load_id}"
     write_parquet(fresh, folder, "overwrite")
-    newest = spark.read.schema(fresh.schema).parquet(folder).agg(F.max(cursor).alias("cursor"))
-    turn = F.lit(0 if state is None else state.count()).cast("long").alias("turn")
-    _append(root, f"{STATE}/{table}", newest.select(F.lit(load_id).alias(LOAD_ID), "cursor", turn))
+    stored = spark.read.schema(fresh.schema).parquet(folder)
+    newest = stored.agg(F.max(cursor)).first()[0]
+    at_newest = F.lit(False) if newest is None else F.col(cursor) == F.lit(str(newest)).cast(kind)
+    new_edge = _edge_rows(stored.where(at_newest)).agg(F.count("*").alias("n"))
+    if edge is not None and (newest is None or newest == done["cursor"]):
+        new_edge = new_edge.union(edge).groupBy("digest").agg(F.sum("n").alias("n"))
+    edge_folder = f"{root}/{EDGES}/{table}/{uuid.uuid4().hex}"
+    write_parquet(new_edge, edge_folder)
+    columns = T.StructType([
+        T.StructField(LOAD_ID, T.StringType()), T.StructField("cursor", kind), T.StructField("turn", T.LongType()),
+        T.StructField("edge", T.StringType()),
+    ])
+    turn = 0 if state is None else state.count()
+    _append(root, f"{STATE}/{table}", spark.createDataFrame([(load_id, newest, turn, edge_folder)], columns))
     return _increments(source, root, table)
 
 

@@ -11,7 +11,7 @@ from threading import RLock
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.functions.clock import day_of
+from meterline.functions.clock import day_of, month_start
 from meterline.operators.filters import as_moment, half_open, in_half_open, last_day_below
 from meterline.operators.sets import unite
 from meterline.sinks.files import balanced
@@ -23,17 +23,28 @@ from meterline.sinks.tables import (
 from meterline.sources.tables import quoted
 from meterline.spec import TableSpec
 
-DAY = "_day"
+DAY, MONTH = "_day", "_month"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 _mode = RLock()
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
-    """Store nothing; the view follows its sources for the life of the session."""
+    """Store nothing; the view follows its sources for the life of the session, so its name has no database."""
+    if "." in name:
+        raise ValueError(f"{name}: a view of a database is made from a query, by as_catalog_view")
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 
 
+def as_catalog_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """Store a query over stored tables and views in the catalog, for every session that shares it.
+
+    A query over session views is refused by Spark, as they would be gone.
+    """
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} AS {query}")
+    return spark.table(name)
+
+
 def _swap_in(spark: SparkSession, new: DataFrame, name: str) -> DataFrame:
     """Put a new version in a table's place.
 
@@ -208,13 +219,15 @@ def time_interval(
     hi: dt.datetime | dt.date | str,
     granularity: str = "timestamp",
     only_changes: bool = False,
+    by: str = "day",
 ) -> DataFrame:
     """Replace the rows with `lo <= key < hi` by the source's rows, which must lie in that window.
 
     The table is stored in day partitions: of `_day`, derived from the key, or of the key
     itself for `date` granularity, where a window off midnight is refused. Only the days the
     window touches are read and written; a day left without rows is dropped. Rows with a NULL
-    key are in no window and stay.
+    key are in no window and stay. A small table may be kept `by` month instead, in partitions of `_month`, the month's first
+    day; what is said of days then holds for months.
 
     With `only_changes` the table has a ledger of its days, and of a window built again only the days whose
     content differs are written. It costs a pass over the new rows, and a second one if some differ.
@@ -223,12 +236,18 @@ def time_interval(
     if granularity == "date":
         if lo.time() != dt.time() or hi.time() != dt.time():
             raise ValueError("a date window has to start and end at midnight")
-        day, new = key, _only_in_window(source, key, lo, hi)
+    new = _only_in_window(source, key, lo, hi)
+    if by == "month":
+        day, new = MONTH, new.withColumn(MONTH, day_of(month_start(F.col(key))))
+    elif granularity == "date":
+        day = key
     else:
-        day, new = DAY, _only_in_window(source, key, lo, hi).withColumn(DAY, day_of(F.col(key)))
+        day, new = DAY, new.withColumn(DAY, day_of(F.col(key)))
     if hi <= lo:
         return spark.table(name) if spark.catalog.tableExists(name) else replace_table(new.limit(0), name, [day])
     first, last = lo.date(), last_day_below(hi)
+    if by == "month":
+        first, last = first.replace(day=1), last.replace(day=1)
     if not spark.catalog.tableExists(name):
         replace_table(new, name, [day])
         if only_changes:
@@ -241,7 +260,7 @@ def time_interval(
     before = day_files(spark, name, day, first, last)
     content = new.select(*table.columns)
     edge_days = sorted({first, last} & before.keys())
-    if granularity == "timestamp" and edge_days:
+    if day != key and edge_days:
         survivors = table.where(F.col(day).isin(edge_days) & ~in_half_open(table, key, lo, hi))
         content = unite([survivors, content])
     if only_changes:
@@ -294,13 +313,18 @@ def window_rows(table: DataFrame, key: str, lo, hi) -> DataFrame:
 
 
 def materialise(
-    spark: SparkSession, spec: TableSpec, df: DataFrame, window: tuple | None = None, full_refresh: bool = False
+    spark: SparkSession, spec: TableSpec, df: DataFrame | None = None, window: tuple | None = None, full_refresh: bool = False
 ) -> DataFrame:
-    """Build a declared table by its strategy. `full_refresh` drops what is stored first.
+    """Build a declared table by its strategy. `full_refresh` drops what is stored first. A view with a query needs no frame.
 
     A table with an incremental key is stored in day partitions of it, whatever the strategy,
     so that the next step reads only the days of its window.
     """
+    if spec.query is not None:
+        listed = ", ".join(f"CAST(`{c.name}` AS {c.type}) AS `{c.name}`" for c in spec.columns)
+        return as_catalog_view(spark, spec.name, f"SELECT {listed} FROM ({spec.query})")
+    if df is None:
+        raise ValueError(f"{spec.name} needs a frame")
     declared = [F.col(c.name).cast(c.type).alias(c.name) for c in spec.columns]
     names = {c.name.lower() for c in spec.columns}
     df = df.select(*declared, *([c for c in df.columns if c.lower() not in names] if spec.more else []))

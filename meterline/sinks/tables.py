@@ -73,6 +73,58 @@ def ctas_partitioned(
     return df.sparkSession.table(name)
 
 
+#: Values per column that ranges are made from, and bits of a range's number.
+SAMPLE, BITS = 20_000, 5
+
+
+def _borders(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
+    """Up to 2^BITS - 1 values of each column that part it evenly, from a sample of about SAMPLE rows."""
+    rows = df.count()
+    picked = df.select(*columns).sample(min(1.0, SAMPLE / max(rows, 1)), seed=0).limit(2 * SAMPLE)
+    parts, found = 1 << BITS, {}
+    sample = picked.collect()
+    for place, column in enumerate(columns):
+        values = sorted(row[place] for row in sample if row[place] is not None)
+        found[column] = sorted({values[len(values) * k // parts] for k in range(1, parts)}) if values else []
+    return found
+
+
+def _range_number(column: Column, borders: Sequence) -> Column:
+    """How many borders a value reaches, by halving; NULL reaches none."""
+    if not borders:
+        return F.lit(0)
+    middle = len(borders) // 2
+    above = _range_number(column, borders[middle + 1 :]) + (middle + 1)
+    return F.when(column >= F.lit(borders[middle]), above).otherwise(_range_number(column, borders[:middle]))
+
+
+def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A number that orders rows by all columns alike: the bits of the columns' ranges in turn, the highest first."""
+    borders = _borders(df, columns)
+    numbers = [_range_number(F.col(c), borders[c]) for c in columns]
+    bits = [
+        F.shiftleft(F.shiftright(number, bit).bitwiseAND(1), bit * len(columns) + len(columns) - 1 - k)
+        for bit in range(BITS)
+        for k, number in enumerate(numbers)
+    ]
+    return reduce(Column.bitwiseOR, (bit.cast("long") for bit in bits))
+
+
+def ctas_interleaved(
+    df: DataFrame, name: str, time_column: str, cluster_by: Sequence[str], day_column: str = "day"
+) -> DataFrame:
+    """Copy to a table in day partitions whose files are each a small range of every cluster column.
+
+    Sorting by one column after the other lets a reader skip files by the first only. Here a filter on any of the columns
+    skips files and row groups. A day that holds most of the rows is parted into many files, rows of one place by a hash.
+    """
+    dated = df.withColumn(day_column, day_of(F.col(time_column)))
+    placed = dated.withColumns({"__place": interleaved(df, cluster_by), "__hash": F.xxhash64(*df.columns)})
+    ranged = placed.repartitionByRange(day_column, "__place", "__hash").sortWithinPartitions(day_column, "__place")
+    ranged.drop("__place", "__hash").write.mode("overwrite").format("parquet").partitionBy(day_column).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 #: Partition column of keyed tables, and the table properties that say what it is made of.
 SLOT, SLOT_KEYS, SLOTS = "_slot", "meterline.slot_keys", "meterline.slots"
 

@@ -57,6 +57,8 @@ class TableSpec:
     only_changes: bool = False
     # partitions by a hash of the primary key, through which upserts reach a table that is not kept by day
     slots: int = 0
+    # what a view is declared by, over stored tables; without it a view lasts for the session
+    query: str | None = None
     query_checks: Sequence[QueryCheck] = field(default_factory=tuple)
 
     def __post_init__(self):
@@ -66,6 +68,8 @@ class TableSpec:
             raise ValueError(f"unknown granularity {self.granularity!r}")
         if self.strategy == "time_interval" and self.incremental_key is None:
             raise ValueError("time_interval needs an incremental_key")
+        if self.query is not None and self.strategy != "view":
+            raise ValueError("only a view is declared by a query")
         if self.only_changes and self.strategy != "time_interval":
             raise ValueError("only time_interval can write changes only")
         if self.more and self.strategy not in ("view", "table", "append"):

@@ -38,9 +38,7 @@ TRIPS = """
 """
 
 
-@query(
-    "monthly_revenue",
-    f"""
+MONTHLY = f"""
     SELECT zone AS revenue_zone, CAST(date_trunc('month', pickup_datetime) AS TIMESTAMP) AS revenue_month,
            service_type,
            {money('fare')} AS revenue_monthly_fare,
@@ -54,12 +52,24 @@ TRIPS = """
            {mean('passengers')} AS avg_monthly_passenger_count,
            {mean('distance')} AS avg_monthly_trip_distance
     FROM ({TRIPS}) GROUP BY 1, 2, 3
-    """,
-)
+"""
+
+
+@query("monthly_revenue", MONTHLY)
 def monthly_revenue(t):
     return revenue.monthly_revenue(green(t), yellow(t), CENTS)
 
 
+@query("monthly_revenue_kept", f"SELECT * FROM ({MONTHLY}) WHERE revenue_month IS NOT NULL")
+def monthly_revenue_kept(t):
+    """The same report from states kept by day: a first build, days after it with wrong fares, and those days again."""
+    green_trips, yellow_trips, name = green(t), yellow(t), f"{scratch_database(t.spark, 'kept')}.parts"
+    wrong = yellow_trips.withColumn("fare_amount", F.col("fare_amount") + 1)
+    revenue.keep_revenue(t.spark, name, green_trips, yellow_trips, ("1990-01-01", "1997-03-15"), CENTS)
+    revenue.keep_revenue(t.spark, name, green_trips, wrong, ("1997-03-15", "1999-06-10"), CENTS)
+    return revenue.keep_revenue(t.spark, name, green_trips, yellow_trips, ("1997-03-15", "2010-01-01"), CENTS)
+
+
 def hourly_sql(event_type: str) -> str:
     return f"""
     SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_ts, CAST(user_id % 7 AS INTEGER) AS zone,

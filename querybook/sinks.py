@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meterline.operators.aggregates import group_measures
 from meterline.operators.filters import closed_range, half_open
 from meterline.operators.ordering import dedup
+from meterline.operators.sets import unite
 from meterline.plans.rankings import name_counts
 from meterline.session import scratch_database, workspace
 from meterline.sinks import files, strategies, tables
@@ -151,6 +152,24 @@ def distinct_vendor_pruned(t):
     return stored.select("event_type").distinct()
 
 
+@query(
+    "interleaved_table_lookup",
+    """
+    SELECT 'one user' AS wanted, event_type, COUNT(*) AS events FROM events WHERE user_id = 7 GROUP BY 2
+    UNION ALL SELECT 'one type', event_type, COUNT(*) FROM events WHERE event_type = 'purchase' GROUP BY 2
+    """,
+)
+def interleaved_table_lookup(t):
+    """Events in day partitions, clustered by type and user alike, looked up by either."""
+    stored = tables.ctas_interleaved(t("events"), new_table(t, "interleaved"), "ts", ["event_type", "user_id"])
+    picks = {"one user": F.col("user_id") == 7, "one type": F.col("event_type") == "purchase"}
+    found = [
+        stored.where(wanted).groupBy("event_type").agg(F.count("*").alias("events")).select(F.lit(name).alias("wanted"), "event_type", "events")
+        for name, wanted in picks.items()
+    ]
+    return unite(found)
+
+
 SEGMENTS = "SELECT c_mktsegment AS name, COUNT(*) AS player_count FROM customer GROUP BY 1"
 
 
@@ -160,7 +179,13 @@ def segments(t):
 
 @query("mat_view", SEGMENTS)
 def mat_view(t):
-    return strategies.as_view(segments(t), "segment_counts")
+    """A view in a database, over a stored table that is built after it once more."""
+    base = scratch_database(t.spark, "views")
+    tables.replace_table(t("customer").limit(0), f"{base}.customers")
+    query = f"SELECT c_mktsegment AS name, COUNT(*) AS player_count FROM {base}.customers GROUP BY c_mktsegment"
+    view = strategies.as_catalog_view(t.spark, f"{base}.segment_counts", query)
+    tables.replace_table(t("customer"), f"{base}.customers")
+    return t.spark.table(f"{base}.segment_counts").select(*view.columns)
 
 
 @query("mat_table", SEGMENTS)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.operators import filters, joins, ordering, sets, shape
-from meterline.operators.aggregates import group_measures
+from meterline.operators.aggregates import group_measures, merge_measures, partial_measures
 from meterline.plans.revenue import outer_join_hourly, revenue_by_zone
 from meterline.plans.rankings import least_busy_zones, top_zone_by_total
 from meterline.types import struct_of
@@ -140,3 +140,15 @@ def test_plain_measures(spark):
     df = spark.createDataFrame([(1, 0.1), (1, 0.25), (2, None)], "k int, x double")
     got = group_measures(df, ["k"], {"s": "x"}, {"a": "x"}, {"m": "x"}, "n")
     assert rows(got) == [(1, 0.35, 0.175, 0.25, 2), (2, None, None, None, 1)]
+
+
+def test_merged_states_are_the_measures_of_all_rows(spark):
+    df = spark.createDataFrame([(1, 1, 0.1, None), (1, 2, 0.2, 3), (2, 1, None, None), (1, 1, 0.3, 4)], "k int, day int, x double, n int")
+    parts = partial_measures(df, ["k", "day"], ["x", "n"], scale=1)
+    got = merge_measures(parts, ["k"], {"total": "x"}, {"mean": "n", "mean_x": "x"}, scale=1)
+    want = group_measures(df, ["k"], {"total": "x"}, {"mean": "n", "mean_x": "x"}, scale=1)
+    assert rows(got) == rows(want) == [(1, 0.6, 3.5, 0.6 / 3), (2, None, None, None)]
+    plain = merge_measures(partial_measures(df, ["k", "day"], ["n"]), ["k"], {"total": "n"}, {"mean": "n"})
+    assert rows(plain) == [(1, 7, 3.5), (2, None, None)]
+    with pytest.raises(Exception, match="more than 0 decimals"):
+        partial_measures(df, ["k"], ["x"], scale=0).collect()

@@ -11,7 +11,7 @@ from meterline.session import shared_root
 from meterline.sinks import loads
 from meterline.sinks import strategies as act
 from meterline.sinks.files import write_parquet
-from meterline.sinks.tables import append_rows, ctas_partitioned, keyed_table, load_table, replace_table, table_options
+from meterline.sinks.tables import append_rows, ctas_interleaved, ctas_partitioned, keyed_table, load_table, replace_table, table_options
 from meterline.spec import Column, TableSpec
 from tests.conftest import rows
 
@@ -328,3 +328,80 @@ def test_declared_strategies(spark, base, strategy, second):
     assert rows(spark.table(name)) == second
     act.materialise(spark, spec, frame(spark, [(9, "z")]), full_refresh=True)
     assert rows(spark.table(name)) == [(9, "z")]
+
+
+@pytest.mark.parametrize("column,wanted", [("a", "a = 17"), ("b", "b = 'b050'")])
+def test_interleaved_files_are_skipped_by_either_column(spark, base, column, wanted):
+    events = spark.range(40_000).selectExpr(
+        "TIMESTAMP_NTZ '2024-01-05 01:00:00' AS ts", "cast(pmod(hash(id), 100) AS int) AS a",
+        "concat('b', lpad(pmod(xxhash64(id), 100), 3, '0')) AS b", "id",
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stored = ctas_interleaved(events, f"{base}.t", "ts", ["a", "b"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert rows(stored.select("id", "a", "b")) == rows(events.select("id", "a", "b"))
+    value = wanted.split(" = ")[1]
+    by_file = stored.groupBy("_metadata.file_path").agg(F.expr(f"min({column}) <= {value} AND max({column}) >= {value}").alias("may"))
+    n, may = by_file.count(), by_file.where("may").count()
+    assert n >= 24 and may <= n / 2, (n, may)
+
+
+def test_interleaving_one_value_nulls_and_no_rows(spark, base):
+    odd = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-05' AS ts, CAST(NULL AS INT) AS a, 'x' AS b UNION ALL SELECT NULL, NULL, NULL")
+    assert rows(ctas_interleaved(odd, f"{base}.t", "ts", ["a", "b"]).select("b")) == [("x",), (None,)]
+    assert ctas_interleaved(odd.limit(0), f"{base}.u", "ts", ["a", "b"]).isEmpty()
+
+
+def test_months_of_states_are_replaced_day_by_day(spark, base):
+    def source(days, value):
+        return frame(spark, [(day, value) for day in days], "day date, v int")
+
+    name, day = f"{base}.t", lambda m, d: dt.date(2024, m, d)
+    window = (day(1, 5), day(3, 10))
+    act.time_interval(spark, name, source([day(1, 5), day(2, 1), day(2, 9), day(3, 1), day(3, 9)], 1), "day", *window, "date", by="month")
+    before = {f for f in spark.table(name).inputFiles() if "_month=2024-01" in f}
+    got = act.time_interval(spark, name, source([day(2, 9), day(2, 20)], 2), "day", day(2, 5), day(3, 5), "date", by="month")
+    assert rows(got.select("day", "v")) == rows(
+        frame(spark, [(day(1, 5), 1), (day(2, 1), 1), (day(2, 9), 2), (day(2, 20), 2), (day(3, 9), 1)], "day date, v int")
+    )
+    assert before == {f for f in got.inputFiles() if "_month=2024-01" in f}
+    assert act.time_interval(spark, name, source([], 2), "day", day(1, 1), day(2, 1), "date", by="month").count() == 4
+
+
+def test_views_of_a_database(spark, base):
+    table(spark, base, [(1, "a"), (2, "a")])
+    spec = TableSpec(f"{base}.counts", [Column("v", "string"), Column("n", "int")], "view", query=f"SELECT v, count(*) AS n FROM {base}.t GROUP BY v")
+    assert rows(act.materialise(spark, spec)) == [("a", 2)]
+    append_rows(frame(spark, [(3, "a")]), f"{base}.t")
+    assert rows(spark.newSession().table(f"{base}.counts")) == [("a", 3)]
+    act.as_catalog_view(spark, f"{base}.counts", "SELECT 1 AS one")
+    assert rows(spark.table(f"{base}.counts")) == [(1,)]
+    with pytest.raises(ValueError, match="as_catalog_view"):
+        act.as_view(frame(spark, [(1, "a")]), "reports.x")
+    with pytest.raises(ValueError):
+        TableSpec("t", [Column("v", "string")], "table", query="SELECT 1 AS v")
+    with pytest.raises(ValueError, match="needs a frame"):
+        act.materialise(spark, TableSpec("t", [Column("v", "string")]))
+
+
+def test_ties_are_compared_with_the_state_alone(spark, folder):
+    """Kept rows are not read again: with their files gone, a tied load still adds just what is new."""
+    columns = "id long, note string, at long"
+
+    def source(*data):
+        return spark.createDataFrame(list(data), columns)
+
+    loads.load_increment(source((1, "a", 4), (2, None, 5), (2, None, 5), (3, "c", 5)), folder, "t", "at", "l1")
+    write_parquet(source(), f"{folder}/t/_load_id=l1", "overwrite")
+    more = source((2, None, 5), (2, None, 5), (2, None, 5), (3, "c", 5), (None, "2", 5), (1, "a", 4))
+    got = loads.load_increment(more, folder, "t", "at", "l2")
+    assert rows(got.select("id", "note")) == [(2, None), (None, "2")]
+    assert loads.load_increment(more, folder, "t", "at", "l3").count() == 2
+    newer = loads.load_increment(source((9, "z", 6)), folder, "t", "at", "l4")
+    assert newer.count() == 3
+    assert loads.load_increment(source((9, "z", 6), (9, "z", 6)), folder, "t", "at", "l5").count() == 4
+    assert rows(loads.load_state(spark, folder, "t")) == [("t", "l5", 6)]
