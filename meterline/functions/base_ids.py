@@ -16,7 +16,8 @@ LARGEST = 2**63 - 1
 def base_id(licence: Column) -> Column:
     """Label and zero-padded hex of the licence number; NULL unless all that follows the first letter is digits."""
     rest = F.substr(licence, F.lit(2))
-    number = F.when(rest.rlike("^[0-9]+$"), rest.try_cast("long"))
+    all_digits = (rest != "") & (F.translate(rest, "0123456789", "") == "")
+    number = F.when(all_digits, rest.try_cast("long"))
     label = F.lit(OTHER_LABEL)
     for divisor, name in reversed(DIVISOR_LABELS):
         label = F.when(number % divisor == 0, name).otherwise(label)
