@@ -7,8 +7,9 @@ arrival falling in one of the signature's places; a place keeps the first to arr
 arrival is later than any place's first. Two signatures agree in a place with the probability Jaccard as chance.
 
 Signatures are cut in bands. Documents alike in a band are compared with hubs of that bucket, the members that share
-the most buckets. What is still not connected there is compared in blocks by longer signatures, two bits a place,
-without making a row of each pair. Links are verified on whole texts.
+the most buckets. What is still not connected there is compared in blocks by longer signatures, two bits a place, and
+promising pairs are verified where they are found: a block gives only links that connect what it has not connected yet,
+so fewer links than entries leave it, however many pairs are alike. Links are verified on whole texts.
 """
 
 from __future__ import annotations
@@ -116,6 +117,8 @@ def probability_jaccard(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarra
         return 0.0
     with np.errstate(divide="ignore"):
         ratio = np.where(y > 0, x / np.where(y > 0, y, 1), np.inf)
+    if x.max() <= 1 and y.max() <= 1:
+        return float(shared.sum()) / len(union)
     order = np.argsort(ratio, kind="stable")
     r = ratio[order]
     above = np.append(np.cumsum(x[order][::-1])[::-1], 0.0)  # sum of x from here on
@@ -188,20 +191,17 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     texts = stored(text.join(sigs, "doc_id").select(F.col("doc_id").alias("node"), "sig", "text"), "texts")
 
     links = pairs_of_docs(member)
-    label = long = None
-    # hubs first, then each open entry's likeliest partner, and at last whatever is still open
-    for turn in range(HUB_ROUNDS + 2):
+    label = None
+    for _ in range(HUB_ROUNDS):
         named = bucket.withColumn("component", F.col("node")) if label is None else labelled(bucket, label)
-        if turn < HUB_ROUNDS:
-            pairs = hub_pairs(named)
-        else:
-            named = stored(named, "open")
-            long = long_signatures(named.select("node").distinct(), member, texts) if long is None else long
-            pairs = open_pairs(named, long, turn == HUB_ROUNDS)
-        new = stored(_links(pairs, texts), "links")
+        new = stored(_links(hub_pairs(named), texts), "links")
         links = links.union(new)
         if new.limit(1).count() or label is None:
             label = components(links)
+    named = stored(labelled(bucket, label), "open")
+    new = stored(open_links(named, long_signatures(named.select("node").distinct(), member, texts)), "links")
+    if new.limit(1).count():
+        label = components(links.union(new))
     ids = label.select(F.col("node"), F.col("component").alias("class_id"))
     classes = member.select("doc_id", "node").join(ids, "node", "left").select("doc_id", F.coalesce("class_id", "node").alias("class_id"))
     without = rows.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"))
@@ -248,65 +248,92 @@ def _lengthen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             bits = (signatures(doc, shingle, weight, b - a, LONG_PLACES) & np.uint64(3)).astype(np.uint8)
             packed = bits[:, 0::4] | bits[:, 1::4] << 2 | bits[:, 2::4] << 4 | bits[:, 3::4] << 6
             own = batch.iloc[a:b]
-            yield pd.DataFrame({"node": own["node"], "bands": own["bands"], "long": [x.tobytes() for x in packed]})
+            yield pd.DataFrame({"node": own["node"], "bands": own["bands"], "long": [x.tobytes() for x in packed], "text": own["text"]})
 
 
 #: Of a byte that is the difference of two: how many of its four places agree.
 _AGREE = np.array([sum(x >> 2 * k & 3 == 0 for k in range(4)) for x in range(256)], np.uint8)
 
 
-def _compare(batches: Iterator[pd.DataFrame], best: bool) -> Iterator[pd.DataFrame]:
-    """Pairs of different components whose estimate is high enough; rows come ordered by (bucket, i, j).
+#: Shingles that a task keeps parsed.
+PARSED = 1 << 22
 
-    A pair that shares several buckets is left to the first band that the two share. `best` is for only the likeliest
-    partner of each entry.
-    """
 
-    def group(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        node, of, block = rows["node"].to_numpy(), rows["component"].to_numpy(), rows["block"].to_numpy()
-        i, j, bucket = rows["i"].iat[0], rows["j"].iat[0], rows["bucket"].iat[0]
-        bands = np.stack(rows["bands"].to_list())
-        long = np.frombuffer(b"".join(rows["long"]), np.uint8).reshape(len(rows), -1)
-        right = np.flatnonzero(block == j)
-        ones, others = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for r in np.flatnonzero(block == i):
-            with_ = right[(of[right] != of[r]) & ((node[right] > node[r]) | (i != j))]
-            shared = bands[with_] == bands[r]
-            with_ = with_[bands[r][shared.argmax(axis=1)] == bucket] if len(with_) else with_
-            parts = [_AGREE[long[with_[at : at + 256]] ^ long[r]].sum(axis=1) for at in range(0, len(with_), 256)]
-            share = np.concatenate([np.zeros(0), *parts]) / LONG_PLACES
-            good = (share - 0.25) / 0.75 >= LEAST_ESTIMATE
-            if best and good.any():
-                good = np.arange(len(share)) == share.argmax()
-            ones.append(np.full(good.sum(), node[r]))
-            others.append(node[with_[good]])
-        return np.concatenate(ones), np.concatenate(others)
+class _Parsed:
+    """Shingles of the texts of a block, those used last."""
+
+    def __init__(self, texts: list[str]) -> None:
+        self.texts, self.known, self.size = texts, OrderedDict(), 0
+
+    def __getitem__(self, at: int) -> tuple[np.ndarray, np.ndarray]:
+        if at not in self.known:
+            self.known[at] = weighted_shingles([self.texts[at]], SHINGLE)[2:]
+            self.size += len(self.known[at][0])
+            while self.size > PARSED and len(self.known) > 2:
+                self.size -= len(self.known.popitem(last=False)[1][0])
+        self.known.move_to_end(at)
+        return self.known[at]
 
+
+def block_links(rows: pd.DataFrame) -> list[tuple[int, int]]:
+    """Verified links (a, b) between entries of different components, of the blocks i and j of a bucket.
+
+    A link is given only if those before it don't connect its ends, so there are fewer than entries. An entry's
+    likeliest partners come first. A pair that shares several buckets is left to the first band that the two share.
+    """
+    node, of, block = rows["node"].to_numpy(), rows["component"].to_numpy().copy(), rows["block"].to_numpy()
+    i, j, bucket = rows["i"].iat[0], rows["j"].iat[0], rows["bucket"].iat[0]
+    bands = np.stack(rows["bands"].to_list())
+    long = np.frombuffer(b"".join(rows["long"]), np.uint8).reshape(len(rows), -1)
+    parsed, links = _Parsed(rows["text"].to_list()), []
+    right = np.flatnonzero(block == j)
+    for r in np.flatnonzero(block == i):
+        with_ = right[(of[right] != of[r]) & ((node[right] > node[r]) | (i != j))]
+        shared = bands[with_] == bands[r]
+        with_ = with_[bands[r][shared.argmax(axis=1)] == bucket] if len(with_) else with_
+        parts = [_AGREE[long[with_[at : at + 256]] ^ long[r]].sum(axis=1) for at in range(0, len(with_), 256)]
+        share = (np.concatenate([np.zeros(0), *parts]) / LONG_PLACES - 0.25) / 0.75
+        for c in with_[np.argsort(-share, kind="stable")[: (share >= LEAST_ESTIMATE).sum()]]:
+            if of[c] == of[r]:
+                continue
+            x, y = parsed[r], parsed[c]
+            # the similarity is at most the smaller weight of all against the larger
+            small, large = sorted((x[1].sum(), y[1].sum()))
+            if small >= SIMILARITY * large * (1 - 1e-9) and probability_jaccard(x, y) >= SIMILARITY:
+                links.append((int(node[r]), int(node[c])))
+                of[of == of[c]] = of[r]
+    return links
+
+
+def _link_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links of every (bucket, i, j); rows come ordered by these."""
     rest = None
     for batch in batches:
         rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
         key = rows[["bucket", "i", "j"]].to_numpy()
         starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
-        found = [group(rows.iloc[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        found = [x for a, b in zip(starts[:-1], starts[1:], strict=True) for x in block_links(rows.iloc[a:b])]
         rest = rows.iloc[starts[-1] :]
-        yield from (pd.DataFrame({"a": a, "b": b}) for a, b in found if len(a))
+        if found:
+            yield pd.DataFrame(found, columns=["a", "b"])
     if rest is not None and len(rest):
-        a, b = group(rest)
-        yield pd.DataFrame({"a": a, "b": b})
+        found = block_links(rest)
+        if found:
+            yield pd.DataFrame(found, columns=["a", "b"])
 
 
 def long_signatures(nodes: DataFrame, member: DataFrame, texts: DataFrame) -> DataFrame:
     bands = member.where("bands IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
     text = texts.join(nodes, "node", "left_semi").join(bands, "node").select("node", "bands", "text")
-    return stored(text.mapInPandas(_lengthen, "node long, bands array<long>, long binary"), "long")
+    return stored(text.mapInPandas(_lengthen, "node long, bands array<long>, long binary, text string"), "long")
 
 
-def open_pairs(named: DataFrame, long: DataFrame, best: bool) -> DataFrame:
-    """The exact way for what no hub decided: pairs of a bucket that are still of different components.
+def open_links(named: DataFrame, long: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The exact way for what no hub decided: entries of a bucket that are still of different components.
 
-    A bucket is dealt in blocks, and each two of its blocks meet in one task; only promising pairs become rows.
+    A bucket is dealt in blocks, and each two of its blocks meet in one task, which verifies promising pairs.
     """
-    size = named.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    size = named.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     entry = named.join(size, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pair = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -314,4 +341,4 @@ def open_pairs(named: DataFrame, long: DataFrame, best: bool) -> DataFrame:
     )
     dealt = entry.select("bucket", "node", "component", "block", F.explode(pair).alias("pair")).select("*", "pair.*").drop("pair")
     ordered = dealt.join(long, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return ordered.mapInPandas(lambda batches: _compare(batches, best), "a long, b long").distinct()
+    return ordered.mapInPandas(_link_blocks, "a long, b long").distinct()

@@ -314,3 +314,52 @@ def test_pipeline_stages(spark, odd):
         out = stage(spark, docs, SMALL)
         assert out.columns == odd.columns, name
         assert out.count() <= docs.count()
+
+
+def variants(seed: int, n: int, changes: int) -> list[tuple[int, str]]:
+    """Near copies of one text, each with some words of its own."""
+    rng, base = random.Random(seed), prose(seed, 150).split()
+    out = []
+    for k in range(n):
+        new = list(base)
+        for _ in range(rng.randint(0, changes)):
+            new[rng.randrange(len(new))] = f"x{rng.randrange(10**6)}"
+        out.append((k, " ".join(new)))
+    return out
+
+
+def one_bucket(spark, docs):
+    """All documents as entries of one bucket, each a component of its own, with their long signatures."""
+    signed = docs.selectExpr("doc_id", "text", "0L AS raw", "0L AS size").mapInPandas(
+        neardup._sign, "doc_id long, key1 long, key2 long, bands array<long>, sig binary"
+    )
+    texts = signed.join(docs, "doc_id").selectExpr("doc_id AS node", "array(77L) AS bands", "text")
+    long = texts.mapInPandas(neardup._lengthen, "node long, bands array<long>, long binary, text string")
+    return docs.selectExpr("77L AS bucket", "doc_id AS node", "doc_id AS component"), long
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_links_of_a_bucket_grow_with_its_entries(spark, block):
+    """A bucket of one or of many blocks: the links connect what brute force does, and doubling the group doubles them at most."""
+    counts = []
+    for n in (60, 120):
+        data = variants(7, n, 9)
+        named, long = one_bucket(spark, spark.createDataFrame(data, "doc_id long, text string"))
+        got = neardup.open_links(named, long, block).collect()
+        sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in data)]
+        assert all(len(x) == len(t.split()) - 4 for x, (_, t) in zip(sets, data, strict=True))  # none repeats: the usual Jaccard
+        alike = {(a, b) for a in range(n) for b in range(a) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
+        assert {tuple(sorted((r.a, r.b), reverse=True)) for r in got} <= alike
+        assert classes(n, alike) == classes(n, [(r.a, r.b) for r in got]) and 1 < len(set(classes(n, alike))) < n
+        blocks = math.ceil(n / block)
+        assert len(got) <= n * blocks
+        counts.append(len(got) / blocks)
+    assert counts[1] <= 2.2 * counts[0]
+
+
+def classes(n: int, links) -> list[int]:
+    top = list(range(n))
+    for a, b in links:
+        x, y = top[a], top[b]
+        top = [min(x, y) if t in (x, y) else t for t in top]
+    return top
