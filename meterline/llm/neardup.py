@@ -222,21 +222,18 @@ def labelled(bucket: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def hub_pairs(named: DataFrame) -> DataFrame:
-    """Each entry with its bucket's hub, if they aren't connected: for n entries at most n pairs.
+    """Each document with the best hub of its buckets, if they aren't connected: for n documents at most n pairs.
 
-    In later rounds the hub is chosen again, among entries outside the component of the bucket's best one.
+    A bucket has two hubs, the second one outside the component of the first.
     """
     best = F.max(F.struct("degree", (-F.col("node")).alias("minus"), "component"))
     top = named.groupBy("bucket").agg(best.alias("top"))
     rest = named.join(top, "bucket").where(F.col("component") != F.col("top.component"))
     second = rest.groupBy("bucket").agg(best.alias("second"))
     hubs = top.join(second, "bucket").select("bucket", F.explode(F.array("top", "second")).alias("hub"))
-    return (
-        named.join(hubs, "bucket")
-        .where(F.col("component") != F.col("hub.component"))
-        .select(F.col("node").alias("a"), (-F.col("hub.minus")).alias("b"))
-        .distinct()
-    )
+    apart = named.join(hubs, "bucket").where(F.col("component") != F.col("hub.component"))
+    chosen = apart.groupBy(F.col("node").alias("a")).agg(F.max(F.struct("hub.degree", "hub.minus")).alias("hub"))
+    return chosen.select("a", (-F.col("hub.minus")).alias("b"))
 
 
 def _lengthen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
