@@ -80,13 +80,15 @@ def leaf_of(tree: Node, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def leaves_for(tree: Node, q: np.ndarray, most: int) -> list[int]:
-    """Leaves in the order of a best-bin-first traversal."""
+def leaves_for(tree: Node, q: np.ndarray, most: int, sizes: np.ndarray | None = None, enough: int = 0) -> list[int]:
+    """Leaves in the order of a queue by nearness: `most` of them, and more until they hold `enough` vectors by their sizes."""
     queue, order, out = [(0.0, 0, tree)], 0, []
-    while queue and len(out) < most:
+    held = 0
+    while queue and (len(out) < most or held < enough):
         _, _, node = heapq.heappop(queue)
         if not isinstance(node, Node):
             out.append(node)
+            held += 0 if sizes is None else int(sizes[node])
             continue
         for near, child in zip((node.centres @ q).tolist(), node.children, strict=True):
             order += 1
@@ -140,10 +142,14 @@ def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float =
     def seek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                batch["leaf"] = [leaves_for(tree, q, visits) for q in _unit(np.stack(batch["v"].to_list()))]
+                batch["leaf"] = [leaves_for(tree, q, visits, sizes, k + 1) for q in _unit(np.stack(batch["v"].to_list()))]
                 yield batch
 
     held = stored(first_copies(rows, k).mapInPandas(put, "vec_id long, v array<double>, leaf long"), "leaves")
+    # one number for each leaf; a query goes on until its leaves hold k vectors beside its own
+    sizes = np.zeros(leaves, np.int64)
+    for leaf, n in held.groupBy("leaf").count().collect():
+        sizes[leaf] = n
     asked = rows.where(F.col("vec_id") % every == 0).mapInPandas(seek, "vec_id long, v array<double>, leaf array<long>")
     asked = stored(asked.select(F.col("vec_id").alias("query_id"), "v", F.explode("leaf").alias("leaf")), "visits")
     # a leaf's vectors and its visitors are dealt in blocks; there are as many rows here as leaves

@@ -363,3 +363,16 @@ def classes(n: int, links) -> list[int]:
         x, y = top[a], top[b]
         top = [min(x, y) if t in (x, y) else t for t in top]
     return top
+
+
+def test_tree_search_goes_on_until_enough_is_found(spark):
+    """Tight groups and single vectors whose leaves hold few: no query gets fewer than it could."""
+    rng = np.random.default_rng(24)
+    groups = [c + 0.001 * rng.normal(size=(80, 16)) for c in rng.normal(size=(25, 16))]
+    x = np.concatenate([rng.normal(size=(12, 16)), *groups])
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    tree, leaves = tree_search.grow(x / np.linalg.norm(x, axis=1)[:, None])
+    sizes = np.ones(leaves, np.int64)
+    assert len(tree_search.leaves_for(tree, x[0], 1, sizes, 6)) == min(6, leaves) and len(tree_search.leaves_for(tree, x[0], 2)) == 2
+    got = Counter(r.query_id for r in tree_search.nearest(df, every=4).collect())
+    assert set(got) == set(range(0, len(x), 4)) and set(got.values()) == {5}
