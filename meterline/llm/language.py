@@ -13,7 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.common import pieces
@@ -135,7 +135,24 @@ def predict(
                 }
             )
 
-    lettered = F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")).otherwise("")
-    rows = documents.select("doc_id", lettered.alias("text"))
+    rows = documents.select("doc_id", lettered().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(judge, f"doc_id {kind}, lang_pred string, score double, langs array<string>, shares array<double>")
+
+
+def lettered() -> Column:
+    """What is read of a text: all of it in lower case if it has a letter, else nothing."""
+    return F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")).otherwise("")
+
+
+def identified(documents: DataFrame, model: Model, rounds: int = 12, penalty: float = 3.0, least: float = 0.02) -> DataFrame:
+    """The rows, with all their columns, for which `predict` knows a language. Rows are judged where they are read."""
+
+    @F.pandas_udf("boolean")
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            texts = batch.tolist()
+            found = [mixtures(texts[a:b], model, rounds, penalty, least).any(axis=1) for a, b in pieces(texts)]
+            yield pd.Series(np.concatenate(found) if found else np.zeros(0, bool))
+
+    return documents.where(known(lettered()))

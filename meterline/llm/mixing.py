@@ -110,26 +110,49 @@ def mixed(
     groups of their own, named `-`. Null and empty texts have no tokens and are never kept, nor is any row if there are
     no tokens at all. Rows of the same doc_id share a draw; those of a null doc_id draw as an empty id.
     """
-    rows = documents.select(
-        "doc_id",
-        *(F.coalesce(F.col(c), F.lit("-")).alias(c) for c in ("source", "lang")),
-        (topic_of(F.col("text")) if topic is None else topic).alias("topic"),
-        tokens_of(F.col("text")).alias("tokens"),
+    rows = stored(documents.select("doc_id", *described(topic).values()), "counted")
+    chances = _chances(rows, temper, targets, fraction)
+    known = rows.join(chances, list(MARGINS), "left")
+    probability = F.when(F.col("tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0)
+    return known.select(
+        "doc_id", *MARGINS, "tokens", probability.alias("probability"), (draw(F.col("doc_id"), seed) < probability).alias("kept")
     )
-    rows = stored(rows, "counted")
+
+
+def described(topic: Column | None = None) -> dict[str, Column]:
+    """The margins of a document and its tokens."""
+    return {
+        **{c: F.coalesce(F.col(c), F.lit("-")).alias(c) for c in ("source", "lang")},
+        "topic": (topic_of(F.col("text")) if topic is None else topic).alias("topic"),
+        "tokens": tokens_of(F.col("text")).alias("tokens"),
+    }
+
+
+def _chances(rows: DataFrame, temper: dict[str, float], targets: dict[str, DataFrame] | None, fraction: float) -> DataFrame:
+    """Rows (the margins, probability), one for each cell that has tokens."""
     cells = stored(rows.where("tokens > 0").groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
     wanted = targets or {m: stored(tempered(cells, m, temper[m]), "target") for m in MARGINS}
     raked = rake(cells, wanted)
     scale = calibrated(raked, fraction)
     chance = F.least(F.lit(1.0), F.col("raked") / F.col("tokens") * scale).alias("probability")
-    known = rows.join(raked.select(*MARGINS, chance), list(MARGINS), "left")
-    probability = F.when(F.col("tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0)
-    return known.select(
-        "doc_id", *MARGINS, "tokens", probability.alias("probability"), (draw(F.col("doc_id"), seed) < probability).alias("kept")
-    )
+    return raked.select(*MARGINS, chance)
+
 
+def sampled(
+    documents: DataFrame,
+    topic: Column | None = None,
+    temper: dict[str, float] = TEMPER,
+    targets: dict[str, DataFrame] | None = None,
+    fraction: float = FRACTION,
+    seed: str = SEED,
+) -> DataFrame:
+    """The rows that `mixed` keeps, with all their columns.
 
-def sampled(documents: DataFrame, **options) -> DataFrame:
-    """The rows that `mixed` keeps, with all their columns."""
-    kept = mixed(documents, **options).where("kept").select("doc_id").distinct()
-    return documents.join(kept, documents["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    Each row is judged where it is read: only the cells' chances are joined to it, no text is sent to find its row again.
+    """
+    of = described(topic)
+    chances = stored(_chances(documents.select(*of.values()), temper, targets, fraction), "chances")
+    cell = F.struct(*(of[m] for m in MARGINS))
+    named = chances.select(F.struct(*MARGINS).alias("_cell"), F.col("probability").alias("_probability"))
+    kept = (named["_cell"] == cell) & (of["tokens"] > 0) & (draw(F.col("doc_id"), seed) < named["_probability"])
+    return documents.join(named, kept, "left_semi")

@@ -208,6 +208,23 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return classes.union(without)
 
 
+def representatives(documents: DataFrame) -> DataFrame:
+    """The rows, with all their columns, without those that are near-duplicates of one that stays.
+
+    Each row is a document of its own, also if it shares its doc_id or has none. Of each class the row of the smallest
+    doc_id stays, a null one being the largest; of rows that share it, one. Rows whose text is null or empty all stay.
+    """
+    key = "_row"
+    while key in documents.columns:
+        key += "_"
+    rows = stored(documents.withColumn(key, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"))
+    ids = rows.select(F.col(key).alias("row"), F.col("doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row"))
+    heads = found.join(ids, found["doc_id"] == ids["row"]).groupBy("class_id").agg(first.alias("head"))
+    return rows.join(heads.select(F.col("head.row").alias(key)), key, "left_semi").drop(key)
+
+
 def pairs_of_docs(member: DataFrame) -> DataFrame:
     """Links between the nodes of one doc_id, if its rows have different texts."""
     spread = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))

@@ -1,5 +1,6 @@
 """The operators against brute force, and on the cases that any of them has to stand."""
 
+import hashlib
 import math
 import random
 import re
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from meterline.llm import katz, language, mixing, neardup, pii, quality, segment_search, sentence_pieces, tree_search, urls
 from meterline.llm.queries import ORACLES, QUERIES, URL_RULES, VOCABULARY
-from tests.conftest import SMALL
+from tests.conftest import SMALL, plan_of, rows
 from tests.oracle import database, differences
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key1 string, node int"
@@ -316,6 +317,104 @@ def test_pipeline_stages(spark, odd):
         assert out.count() <= docs.count()
 
 
+def near_classes(texts: list[str | None]) -> list[int]:
+    """By brute force, for each text the first one of its class."""
+    sets = [Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else None for w in ((t or "").lower().split() for t in texts)]
+    top = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if top[a] != top[b] and sets[a] and sets[b] and brute_jaccard(sets[a], sets[b]) >= 0.8:
+                lo, hi = sorted((top[a], top[b]))
+                top = [lo if t == hi else t for t in top]
+    return top
+
+
+def drawn_by_brute_force(rows: list[tuple]) -> list[tuple]:
+    """The rows (doc_id, text, lang, source) that raking and the hashed draw keep, in plain Python."""
+    cells, of = Counter(), []
+    for _, text, lang, source in rows:
+        lines = text.count("\n") + 1 if text else 1
+        topic = "empty" if not text else "table" if " | " in text else "lines" if len(text) < 60 * lines else "prose"
+        n = text.count(" ") + text.count("\n") + 1 if text else 0
+        of.append(((source or "-", lang or "-", topic), n))
+        if n:
+            cells[of[-1][0]] += n
+    raked, targets = {c: float(n) for c, n in cells.items()}, []
+    for at, power in enumerate((0.5, 0.7, 1.0)):
+        sums = Counter()
+        for c, n in cells.items():
+            sums[c[at]] += n
+        targets.append({k: v**power / sum(x**power for x in sums.values()) for k, v in sums.items()})
+    for _ in range(20):
+        for at, target in enumerate(targets):
+            sums = Counter()
+            for c, r in raked.items():
+                sums[c[at]] += r
+            raked = {c: r * target[c[at]] / sums[c[at]] for c, r in raked.items()}
+    low, high, goal = 0.0, 1 / min(raked[c] / n for c, n in cells.items()), sum(cells.values()) / 2
+    for _ in range(200):
+        middle = (low + high) / 2
+        fits = sum(min(1, middle * raked[c] / n) * n for c, n in cells.items()) < goal
+        low, high = (middle, high) if fits else (low, middle)
+    draw = lambda i: int(hashlib.md5(f"mix|{'' if i is None else i}".encode()).hexdigest()[:12], 16) / (1 << 48)
+    return [r for r, (c, n) in zip(rows, of, strict=True) if n and draw(r[0]) < min(1, high * raked[c] / cells[c])]
+
+
+def test_pipeline_run_against_brute_force(spark, tmp_path):
+    """All five stages, with ids that several texts share, rows without id, copies, near copies and odd texts."""
+    rng, given = random.Random(8), []
+    for group in range(16):
+        base = prose(300 + group, 90).split()
+        for k in range(rng.randint(1, 5)):
+            new = list(base)
+            for _ in range(rng.choice([0, 1, 2, 30])):
+                new[rng.randrange(len(new))] = prose(rng.randrange(10**6), 1) + "x"
+            text = " ".join(new) + rng.choice(["", " Call +1 (212) 555-0147.", " On 1999-12-31 | x", " a@b.org\nline\nline"])
+            given.append((rng.choice([None, 7, group * 10 + k]), text, "aa", f"s{group % 3}"))
+    given += [given[0], given[0], (5, None, "aa", "s1"), (6, "", None, "s1"), (None, "12 34 !", "aa", None), (7, "other words", "aa", "s0")]
+    spark.createDataFrame(given, "doc_id long, text string, lang string, source string").coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+
+    lettered = [r for r in given if r[1] and re.search(r"[^\W\d_]", r[1])]
+    best = {}
+    for r, c in zip(lettered, near_classes([r[1] for r in lettered]), strict=True):
+        if c not in best or (r[0] is None, r[0] or 0) < (best[c][0] is None, best[c][0] or 0):
+            best[c] = r
+    v = sentence_pieces.load(VOCABULARY)
+    coded = corpus_pipeline.run(spark, str(tmp_path))
+    assert coded.columns == ["doc_id", "ids", "n_pieces"]
+    got = sentence_pieces.with_text(coded, v).collect()
+
+    # rows of a class that share the smallest id, or have none, may stand for each other, so what is left is compared with all choices
+    alike = Counter((c, r[0]) for c, r in zip(near_classes([r[1] for r in lettered]), lettered, strict=True))
+    clear = [r for c, r in best.items() if alike[c, r[0]] == 1]
+    shape = lambda t: re.sub(r"\S+@\S+", "@", re.sub(r"[0-9]", "0", t))
+    kept = drawn_by_brute_force(list(best.values()))
+    want = Counter((r[0], shape(r[1])) for r in kept if r in clear)
+    found = Counter((r.doc_id, shape(r.text)) for r in got)
+    assert want and not want - found and len(got) == len(kept)
+    table = {p: (i, float(s)) for p, i, s in v.pieces}
+    for r in got:
+        assert r.ids == [i for w in sentence_pieces.words(r.text) for i in sentence_pieces.best_path(w, v, table)] and r.n_pieces == len(r.ids)
+    assert "212) 555-0147" not in " ".join(r.text for r in got)
+
+
+def test_representatives_are_rows(spark, odd, empty):
+    got = neardup.representatives(odd)
+    assert got.columns == odd.columns and neardup.representatives(empty).isEmpty()
+    assert sorted((r.doc_id for r in got.collect()), key=str) == [1, 3, 4, 5, 6, 8, None]
+    same = odd.where("doc_id = 1").select("*", F.lit(3).alias("_row"))
+    assert [r._row for r in neardup.representatives(same.union(same)).collect()] == [3]
+
+
+def test_stages_keep_rows_in_place(spark, odd):
+    """No stage but near-duplicates sends texts anywhere: rows are judged where they are read."""
+    docs = odd.select("*", F.lit("y").alias("_cell"))
+    assert "Exchange" not in plan_of(language.identified(odd, language.fit(odd)))
+    got = mixing.sampled(docs, fraction=0.9)
+    kept = mixing.mixed(odd, fraction=0.9).where("kept")
+    assert got.columns == docs.columns and rows(got.select("doc_id")) == rows(kept.select("doc_id"))
+
+
 def variants(seed: int, n: int, changes: int) -> list[tuple[int, str]]:
     """Near copies of one text, each with some words of its own."""
     rng, base = random.Random(seed), prose(seed, 150).split()
