@@ -17,28 +17,27 @@ from meterline.llm.queries import PII_KEY, VOCABULARY
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those without a letter and those of no known language go."""
-    model = language.fit(docs.where(remainder(F.col("doc_id"), 4) != 2))
-    known = language.predict(docs, model).where(F.col("lang_pred") != language.UNKNOWN).select("doc_id").distinct()
-    return docs.join(known, docs["doc_id"].eqNullSafe(known["doc_id"]), "left_semi")
+    """Documents in a known language; those without a letter and those of no known language go, each row by its own text."""
+    return language.identified(docs, language.fit(docs.where(remainder(F.col("doc_id"), 4) != 2)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class. A document without id is alike to nothing, so it stays."""
-    heads = neardup.near_duplicates(docs).select(F.col("class_id").alias("doc_id")).distinct()
-    return docs.join(heads, docs["doc_id"].eqNullSafe(heads["doc_id"]), "left_semi")
+    """One row of each class, of the smallest id. Rows that share an id, or have none, are documents of their own."""
+    return neardup.representatives(docs)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows; those with a null or empty text, or without personal values, unchanged."""
     return pii.pseudonymise(docs, PII_KEY)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that the mixture keeps. Rows of one id share a draw; null and empty texts go."""
     return mixing.sampled(docs)
 
 
 def cut_in_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows (doc_id, ids, n_pieces)."""
+    """Rows (doc_id, ids, n_pieces), one for each row; null and empty texts have no pieces."""
     return sentence_pieces.encode(docs, sentence_pieces.load(VOCABULARY))
 
 
