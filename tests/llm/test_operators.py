@@ -244,10 +244,60 @@ def test_katz_is_normalised_and_recursive(spark):
     assert math.isclose(model.tables[1].agg(F.sum("p1")).first()[0] + model.unknown, 1, rel_tol=1e-12) and words
 
 
+def katz_by_brute_force(train: list[list[str]], order: int):
+    """A function that gives the probability of a word after the words before it, by plain recursion over histories."""
+    start, counts = "<s>", [Counter() for _ in range(order + 1)]
+    for words in train:
+        padded = [start] * (order - 1) + [*words, "</s>"]
+        for at in range(order - 1, len(padded)):
+            for k in range(1, order + 1):
+                counts[k][tuple(padded[at - k + 1 : at + 1])] += 1
+    total = sum(counts[1].values())
+    factor = [katz.discounts(Counter(c.values())) for c in counts]
+    less = lambda k, c: factor[k][c - 1] * c if c <= katz.RELIABLE else float(c)
+    kept = sum(less(1, c) for c in counts[1].values())
+    unknown = max(1 - kept / total, 0.5 / (total + 1))
+
+    def probability(word: str, before: tuple) -> float:
+        k = len(before) + 1
+        if k == 1:
+            return less(1, counts[1][word,]) * (1 - unknown) / kept if (word,) in counts[1] else unknown
+        after = {g[-1]: c for g, c in counts[k].items() if g[:-1] == before}
+        if not after:
+            return probability(word, before[1:])
+        whole, part = sum(after.values()), sum(less(k, c) for c in after.values())
+        whole += 0.5 if whole - part < 1e-9 else 0
+        if word in after:
+            return less(k, after[word]) / whole
+        left = 1 - sum(probability(w, before[1:]) for w in after)
+        return (1 - part / whole) / left * probability(word, before[1:])
+
+    return probability, counts[1], total
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_katz_scores_against_recursion(spark, order):
+    train = [prose(i, 14, ["ka", "lo", "mi"]) for i in range(10)] + [""]
+    texts = [train[0], prose(50, 12, ["ka", "lo", "mi"]), "ka new ka  LO", "", None, train[0]]
+    probability, seen, total = katz_by_brute_force([t.split() for t in train], order)
+    model = katz.fit(spark.createDataFrame([(t,) for t in train], "text string"), order)
+    got = katz.score(spark.createDataFrame([(i if i else None, t) for i, t in enumerate(texts)], "row long, text string"), model)
+    got = {r.row: r for r in got.collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        words, r = [*(text or "").lower().split(), "</s>"], got[i or None]
+        padded = ["<s>"] * (order - 1) + words
+        want = sum(math.log10(probability(w, tuple(padded[at : at + order - 1]))) for at, w in enumerate(words))
+        base = sum(math.log10((seen[w,] + 0.1) / (total + 0.1 * (len(seen) + 1))) for w in words)
+        assert math.isclose(r.score, want, rel_tol=1e-9) and math.isclose(r.base_score, base, rel_tol=1e-9), (i, order)
+        assert r.n_tokens == len(words) and r.n_known == sum((w,) in seen for w in words)
+
+
 def test_katz_on_odd_rows(odd, empty):
     rows = odd.select(F.col("doc_id").alias("row"), "text")
     got = katz.score(rows, katz.fit(odd))
     assert got.where("score > 0 OR score IS NULL").isEmpty() and got.where("row = 3").first().n_tokens == 1
+    assert got.count() == odd.count() and got.where("row = 1").select("n_tokens").distinct().count() == 1
     assert {r.score for r in katz.score(rows, katz.fit(empty)).collect()} == {0.0}
 
 
