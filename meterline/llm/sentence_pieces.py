@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from meterline.llm.common import pieces as runs
 from meterline.session import scratch_database
@@ -177,23 +178,41 @@ def _chunk(batches: Iterator[pd.DataFrame], vocabulary: Vocabulary) -> Iterator[
             made += 1
 
 
+#: Words whose pieces are put together at once.
+SLICE = 1 << 18
+
+
+def _numbers(reply: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a reply, and how many each word has. Words are apart by commas, ids by spaces."""
+    if not reply:
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    signs = np.frombuffer(reply.encode(), np.uint8)
+    ends = np.append(np.flatnonzero(signs == 44), len(signs))
+    count = np.diff(np.concatenate(([0], np.cumsum(signs == 32, dtype=np.int32)))[ends], prepend=0) + 1
+    return np.fromstring(reply.replace(",", " "), np.int32, sep=" "), count
+
+
 def _assemble(batches: Iterator[pa.RecordBatch], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Documents of each chunk, some at a time, so that what is held beside the chunk itself stays small."""
     for batch in batches:
         for row in range(batch.num_rows):
             ids, sizes, stream, reply, long = (batch.column(c)[row] for c in ("ids", "sizes", "stream", "reply", "long"))
-            reply, sizes = ",".join(r for r in (reply.as_py(), long.as_py()) if r), np.array(sizes.values)
-            flat = np.array(reply.replace(",", " ").split(), np.int32)
-            count = np.array([x.count(" ") + 1 for x in reply.split(",")] if reply else [], np.int64)
-            start = np.cumsum(count) - count
+            flat, count = _numbers(",".join(r for r in (reply.as_py(), long.as_py()) if r))
+            first, names, sizes = np.cumsum(count) - count, ids.values.cast(kind), sizes.values.to_numpy()
             halves = np.frombuffer(zlib.decompress(stream.as_py()), np.uint16).reshape(2, -1)
-            word = np.ascontiguousarray(halves.T).view(np.uint32).ravel()
-            each = count[word] if len(word) else np.zeros(0, np.int64)
-            ends = np.cumsum(each)
-            at = np.repeat(start[word] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
-            stops = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))]
-            lists = pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(flat[at] if len(at) else flat[:0]))
-            names = pa.array(ids.values.to_pylist(), kind)
-            yield pa.RecordBatch.from_arrays([names, lists, pa.array(np.diff(stops), pa.int32())], ["doc_id", "ids", "n_pieces"])
+            until, doc = np.cumsum(sizes), 0
+            while doc < len(sizes):
+                begin = until[doc] - sizes[doc]
+                stop = max(doc + 1, int(np.searchsorted(until, begin + SLICE, "right")))
+                word = np.ascontiguousarray(halves[:, begin : until[stop - 1]].T).view(np.uint32).ravel()
+                each = count[word] if len(word) else np.zeros(0, np.int64)
+                ends = np.cumsum(each)
+                at = np.repeat(first[word] - (ends - each), each) + np.arange(ends[-1]) if len(word) else np.zeros(0, np.int64)
+                stops = np.concatenate(([0], ends))[np.concatenate(([0], until[doc:stop] - begin))]
+                lists = pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(flat[at]))
+                parts = [names.slice(doc, stop - doc), lists, pa.array(np.diff(stops), pa.int32())]
+                yield pa.RecordBatch.from_arrays(parts, ["doc_id", "ids", "n_pieces"])
+                doc = stop
 
 
 def encode(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -204,7 +223,8 @@ def encode(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """
     spark = documents.sparkSession
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    named = rows.schema["doc_id"].dataType
+    kind, arrow = named.simpleString(), to_arrow_type(named)
     shape = f"chunk string, ids array<{kind}>, sizes array<int>, stream binary, words array<string>, long string"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"{scratch_database(spark, 'pieces')}.chunks"
@@ -219,7 +239,6 @@ def encode(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     replies = told.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("told"))
     reply = replies.select("chunk", F.array_join(F.col("told.ids"), ",").alias("reply"))
     whole = chunks.drop("words").join(reply.hint("merge"), "chunk", "left").select("ids", "sizes", "stream", "reply", "long")
-    arrow = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
     return whole.mapInArrow(lambda b: _assemble(b, arrow), f"doc_id {kind}, ids array<int>, n_pieces int")
 
 

@@ -4,9 +4,11 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,6 +227,30 @@ def test_pieces_of_long_words_are_the_best_path(spark):
     assert solved and all(r.ids == sentence_pieces.best_path(r.word, v, table) for r in solved)
 
 
+def test_pieces_with_ids_of_any_type(spark):
+    v = sentence_pieces.load(VOCABULARY)
+    docs = spark.createDataFrame([(i, prose(i, 40)) for i in range(6)] + [(None, "a b"), (7, None)], "doc_id int, text string")
+    for kind in ("smallint", "decimal(10,2)", "string", "date"):
+        own = docs.withColumn("doc_id", F.expr("date_add(date'2020-01-01', doc_id)") if kind == "date" else F.col("doc_id").cast(kind))
+        back = sentence_pieces.decode(sentence_pieces.encode(own, v), v)
+        assert back.schema["doc_id"].dataType == own.schema["doc_id"].dataType
+        assert rows(back) == rows(own.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))), kind
+
+
+def test_slices_of_a_chunk_give_the_same_pieces(monkeypatch):
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "ids": [[1, 2, 3, 4]], "sizes": pa.array([[3, 0, 1, 2]], pa.list_(pa.int32())), "reply": ["7,8 9"], "long": ["5 5 5"],
+            "stream": [zlib.compress(np.array([0, 1, 2, 1, 0, 0], np.uint32).view(np.uint16).reshape(-1, 2).T.tobytes())],
+        }
+    )
+    want = [(1, [7, 8, 9, 5, 5, 5], 6), (2, [], 0), (3, [8, 9], 2), (4, [7, 7], 2)]
+    for size in (1, 3, 100):
+        monkeypatch.setattr(sentence_pieces, "SLICE", size)
+        out = pa.Table.from_batches(sentence_pieces._assemble(iter([batch]), pa.int64())).to_pylist()
+        assert [tuple(r.values()) for r in out] == want
+
+
 def test_pieces_query_decodes_every_document(spark):
     got = QUERIES["op4_sentence_pieces"](spark, SMALL)
     assert got.columns == ["doc_id", "ids", "n_pieces", "text"]
