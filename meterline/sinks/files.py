@@ -42,6 +42,14 @@ def write_parquet(
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def even_files(df: DataFrame, least: int, most_rows: int) -> int:
+    """Number of even files for `df`: `least`, or as many as keep each at or below `most_rows` rows.
+
+    One count comes to the driver, read from the files' footers where the plan allows.
+    """
+    return max(least, -(-df.count() // most_rows))
+
+
 def write_per_resource(df: DataFrame, root: str, resource: Column, mode: str = "overwrite") -> None:
     """One Parquet folder for each resource value below the root, in one job."""
     write_parquet(df.withColumn("resource", resource), root, mode, partition_by=["resource"])

@@ -41,14 +41,17 @@ def write_overwrite(t):
     return t.spark.read.parquet(path)
 
 
+ROWS_PER_FILE = 10_000_000
+
+
 @query(
     "write_repartitioned",
     "SELECT COUNT(*) AS row_count, CAST(greatest(4, ceil(COUNT(*) / 10000000.0)) AS BIGINT) AS files FROM lineitem",
 )
 def write_repartitioned(t):
     """Even files: four, or as many as keep each below ten million rows."""
-    path = workspace(t.spark, "spread")
-    files.write_parquet(t("lineitem"), path, files=4)
+    path, lines = workspace(t.spark, "spread"), t("lineitem")
+    files.write_parquet(lines, path, files=files.even_files(lines, 4, ROWS_PER_FILE))
     per_file = t.spark.read.parquet(path).groupBy("_metadata.file_path").agg(F.count("*").alias("n"))
     return per_file.agg(F.sum("n").alias("row_count"), F.count("*").alias("files"))
 

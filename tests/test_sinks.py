@@ -405,3 +405,14 @@ def test_ties_are_compared_with_the_state_alone(spark, folder):
     assert newer.count() == 3
     assert loads.load_increment(source((9, "z", 6), (9, "z", 6)), folder, "t", "at", "l5").count() == 4
     assert rows(loads.load_state(spark, folder, "t")) == [("t", "l5", 6)]
+
+
+def test_repartitioned_write_keeps_files_below_the_row_limit(spark, monkeypatch):
+    from querybook import sinks as book
+
+    lines = spark.range(23).withColumnRenamed("id", "l_orderkey")
+    t = type("Tables", (), {"spark": spark, "__call__": lambda self, name: lines})()
+    monkeypatch.setattr(book, "ROWS_PER_FILE", 5)
+    assert rows(book.write_repartitioned(t)) == [(23, 5)]
+    monkeypatch.setattr(book, "ROWS_PER_FILE", 100)
+    assert rows(book.write_repartitioned(t)) == [(23, 4)]
