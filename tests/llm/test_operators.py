@@ -319,6 +319,26 @@ def test_katz_scores_against_recursion(spark, order):
         assert r.n_tokens == len(words) and r.n_known == sum((w,) in seen for w in words)
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_katz_moves_occurrences_once_per_lookup(spark, order):
+    texts = spark.createDataFrame([(i, prose(i, 20)) for i in range(6)], "row long, text string")
+    model, was = katz.fit(texts.select("text"), order), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large to broadcast
+    try:
+        plan = katz.score(texts, model)._jdf.queryExecution().executedPlan()
+        plan = plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+    def moves(node) -> tuple[int, bool]:  # exchanges above the occurrences, and whether they are below
+        found = [moves(node.children().apply(i)) for i in range(node.children().size())]
+        below = node.nodeName() == "MapInPandas" or any(b for _, b in found)
+        return sum(n for n, _ in found) + (node.nodeName() == "Exchange" and below), below
+
+    # one for each history length, one for the single words, one to sum by row
+    assert moves(plan)[0] == order + 1
+
+
 def test_katz_on_odd_rows(odd, empty):
     rows = odd.select(F.col("doc_id").alias("row"), "text")
     got = katz.score(rows, katz.fit(odd))
