@@ -339,6 +339,33 @@ def test_katz_moves_occurrences_once_per_lookup(spark, order):
     assert moves(plan)[0] == order + 1
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_katz_reads_texts_once_to_fit_and_gathers_no_followers(spark, order):
+    texts, read = spark.createDataFrame([(i, prose(i, 20)) for i in range(6)], "row long, text string"), spark.sparkContext.accumulator(0)
+
+    def seen(text: str) -> str:
+        read.add(1)
+        return text
+
+    model = katz.fit(texts.select(F.udf(seen)("text").alias("text")), order)
+    assert read.value == 6
+    # a row with all words after its history would be searched for each occurrence of the history
+    plan = katz.score(texts, model)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan and "collect_list" not in plan and "map_from" not in plan
+
+
+def test_katz_of_a_history_with_many_followers(spark):
+    train = [" ".join(f"a w{i}" for i in range(j, 400, 2)) for j in (0, 1)] + ["a w1 a w1", "w7 a"]
+    texts = ["a w3 a w398", "a new a a", "w9 a", "a"]
+    probability, _, _ = katz_by_brute_force([t.split() for t in train], 2)
+    model = katz.fit(spark.createDataFrame([(t,) for t in train], "text string"))
+    got = {r.row: r.score for r in katz.score(spark.createDataFrame(list(enumerate(texts)), "row long, text string"), model).collect()}
+    for i, text in enumerate(texts):
+        words = ["<s>", *text.split(), "</s>"]
+        want = sum(math.log10(probability(w, (before,))) for before, w in zip(words[:-1], words[1:], strict=True))
+        assert math.isclose(got[i], want, rel_tol=1e-9), i
+
+
 def test_katz_on_odd_rows(odd, empty):
     rows = odd.select(F.col("doc_id").alias("row"), "text")
     got = katz.score(rows, katz.fit(odd))
