@@ -22,9 +22,15 @@ from meterline.llm.vectors import best, first_copies, usable
 LEVELS = (4, 16)  # segments, coarse to fine
 BLOCK = 2048
 CHUNK = 512
+#: Blocks or chunks in one file, the least that a task reads.
+TOGETHER = 4
 
 
-def _bounds(x: np.ndarray, segments: int) -> np.ndarray:
+def _bounds(x: np.ndarray) -> list[np.ndarray]:
+    return [_bounds_by(x, n) for n in LEVELS]
+
+
+def _bounds_by(x: np.ndarray, segments: int) -> np.ndarray:
     """For each vector l^0.5 times the means and deviations of its segments: their products bound inner products."""
     edges = np.unique(np.linspace(0, x.shape[1], min(segments, x.shape[1]) + 1).astype(int))
     parts = [x[:, a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
@@ -33,46 +39,67 @@ def _bounds(x: np.ndarray, segments: int) -> np.ndarray:
     return np.hstack((means, spread))
 
 
-def _product(rows: np.ndarray, q: np.ndarray) -> list[int] | np.ndarray:
-    """Exact inner products. Doubles hold them as long as no partial sum passes 2^53; beyond, Python's integers do."""
-    if rows.size and np.abs(rows).max() * np.abs(q).max() * len(q) >= 2.0**53:
-        whole = [int(v) for v in q]
-        return np.array([sum(int(v) * w for v, w in zip(r, whole, strict=True)) for r in rows], object)
-    return (rows @ q).astype(np.int64)
+def _whole(one: np.ndarray, rows: np.ndarray) -> bool:
+    """Whether doubles hold the inner products, as no partial sum passes 2^53."""
+    return not rows.size or np.abs(rows).max() * np.abs(one).max(initial=0) * rows.shape[1] < 2.0**53
+
 
+def _products(one: np.ndarray, rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Exact inner products of pairs, in Python's integers if doubles don't hold them."""
+    if not _whole(one, rows):
+        return np.array([sum(int(v) * int(w) for v, w in zip(one[a], rows[b], strict=True)) for a, b in zip(i, j, strict=True)] + [0], object)[:-1]
+    cuts = range(0, len(i), 1 << 16)
+    parts = [np.einsum("ij,ij->i", one[i[a : a + (1 << 16)]], rows[j[a : a + (1 << 16)]]) for a in cuts]
+    return np.concatenate([*parts, np.zeros(0)]).astype(np.int64)
 
-def _search(one: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple]:
-    """For each query its k best rows of the block, as (query_id, vec_ids, scores)."""
-    ask, have = [_bounds(one, n) for n in LEVELS], [_bounds(rows, n) for n in LEVELS]
-    coarse = ask[0] @ have[0].T
+
+def _search(
+    one: np.ndarray, ask: list[np.ndarray], own: np.ndarray, rows: np.ndarray, have: list[np.ndarray], ids: np.ndarray, least: np.ndarray, k: int
+) -> tuple[np.ndarray, ...]:
+    """Of each query the best k of the block's rows that reach `least`, as places of queries and rows and their products.
+
+    `ask` and `have` are the bounds of both. Where many pairs are open, a product of all costs less than one of those picked out.
+    """
     # room for rounding: products of doubles, whose sum has a relative error of some 1e-13
     slack = 1 + 1e-9 * np.outer(np.linalg.norm(one, axis=1), np.linalg.norm(rows, axis=1)).max(axis=1, initial=0)
-    for i, me in enumerate(own):
-        bound = np.where(ids == me, -np.inf, coarse[i] + slack[i])
-        least = -np.inf
-        if len(rows) > k:
-            first = np.argpartition(bound, -k)[-k:]
-            first = first[ids[first] != me]
-            if len(first) == k:
-                least = min(_product(rows[first], one[i]))
-        at = np.flatnonzero((bound >= least) & (ids != me))
-        for a, h in zip(ask[1:], have[1:], strict=True):
-            at = at[h[at] @ a[i] + slack[i] >= least]
-        score = _product(rows[at], one[i])
-        top = sorted(range(len(at)), key=lambda j: (-score[j], ids[at[j]]))[:k] if len(at) < 4 * k else np.lexsort((ids[at], -score))[:k]
-        yield me, ids[at[top]], [max(-(1 << 63), min((1 << 63) - 1, int(score[j]))) for j in top]
-
-
-def _packed(rows: DataFrame, key: str, size: int) -> tuple[DataFrame, int]:
-    """Blocks of about `size` vectors, each a row (key, ids, data), and how many blocks there are."""
+    bound = ask[0] @ have[0].T
+    itself = ids == own[:, None]
+    bound[itself] = -np.inf
+    if len(ids) > k and np.isneginf(least).any():
+        first = np.argpartition(bound, -k, axis=1)[:, -k:]
+        score = _products(one, rows, np.repeat(np.arange(len(own)), k), first.ravel()).reshape(-1, k).astype(float)
+        score[np.take_along_axis(itself, first, axis=1)] = -np.inf
+        least = np.maximum(least, score.min(axis=1))
+    enough = (least - slack)[:, None]
+    left = (bound >= enough) & ~itself
+    dense = left.size // 16
+    for a, h in zip(ask[1:], have[1:], strict=True):
+        if np.count_nonzero(left) > dense:
+            left &= a @ h.T >= enough
+        else:
+            i, j = np.nonzero(left)
+            left[i, j] = np.einsum("ij,ij->i", a[i], h[j]) >= enough[i, 0]
+    if np.count_nonzero(left) > dense and _whole(one, rows):
+        left &= one @ rows.T >= least[:, None]
+    i, j = np.nonzero(left)
+    score = _products(one, rows, i, j)
+    at = np.flatnonzero(score.astype(float) >= least[i])  # rounded alike on both sides, so none that is equal is lost
+    at = at[np.lexsort((ids[j[at]], -score[at], i[at]))]
+    start = np.searchsorted(i[at], np.arange(len(own)))
+    at = at[np.arange(len(at)) - start[i[at]] < k]
+    return i[at], j[at], score[at]
+
+
+def _packed(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """Blocks of about `size` vectors, each a row (key, ids, data)."""
     blocks = max(1, -(-rows.count() // size))
 
     def pack(block: pd.DataFrame) -> pd.DataFrame:
         data = np.stack(block["v"].to_list())
         return pd.DataFrame({key: [block[key].iat[0]], "ids": [block["vec_id"].to_numpy(np.int64).tobytes()], "data": [data.tobytes()]})
 
-    dealt = rows.withColumn(key, F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    return stored(dealt.groupBy(key).applyInPandas(pack, f"{key} int, ids binary, data binary"), key), blocks
+    dealt = rows.withColumn(key, F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).repartition(-(-blocks // TOGETHER), key)
+    return stored(dealt.groupBy(key).applyInPandas(pack, f"{key} int, ids binary, data binary"), key)
 
 
 def top_products(embeddings: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0) -> DataFrame:
@@ -80,26 +107,33 @@ def top_products(embeddings: DataFrame, k: int = 5, every: int = 50, scale: floa
 
     Components are floor(scale * x), and the score is the exact product of these whole numbers, held to the range of a long.
     See `vectors.usable` for the rows that take part. Fewer than k candidates are all returned; equal scores go to the
-    smaller vec_id. Queries and rows meet as blocks: each row is read once for every chunk of queries.
+    smaller vec_id. Queries and rows meet as blocks, in a task for each pair of files of them: neither is broadcast or shuffled, and
+    a task holds the queries of its files and some blocks at a time.
     """
     rows = stored(usable(embeddings, F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))), "whole")
-    blocks, n = _packed(first_copies(rows, k), "block", BLOCK)
-    chunks, _ = _packed(rows.where(F.col("vec_id") % every == 0), "chunk", CHUNK)
-    asked = chunks.select(F.col("ids").alias("own"), F.col("data").alias("one"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"))
+    blocks = _packed(first_copies(rows, k), "block", BLOCK).select("ids", "data")
+    chunks = _packed(rows.where(F.col("vec_id") % every == 0), "chunk", CHUNK).select(F.col("ids").alias("own"), F.col("data").alias("one"))
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reached: dict[bytes, np.ndarray] = {}  # for each chunk the k largest products of its queries so far
+        asked: dict[bytes, list[np.ndarray]] = {}
+        last, have = None, []
         for batch in batches:
             for own, one, ids, data in batch[["own", "one", "ids", "data"]].itertuples(index=False):
-                own, ids = np.frombuffer(own, np.int64), np.frombuffer(ids, np.int64)
+                chunk, block, own, ids = own, ids, np.frombuffer(own, np.int64), np.frombuffer(ids, np.int64)
                 one, data = (np.frombuffer(x, np.float64).reshape(len(i), -1) for x, i in ((one, own), (data, ids)))
-                found = list(_search(one, own, data, ids, k))
-                yield pd.DataFrame(
-                    {
-                        "query_id": np.repeat([f[0] for f in found], [len(f[1]) for f in found]),
-                        "vec_id": np.concatenate([f[1] for f in found]),
-                        "score": np.concatenate([np.array(f[2], np.int64) for f in found]),
-                    }
-                )
-
-    met = asked.join(blocks, "block").select("own", "one", "ids", "data").mapInPandas(meet, "query_id long, vec_id long, score long")
+                if block != last:
+                    last, have = block, _bounds(data)
+                if chunk not in asked:
+                    asked[chunk], reached[chunk] = _bounds(one), np.full((len(own), k), -np.inf)
+                so_far = reached[chunk]
+                i, j, score = _search(one, asked[chunk], own, data, have, ids, so_far.min(axis=1), k)
+                more = np.full((len(own), k), -np.inf)
+                more[i, np.arange(len(i)) - np.searchsorted(i, i)] = score.astype(float)
+                reached[chunk] = np.sort(np.hstack((so_far, more)), axis=1)[:, -k:]
+                held = [max(-(1 << 63), min((1 << 63) - 1, int(s))) for s in score]
+                yield pd.DataFrame({"query_id": own[i], "vec_id": ids[j], "score": np.array(held, np.int64)})
+
+    pairs = blocks.crossJoin(chunks.hint("shuffle_replicate_nl"))  # else the smaller side goes through the driver
+    met = pairs.mapInPandas(meet, "query_id long, vec_id long, score long")
     return best(met, k)

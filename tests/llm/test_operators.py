@@ -405,6 +405,27 @@ def test_segment_search_is_exact(spark):
     assert segment_search.top_products(df.limit(0)).isEmpty()
 
 
+def test_segment_search_sends_no_vectors_through_the_driver(spark):
+    plan = plan_of(segment_search.top_products(vectors(spark)[1]))
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "Generate" not in plan
+
+
+@pytest.mark.parametrize("size", [3, 300, 2.0**30])  # products of the last pass 2^53
+def test_segment_search_of_blocks_in_turn(spark, monkeypatch, size):
+    monkeypatch.setattr(segment_search, "BLOCK", 16)
+    monkeypatch.setattr(segment_search, "CHUNK", 2)
+    monkeypatch.setattr(segment_search, "TOGETHER", 3)
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.normal(size=(150, 8)) * size)
+    x[100:] = x[:50]  # equal scores
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = []
+    for q in range(0, 150, 10):
+        scores = [(-min(sum(int(a) * int(b) for a, b in zip(x[q], v, strict=True)), (1 << 63) - 1), i) for i, v in enumerate(x) if i != q]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scores)[:4], 1)]
+    assert sorted(map(tuple, segment_search.top_products(df, 4, 10, 1.0).collect())) == want
+
+
 def test_tree_search_finds_neighbours(spark):
     data, df = vectors(spark)
     x = np.array([v for _, v in data], np.float32).astype(float)
