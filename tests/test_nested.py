@@ -116,6 +116,22 @@ def test_fanned_out_rows_are_those_of_each_table(books, tables, spread):
     assert rows(nested.table_metrics(fanned)) == rows(nested.table_metrics(tables))
 
 
+def test_texts_are_dealt_out_before_their_lists_are_made(spark, folder):
+    from querybook.feeds import Tables
+    from querybook.nested import child_nested_levels
+
+    docs = spark.createDataFrame([(i, f"a{i} b\nc", "aa", "s") for i in range(40)], "doc_id long, text string, lang string, source string")
+    few, many = f"{folder}/few", f"{folder}/many"
+    docs.coalesce(1).write.parquet(f"{few}/documents.parquet")
+    docs.repartition(2 * spark.sparkContext.defaultParallelism).write.parquet(f"{many}/documents.parquet")
+    got = {at: child_nested_levels(Tables(spark, at)) for at in (few, many)}
+    assert "Exchange" not in plan_of(got[many])
+    # the lists are several times larger than the text
+    moved = plan_of(got[few]).split("Exchange\nInput", 1)[1].split("\n", 1)[0]
+    assert "text" in moved and "words" not in moved
+    assert rows(got[few]) == rows(got[many]) and got[few].count() == 120
+
+
 def test_records_are_scanned_once_for_all_tables(spark, books, folder):
     books.write.parquet(folder)
     plan = plan_of(nested.fan_out(spark.read.parquet(folder), "books", ["key"], "l1").rows)
